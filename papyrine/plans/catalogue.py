@@ -1,4 +1,4 @@
 """All query modules, loaded."""
 
-from papyrine.plans import classes  # noqa: F401
+from papyrine.plans import classes, links, sections  # noqa: F401
 from papyrine.plans.registry import ORACLES, QUERIES  # noqa: F401

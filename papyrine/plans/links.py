@@ -8,6 +8,7 @@ from papyrine.functions import ids, licences
 from papyrine.operators import linkage, reports
 from papyrine.operators.linkage import LinkKey
 from papyrine.operators.sizing import broadcast_if_small
+from papyrine.plans import feeds, models
 from papyrine.plans.analogues import view, with_views
 from papyrine.plans.registry import query, table
 
@@ -447,46 +448,23 @@ def url_short_ids(spark, sf_dir):
     )
 
 
-TAXONOMY = """taxonomy as (select concat('https://openalex.org/T', cast(10000 + doc_id as varchar)) as id,
-    concat('Topic ', cast(doc_id as varchar)) as display_name,
-    concat('https://openalex.org/subfields/', cast(1700 + doc_id % 5 as varchar)) as subfield_id,
-    concat('Subfield ', cast(doc_id % 5 as varchar)) as subfield_name
-  from documents where doc_id < 23)"""
-
-
-def taxonomy(spark, sf_dir):
-    """Topic taxonomy with a nested subfield: one topic per class number the linked feed uses."""
-    documents = table(spark, sf_dir, "documents").filter(F.col("doc_id") < 23)
-    number, group = F.col("doc_id"), (F.col("doc_id") % 5).cast("string")
-    return documents.select(
-        F.concat(F.lit("https://openalex.org/T"), (number + 10000).cast("string")).alias("id"),
-        F.concat(F.lit("Topic "), number.cast("string")).alias("display_name"),
-        F.struct(
-            F.concat(F.lit("https://openalex.org/subfields/"), (number % 5 + 1700).cast("string")).alias("id"),
-            F.concat(F.lit("Subfield "), group).alias("display_name"),
-        ).alias("subfield"),
-    )
-
-
 @query(
     "topic_canonical_names",
-    f"""{with_views("a_linked")}, {TAXONOMY},
+    f"""{with_views("a_linked")}, {feeds.TAXONOMY_SQL},
     g as (select cast(substr(primary_topic_short_id, 2) as bigint) as topic_id, count(*) as topic_count
       from a_linked where primary_topic_short_id is not null group by 1)
     select row_number() over (order by g.topic_count desc, g.topic_id) - 1 as topic_index, g.topic_id,
       t.display_name as topic_display_name, g.topic_count,
       round(g.topic_count * 100.0 / (select sum(topic_count) from g), 6) as topic_percent,
-      cast(replace(t.subfield_id, 'https://openalex.org/subfields/', '') as bigint) as subfield_id,
+      t.subfield_id,
       t.subfield_name as subfield_display_name
     from g left join taxonomy t on concat('https://openalex.org/T', cast(g.topic_id as varchar)) = t.id""",
 )
 def topic_canonical_names(spark, sf_dir):
-    from papyrine.plans.models import topic_table
-
     works = view(spark, sf_dir, "a_linked").filter(F.col("primary_topic_short_id").isNotNull())
-    topics = topic_table(
+    topics = models.topics(
         works.select(F.substring("primary_topic_short_id", 2, 20).cast("int").alias("openalex_primary_topic_id")),
-        taxonomy(spark, sf_dir),
+        feeds.taxonomy(spark, sf_dir),
     )
     names = {c: c.replace("openalex_primary_topic_", "topic_").replace("topic_subfield", "subfield") for c in topics.columns}
     return topics.withColumnsRenamed(names).withColumn("topic_percent", F.round("topic_percent", 6))

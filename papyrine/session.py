@@ -55,3 +55,13 @@ def stage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back.
+
+    For wide frames that later steps read in part: columns are pruned and sizes are known.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

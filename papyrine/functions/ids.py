@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from papyrine.functions.text import strip
+
 
 def url_last_segment(url: Column) -> Column:
     """``https://host/T10062`` -> ``T10062``; a text without ``/`` stays as it is."""
@@ -49,4 +51,4 @@ def not_null(column: Column) -> Column:
 
 def clean_line(line: Column) -> Column:
     """Strip white space at both ends, then TAB becomes a line break."""
-    return F.replace(F.btrim(line, F.lit(" \t\n\r\f\x0b")), F.lit("\t"), F.lit("\n"))
+    return F.replace(strip(line), F.lit("\t"), F.lit("\n"))

@@ -11,13 +11,37 @@ TOKEN = "[a-z0-9_]{2,}"
 
 
 def strip(text: Column) -> Column:
-    """White space off both ends (plain ``trim`` takes blanks only)."""
-    return F.btrim(text, F.lit(WHITE_SPACE))
+    """White space off both ends (plain ``trim`` takes blanks only).
 
+    Trimming a set of characters walks the whole text, so it is done only where an
+    end needs it. ``text`` should be a plain column or lambda variable: it is used
+    more than once.
+    """
+    ends = F.substring(text, 1, 1).isin(*WHITE_SPACE) | F.substring(text, -1, 1).isin(*WHITE_SPACE)
+    return F.when(ends, F.btrim(text, F.lit(WHITE_SPACE))).otherwise(text)
 
-def cut(text: Column, start: Column, end: Column) -> Column:
-    """Characters ``start`` .. ``end`` (0-based, end excluded), stripped."""
-    return strip(F.substr(text, start + 1, F.greatest(end - start, F.lit(0))))
+
+BLOCK = 2048
+
+
+def blocks(text: Column) -> Column:
+    """The text in pieces of ``BLOCK`` characters, made in one walk over it."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def cut(pieces: Column, start: Column, end: Column) -> Column:
+    """Characters ``start`` .. ``end`` (0-based, end excluded) of a text in ``blocks``.
+
+    Finding a character means walking there from the beginning, so cutting many spans
+    out of one long text takes quadratic time; from its block it takes linear time.
+    """
+    first = F.floor(start / BLOCK).cast("int")
+    count = F.greatest(F.floor((end - 1) / BLOCK).cast("int") - first + 1, F.lit(0))
+    return F.substr(
+        F.array_join(F.slice(pieces, first + 1, count), ""),
+        start - first * BLOCK + 1,
+        F.greatest(end - start, F.lit(0)),
+    )
 
 
 def tokens(text: Column, pattern: str = TOKEN) -> Column:

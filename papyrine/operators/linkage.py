@@ -63,7 +63,7 @@ def link_with_fallback(
     serves, a record found by a later key is tagged only if it also has the
     first key; ``strict_link_flag`` tags every link.
 
-    ``best`` orders the candidates of one key: only the first of them is linked
+    ``best`` orders the candidates of one key, ascending with NULL first: only the first is linked
     and ``<tag>_candidates`` tells how many there were. A key with many records on
     both sides then costs rows, not pairs. Without ``best`` every match gives a row.
     """
@@ -71,14 +71,13 @@ def link_with_fallback(
     whole = F.struct(*[F.col(c) for c in fields])
     linked = left.withColumn("_found", F.lit(None).cast(right.schema)).withColumn(method, F.lit(None).cast("string"))
     for key in keys:
-        side = right.filter(F.col(key.right).isNotNull())
-        if best is not None:
-            counts = side.groupBy(key.right).agg(F.count(F.lit(1)).alias("_n"))
-            firsts = dedup_keep_first(side, key.right, best)
-            side = firsts.join(counts.withColumnRenamed(key.right, "_k"), F.col(key.right) == F.col("_k")).drop("_k")
-        side = side.select(
-            F.col(key.right).alias("_right"), whole.alias("_next"), *(["_n"] if best is not None else [])
-        )
+        side = right.filter(F.col(key.right).isNotNull()).withColumn("_next", whole)
+        if best is None:
+            side = side.select(F.col(key.right).alias("_right"), "_next")
+        else:
+            side = side.groupBy(F.col(key.right).alias("_right")).agg(
+                F.min_by("_next", F.struct(*best)).alias("_next"), F.count(F.lit(1)).alias("_n")
+            )
         # Rows already linked join on NULL, which matches nothing.
         linked = lookup(linked, side, F.when(F.col("_found").isNull(), F.col(key.left)), "_right", spread_by)
         tagged = F.col("_next").isNotNull()

@@ -73,7 +73,7 @@ def class_cutoffs(
         .withColumn("position", F.row_number().over(in_slice))
         .filter(F.col("position") == F.col("place"))
     )
-    found = hits.groupBy("class").agg(F.array_sort(F.collect_set("key")).alias("cutoffs"))
+    found = hits.groupBy("class").agg(F.sort_array(F.collect_set("key")).alias("cutoffs"))
     found = found.withColumnRenamed("class", by)
     return F.broadcast(found) if small else found
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.functions.ids import url_last_segment, url_number, url_path_id
+from papyrine.operators.barrier import computed_once
 
 # The fields read from a work, and all top-level keys a work may have.
 WORK_SCHEMA = (
@@ -45,7 +46,7 @@ def parse_lines(lines: DataFrame, schema: str = WORK_SCHEMA, key: str = "id", va
         .when(F.array_contains(keys, key), "ok")
         .otherwise(f"no_{key}")
     )
-    return lines.withColumn("record", record).withColumn("status", status)
+    return computed_once(lines, record=record).withColumn("status", status)
 
 
 def split_records(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -90,8 +91,8 @@ def reduce_records(df: DataFrame) -> DataFrame:
 
 def audit_keys(lines: DataFrame, known: list[str] = KNOWN_KEYS, value: str = "value") -> DataFrame:
     """Add ``status`` (``unparsable``, ``unknown keys``, ``ok``) and ``unknown_keys`` (sorted)."""
-    unknown = F.array_sort(F.array_except(F.json_object_keys(value), F.lit(known)))
-    return lines.withColumn("unknown_keys", unknown).withColumn(
+    unknown = F.sort_array(F.array_except(F.json_object_keys(value), F.lit(known)))
+    return computed_once(lines, unknown_keys=unknown).withColumn(
         "status",
         F.when(F.col("unknown_keys").isNull(), "unparsable")
         .when(F.size("unknown_keys") > 0, "unknown keys")

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from papyrine.functions.headers import classify_header
-from papyrine.functions.text import cut
+from papyrine.functions.text import blocks, cut, strip
+from papyrine.operators.barrier import computed_once
 
 ANNOTATIONS = "array<struct<attributes:struct<n:string>,start:string,end:string>>"
 LAST = 2**31 - 1
@@ -33,7 +34,7 @@ def _spans_of(json: Column, kind: str) -> Column:
         ),
     )
     return F.transform(
-        F.array_sort(spans),
+        F.sort_array(spans),
         lambda s, i: F.struct(
             s["first"].alias("first"),
             s["last"].alias("last"),
@@ -55,21 +56,24 @@ SPAN = ("section_type_index", "n", "section_start", "section_end", "section_type
 
 def spans_in_row(header_json: Column, paragraph_json: Column) -> Column:
     """Both types in one array ordered by (start, end), headers first on a tie."""
-    both = F.array_sort(F.concat(_spans_of(header_json, "header"), _spans_of(paragraph_json, "paragraph")))
+    both = F.sort_array(F.concat(_spans_of(header_json, "header"), _spans_of(paragraph_json, "paragraph")))
     return F.transform(both, lambda s, i: F.struct((i + 1).alias("section_index"), *_fields(s, *SPAN)))
 
 
-def texts_in_row(spans: Column, text: Column) -> Column:
-    """The spans with their stripped text and its length."""
-    with_text = F.transform(
+def texts_in_row(spans: Column, pieces: Column) -> Column:
+    """The spans with their stripped text and its length; ``pieces`` are the blocks of the text."""
+    raw = F.transform(
         spans,
         lambda s: F.struct(
-            *_fields(s, "section_index", *SPAN),
-            cut(text, s["section_start"], s["section_end"]).alias("section_text"),
+            *_fields(s, "section_index", *SPAN), cut(pieces, s["section_start"], s["section_end"]).alias("section_text")
         ),
     )
+    stripped = F.transform(
+        raw,
+        lambda s: F.struct(*_fields(s, "section_index", *SPAN), strip(s["section_text"]).alias("section_text")),
+    )
     return F.transform(
-        with_text,
+        stripped,
         lambda s: F.struct(
             *_fields(s, "section_index", *SPAN, "section_text"),
             F.length(s["section_text"]).alias("section_text_length"),
@@ -77,6 +81,12 @@ def texts_in_row(spans: Column, text: Column) -> Column:
     )
 
 
+def _works_in_pieces(df: DataFrame, id_col: str, text_col: str, header_col: str, paragraph_col: str) -> DataFrame:
+    works = df.select(F.col(id_col).alias("work_id"), text_col, header_col, paragraph_col)
+    spans = spans_in_row(F.col(header_col), F.col(paragraph_col))
+    return computed_once(works, spans=spans, pieces=blocks(F.col(text_col)))
+
+
 def annotation_spans(df: DataFrame, id_col: str, header_col: str, paragraph_col: str) -> DataFrame:
     """One row per annotation. Works are unique in ``df``; works without annotations vanish."""
     return df.select(
@@ -86,8 +96,8 @@ def annotation_spans(df: DataFrame, id_col: str, header_col: str, paragraph_col:
 
 def sections_with_text(df: DataFrame, id_col: str, text_col: str, header_col: str, paragraph_col: str) -> DataFrame:
     """One row per annotation with its text, straight from the works."""
-    spans = spans_in_row(F.col(header_col), F.col(paragraph_col))
-    return df.select(F.col(id_col).alias("work_id"), F.inline(texts_in_row(spans, F.col(text_col))))
+    works = _works_in_pieces(df, id_col, text_col, header_col, paragraph_col)
+    return works.select("work_id", F.inline(texts_in_row(F.col("spans"), F.col("pieces"))))
 
 
 def section_texts(spans: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -95,7 +105,8 @@ def section_texts(spans: DataFrame, docs: DataFrame, id_col: str, text_col: str)
     columns = ["section_index", *SPAN]
     packed = spans.groupBy("work_id").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("spans"))
     joined = packed.join(docs.select(F.col(id_col).alias("work_id"), text_col), "work_id", "left")
-    return joined.select("work_id", F.inline(texts_in_row(F.col("spans"), F.col(text_col))))
+    cuttable = computed_once(joined, pieces=blocks(F.col(text_col)))
+    return cuttable.select("work_id", F.inline(texts_in_row(F.col("spans"), F.col("pieces"))))
 
 
 def section_stats(works: DataFrame, sections: DataFrame, id_col: str) -> DataFrame:
@@ -195,11 +206,12 @@ def chapters_in_row(
     df: DataFrame, id_col: str, text_col: str, header_col: str, paragraph_col: str, literal_compat: bool = False
 ) -> DataFrame:
     """Chapters of works that have headers, straight from the works and without a shuffle."""
-    spans = spans_in_row(F.col(header_col), F.col(paragraph_col))
-    works = df.select(F.col(id_col).alias("work_id"), texts_in_row(spans, F.col(text_col)).alias("sections"))
+    works = _works_in_pieces(df, id_col, text_col, header_col, paragraph_col)
+    works = works.filter(F.exists("spans", lambda s: s["section_type"] == "header"))
+    works = computed_once(works, sections=texts_in_row(F.col("spans"), F.col("pieces"))).select("work_id", "sections")
     # Places of the headers in the array, closed at both ends: each pair of neighbours is a chapter.
     places = F.transform(F.filter("sections", lambda s: s["section_type"] == "header"), lambda s: s["section_index"])
-    works = works.withColumn("starts", places).filter(F.size("starts") > 0)
+    works = works.withColumn("starts", places)
     bounds = F.concat(F.array(F.lit(1)), F.col("starts"), F.array(F.size("sections") + 1))
     runs = F.transform(
         F.sequence(F.lit(0), F.size("starts")),

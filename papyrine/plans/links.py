@@ -56,7 +56,7 @@ def _linked(spark, sf_dir):
 def link_by_first_id(spark, sf_dir):
     linked = linkage.link_with_fallback(
         _works(spark, sf_dir), _linked(spark, sf_dir), DOI_THEN_MAG[:1], "id_semanticscholar",
-        best=[F.col("id_openalex").asc()],
+        best=[F.col("id_openalex")],
     )
     return linked.select("id_semanticscholar", "id_doi", "doi_join_worked", "doi_candidates", "linked_id_openalex")
 
@@ -78,7 +78,7 @@ def link_fallback(spark, sf_dir):
         }
     )
     return linkage.link_with_fallback(
-        works, _linked(spark, sf_dir), DOI_THEN_MAG, "id_semanticscholar", best=[F.col("id_openalex").asc()]
+        works, _linked(spark, sf_dir), DOI_THEN_MAG, "id_semanticscholar", best=[F.col("id_openalex")]
     )
 
 

@@ -195,7 +195,7 @@ def stg_unified_works_metadata_02_joined_to_openalex(
         linked.drop("title"),
         [LinkKey("id_doi", "id_doi", "doi"), LinkKey("id_mag", "id_openalex", "mag")],
         "id_semanticscholar",
-        best=[F.col("id_doi").isNull().asc(), number.asc_nulls_last()],
+        best=[F.col("id_doi").isNull(), number],
         strict_link_flag=strict_link_flag,
         prefix="openalex_",
         method="openalex_joined_on",
@@ -343,7 +343,7 @@ def corpus_tables(
     ``keep`` stores what several tables read and gives it back, by default as Parquet
     in the shared folder. All other tables are views until they are written.
     """
-    linked_works = base_openalex_works_reduced_filtered(raw["openalex_works_reduced"], settings)
+    linked_works = keep(base_openalex_works_reduced_filtered(raw["openalex_works_reduced"], settings))
     yield "base_openalex_works_reduced_filtered", linked_works
     own_works = base_semanticscholar_s2orcv2(raw["semanticscholar_s2orc_v2"])
     yield "base_semanticscholar_s2orcv2", own_works

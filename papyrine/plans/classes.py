@@ -69,7 +69,7 @@ def split_class_shares(spark, sf_dir):
     "from split group by subset",
 )
 def split_shares(spark, sf_dir):
-    split = _split(spark, sf_dir)
+    split = stage(_split(spark, sf_dir).select("subset"))
     parts = [split.filter(F.col("subset") == s) for s in ("train", "test", "validation")]
     report = labels.split_shares(parts, table(spark, sf_dir, "documents"))
     return report.withColumn("p", F.round("p", 6))

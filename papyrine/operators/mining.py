@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from papyrine.functions.text import tokens, without
+from papyrine.operators.barrier import computed_once
 from papyrine.operators.sizing import broadcast_if_small, fits
 from papyrine.session import stage
 
@@ -43,7 +44,8 @@ def class_documents(df: DataFrame, class_col: str, id_col: str, text_col: str, i
 def ctfidf(df: DataFrame, class_col: str, text_col: str, stop_words: list[str]) -> DataFrame:
     """``class, term, n, tf, idf, score``: share of the term in its class times the log of
     the number of documents over the term's total count."""
-    words = df.select(class_col, F.explode(without(tokens(F.col(text_col)), stop_words)).alias("term"))
+    found = computed_once(df.select(class_col, text_col), _terms=without(tokens(F.col(text_col)), stop_words))
+    words = found.select(class_col, F.explode("_terms").alias("term"))
     counts = stage(words.groupBy(class_col, "term").agg(F.count(F.lit(1)).alias("n")))
     of_class = counts.groupBy(F.col(class_col).alias("_class")).agg(F.sum("n").alias("_class_n"))
     of_term = counts.groupBy(F.col("term").alias("_term")).agg(F.sum("n").alias("_term_n"))
@@ -84,15 +86,14 @@ def chunk_candidates(text: Column, stop_words: list[str], max_words: int = 4) ->
 
 def keyphrases(df: DataFrame, id_col: str, candidates: Column, n: int = 5) -> DataFrame:
     """The ``n`` candidates of each document with the highest tf-idf: ``id, phrase, score, rank``."""
-    phrases = df.select(id_col, F.explode(candidates).alias("phrase"))
-    counts = stage(phrases.groupBy(id_col, "phrase").agg(F.count(F.lit(1)).alias("n")))
+    found = computed_once(df, _candidates=candidates).select(id_col, "_candidates", F.size("_candidates").alias("_all"))
+    phrases = found.select(id_col, "_all", F.explode("_candidates").alias("phrase"))
+    counts = phrases.groupBy(id_col, "_all", "phrase").agg(F.count(F.lit(1)).alias("n"))
     documents = df.agg(F.count(F.lit(1))).scalar()
-    spread = counts.groupBy(F.col("phrase").alias("_phrase")).agg(F.count(F.lit(1)).alias("_documents"))
-    lengths = counts.groupBy(F.col(id_col).alias("_id")).agg(F.sum("n").alias("_all"))
-    scored = (
-        counts.join(spread, F.col("phrase") == F.col("_phrase"))
-        .join(lengths, F.col(id_col) == F.col("_id"))
-        .withColumn("score", F.col("n") / F.col("_all") * F.log(documents / F.col("_documents")))
+    # One per document and phrase; written with n so that both sides read the same shuffled counts.
+    spread = counts.groupBy(F.col("phrase").alias("_phrase")).agg(F.sum(F.least("n", F.lit(1))).alias("_documents"))
+    scored = counts.join(spread, F.col("phrase") == F.col("_phrase")).withColumn(
+        "score", F.col("n") / F.col("_all") * F.log(documents / F.col("_documents"))
     )
     order = [F.round("score", 12).desc(), F.asc("phrase")]  # equal up to rounding noise is a tie
     return top_per_group(scored, id_col, order, n).select(id_col, "phrase", "score", "rank")

@@ -87,17 +87,22 @@ def _works_in_pieces(df: DataFrame, id_col: str, text_col: str, header_col: str,
     return computed_once(works, spans=spans, pieces=blocks(F.col(text_col)))
 
 
+def _exploded_texts(works: DataFrame) -> DataFrame:
+    cut_up = computed_once(works, sections=texts_in_row(F.col("spans"), F.col("pieces")))
+    return cut_up.select("work_id", F.inline("sections"))
+
+
 def annotation_spans(df: DataFrame, id_col: str, header_col: str, paragraph_col: str) -> DataFrame:
     """One row per annotation. Works are unique in ``df``; works without annotations vanish."""
-    return df.select(
-        F.col(id_col).alias("work_id"), F.inline(spans_in_row(F.col(header_col), F.col(paragraph_col)))
-    )
+    works = df.select(F.col(id_col).alias("work_id"), header_col, paragraph_col)
+    spans = spans_in_row(F.col(header_col), F.col(paragraph_col))
+    return computed_once(works, spans=spans).select("work_id", F.inline("spans"))
 
 
 def sections_with_text(df: DataFrame, id_col: str, text_col: str, header_col: str, paragraph_col: str) -> DataFrame:
     """One row per annotation with its text, straight from the works."""
     works = _works_in_pieces(df, id_col, text_col, header_col, paragraph_col)
-    return works.select("work_id", F.inline(texts_in_row(F.col("spans"), F.col("pieces"))))
+    return _exploded_texts(works)
 
 
 def section_texts(spans: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -105,8 +110,7 @@ def section_texts(spans: DataFrame, docs: DataFrame, id_col: str, text_col: str)
     columns = ["section_index", *SPAN]
     packed = spans.groupBy("work_id").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("spans"))
     joined = packed.join(docs.select(F.col(id_col).alias("work_id"), text_col), "work_id", "left")
-    cuttable = computed_once(joined, pieces=blocks(F.col(text_col)))
-    return cuttable.select("work_id", F.inline(texts_in_row(F.col("spans"), F.col("pieces"))))
+    return _exploded_texts(computed_once(joined, pieces=blocks(F.col(text_col))))
 
 
 def section_stats(works: DataFrame, sections: DataFrame, id_col: str) -> DataFrame:

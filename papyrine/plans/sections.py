@@ -114,7 +114,8 @@ def section_stats(spark, sf_dir):
 def sections_with_headers(spark, sf_dir):
     sections = _sections(spark, sf_dir)
     works = table(spark, sf_dir, "documents").select("doc_id")
-    return ops.sections_with_headers(sections, ops.section_stats(works, sections, "doc_id"), "doc_id")
+    spans = ops.annotation_spans(annotated_documents(spark, sf_dir), *IDS)
+    return ops.sections_with_headers(sections, ops.section_stats(works, spans, "doc_id"), "doc_id")
 
 
 def _literals(values: list[str]) -> str:
@@ -173,7 +174,7 @@ def chapters_from_sections(spark, sf_dir):
     """The same chapters from section rows: window, group, ordered text aggregation."""
     sections = _sections(spark, sf_dir)
     works = table(spark, sf_dir, "documents").select("doc_id")
-    stats = ops.section_stats(works, sections, "doc_id")
+    stats = ops.section_stats(works, ops.annotation_spans(annotated_documents(spark, sf_dir), *IDS), "doc_id")
     return _lists_as_text(ops.build_chapters(ops.sections_with_headers(sections, stats, "doc_id")))
 
 

@@ -29,7 +29,7 @@ def local_session(app: str = "papyrine", cpus: str = "*", partitions: int = 8) -
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the one the cluster names, or a local one in local mode."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):

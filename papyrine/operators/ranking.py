@@ -2,10 +2,11 @@
 
 A class may hold a third of all rows, so a window over the class is out of the
 question. Rows are ordered by a seeded hash, and hash prefixes are uniform:
-counting rows per (class, prefix) tells which prefix holds the row of a wanted
-rank, and only that prefix has to be sorted. The result is one small set of
-cut-off rows per class; tagging or filtering the table is then a comparison
-with those, without moving the table's own (wide) rows.
+a class is cut into slices of the hash range, as many as its size asks for, and
+counting rows per slice tells which slice holds the row of a wanted rank. Only
+those slices are sorted. The result is one small set of cut-off rows per class;
+tagging or filtering the table is then a comparison with those, without moving
+the table's own (wide) rows.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from pyspark.sql import functions as F
 from papyrine.operators.sizing import BROADCAST_ROWS, fits
 from papyrine.session import stage
 
-PREFIX_DIGITS = 3
-"""Hex digits per slice: 4096 slices, so a class of 10 billion rows sorts 2.4 million at a time."""
+ROWS_PER_SLICE = 64
+MAX_SLICES = 16_384
+PREFIX_DIGITS = 4
+"""Many slices per class make few rows to sort, and counting them costs a row per slice: a
+64th of the table at most. A class of 100 billion rows sorts 6 million at a time."""
 
 
 def seeded_hash(id_col: str | Column, seed: int | str) -> Column:
@@ -32,13 +36,6 @@ def _sort_key(id_col: str, seed: int | str) -> Column:
     return F.struct(seeded_hash(id_col, seed).alias("h"), F.col(id_col).alias("i"))
 
 
-def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    condition = F.lit(True)
-    for name in columns:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def class_cutoffs(
     df: DataFrame, by: str, id_col: str, seed: int | str, ranks: Callable[[Column], Column], ranks_per_class: int
 ) -> DataFrame:
@@ -48,33 +45,43 @@ def class_cutoffs(
     ``ranks_per_class`` long. Classes without a wanted rank are absent. Only
     ``by`` and ``id_col`` are read from ``df``; ids are unique.
     """
-    keyed = df.select(F.col(by).alias("class"), _sort_key(id_col, seed).alias("key")).withColumn(
-        "slice", F.substring("key.h", 1, PREFIX_DIGITS)
+    keyed = df.select(F.col(by).alias("class"), _sort_key(id_col, seed).alias("key"))
+    sizes = stage(keyed.groupBy("class").agg(F.count(F.lit(1)).alias("class_rows")))
+    small = fits(sizes, BROADCAST_ROWS // ranks_per_class)
+    slices = F.greatest(F.lit(1), F.least(F.lit(MAX_SLICES), F.floor(F.col("class_rows") / ROWS_PER_SLICE)))
+    asked = sizes.withColumns({"ranks": ranks(F.col("class_rows")), "slices": slices}).filter(F.size("ranks") > 0)
+    of_class = asked.select(F.col("class").alias("_class"), "slices")
+    if small:
+        of_class = F.broadcast(of_class)
+    prefix = F.conv(F.substring("key.h", 1, PREFIX_DIGITS), 16, 10).cast("bigint")
+    placed = keyed.join(of_class, F.col("class").eqNullSafe(F.col("_class"))).select(
+        "class", "key", F.floor(prefix * F.col("slices") / 16**PREFIX_DIGITS).alias("slice")
     )
     before = Window.partitionBy("class").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = stage(
-        keyed.groupBy("class", "slice")
+    counted = (
+        placed.groupBy("class", "slice")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("rows_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .withColumn("class_rows", F.sum("n").over(Window.partitionBy("class")))
     )
-    small = fits(slices.select("class").distinct(), BROADCAST_ROWS // ranks_per_class)
+    wanted_ranks = asked.select(F.col("class").alias("_class"), "ranks")
+    if small:
+        wanted_ranks = F.broadcast(wanted_ranks)
     wanted = (
-        slices.withColumn("rank", F.explode(ranks(F.col("class_rows"))))
+        counted.join(wanted_ranks, F.col("class").eqNullSafe(F.col("_class")))
+        .withColumn("rank", F.explode("ranks"))
         .filter((F.col("rank") > F.col("rows_before")) & (F.col("rank") <= F.col("rows_before") + F.col("n")))
-        .select("class", "slice", "rank", (F.col("rank") - F.col("rows_before")).alias("place"))
+        .select("_class", F.col("slice").alias("_slice"), "rank", (F.col("rank") - F.col("rows_before")).alias("place"))
     )
     if small:
         wanted = F.broadcast(wanted)
     in_slice = Window.partitionBy("class", "slice", "rank").orderBy("key")
     hits = (
-        keyed.join(wanted, _same(keyed, wanted, ["class", "slice"]))
-        .select(keyed["class"], keyed["slice"], "rank", "place", "key")
+        placed.join(wanted, F.col("class").eqNullSafe(F.col("_class")) & (F.col("slice") == F.col("_slice")))
         .withColumn("position", F.row_number().over(in_slice))
         .filter(F.col("position") == F.col("place"))
     )
     found = hits.groupBy("class").agg(F.sort_array(F.collect_set("key")).alias("cutoffs"))
-    found = found.withColumnRenamed("class", by)
+    found = stage(found.withColumnRenamed("class", by))
     return F.broadcast(found) if small else found
 
 
@@ -99,12 +106,12 @@ def tile_ranks(buckets: int) -> Callable[[Column], Column]:
 def ntile_by_class(df: DataFrame, by: str, id_col: str, seed: int | str, buckets: int, name: str) -> DataFrame:
     """Add the 1-based tile of each row inside its class, in seeded random order."""
     cutoffs = class_cutoffs(df, by, id_col, seed, tile_ranks(buckets), buckets - 1)
-    # The key is bound to a lambda variable, so the hash is computed once per row, not once per cut-off.
-    tile = F.transform(
-        F.array(_sort_key(id_col, seed)),
-        lambda key: F.size(F.filter("cutoffs", lambda cut: cut < key)) + 1,
-    )
-    return with_cutoffs(df, cutoffs, by).withColumn(name, tile[0].cast("bigint")).drop("cutoffs")
+    # Spelled out per cut-off: compiled code, and the hash is computed once per row.
+    key = _sort_key(id_col, seed)
+    tile = F.lit(1)
+    for place in range(buckets - 1):
+        tile = tile + F.when(F.get("cutoffs", F.lit(place)) < key, 1).otherwise(0)
+    return with_cutoffs(df, cutoffs, by).withColumn(name, tile.cast("bigint")).drop("cutoffs")
 
 
 def cap_cutoffs(df: DataFrame, by: str, id_col: str, seed: int | str, rows: int) -> DataFrame:
@@ -127,22 +134,23 @@ def keep_up_to(df: DataFrame, cutoffs: DataFrame, by: str, id_col: str, seed: in
 def global_row_number(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """1-based position in the total order ``order``, without a single-task window.
 
-    Rows are range-partitioned, staged (so that partitions stay as they are) and
-    numbered inside each range; the offsets are one row per range. ``order`` must
-    tell all rows apart, else equal rows crowd into one range.
+    Rows are range-partitioned and sorted; the generated ids then hold the partition and
+    the place in it. They are staged with the rows, so that they stay as they are, and the
+    offsets of the partitions are one row each. ``order`` must tell all rows apart, else
+    equal rows crowd into one range.
     """
-    ranged = stage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    ranged = stage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("_range", F.shiftright("_id", 33)).withColumn("_place", F.col("_id") - F.shiftleft("_range", 33))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_range")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
-    in_range = Window.partitionBy("_range").orderBy(*order)
     return (
         ranged.join(F.broadcast(offsets), "_range")
-        .withColumn(name, F.row_number().over(in_range) + F.col("_offset"))
-        .drop("_range", "_offset")
+        .withColumn(name, F.col("_place") + F.col("_offset") + 1)
+        .drop("_id", "_range", "_place", "_offset")
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from papyrine.operators.labels import with_percent
 from papyrine.operators.linkage import lookup
+from papyrine.session import stage
 
 
 def coverage(df: DataFrame, flags: list[str], rows: Column | None = None) -> DataFrame:
@@ -14,7 +15,7 @@ def coverage(df: DataFrame, flags: list[str], rows: Column | None = None) -> Dat
 
     ``rows`` is a weight for frames in which one row stands for several.
     """
-    counts = df.groupBy(*flags).agg(F.sum(F.lit(1) if rows is None else rows).alias("_n"))
+    counts = stage(df.groupBy(*flags).agg(F.sum(F.lit(1) if rows is None else rows).alias("_n")))
     total = counts.agg(F.sum("_n")).scalar()
     return (
         with_percent(counts, "_n", "p")
@@ -65,8 +66,8 @@ def join_success(left: DataFrame, rights: dict[str, tuple[DataFrame, str, str]],
         F.lit("original").alias("join_type"), F.lit(None).cast("int").alias("join_worked"), "c"
     )
     for name, (right, left_key, right_key) in rights.items():
-        found = with_matches(left.select(spread_by, left_key) if spread_by != left_key else left.select(left_key),
-                             right, F.col(left_key), right_key, spread_by, "_found")
+        keys = left.select(*{spread_by, left_key})
+        found = with_matches(keys, right, F.col(left_key), right_key, spread_by, "_found")
         counts = (
             found.groupBy(F.when(F.col("_found") > 0, 1).otherwise(0).alias("join_worked"))
             .agg(F.sum(F.greatest("_found", F.lit(1))).alias("c"))

@@ -17,7 +17,7 @@ SPLIT = f"""split as (select *, {SUBSET} as subset from (
     ntile(10) over (partition by source order by md5(concat('42:', doc_id)), doc_id) as bucket_10p
   from documents))"""
 
-SUBFIELD_CAP, TOPIC_CAP, TOPIC_MIN = 150, 60, 12
+SUBFIELD_CAP, TOPIC_CAP, TOPIC_MIN = 400, 70, 8
 
 CAPPED = f"""ranked as (select *,
     row_number() over (partition by subfield order by md5(concat('42/subfield:', id)), id) as sub_rank,

@@ -89,9 +89,10 @@ def link_fallback(spark, sf_dir):
     from j4 where joined_on is not null and r = 1""",
 )
 def link_dedup(spark, sf_dir):
-    """Every match kept, untagged rows dropped, then one row per work."""
+    """Untagged rows dropped, then one row per work; the SQL joins all pairs and picks afterwards."""
     linked = linkage.link_with_fallback(
-        _works(spark, sf_dir), _linked(spark, sf_dir), DOI_THEN_MAG, "id_semanticscholar"
+        _works(spark, sf_dir), _linked(spark, sf_dir), DOI_THEN_MAG, "id_semanticscholar",
+        best=[F.col("id_doi").isNull(), F.col("id_openalex")],
     ).filter(F.col("joined_on").isNotNull())
     order = [F.desc_nulls_last("id_mag"), F.desc_nulls_last("id_doi"), F.desc_nulls_last("id_arxiv")]
     return linkage.dedup_keep_first(linked, "id_semanticscholar", [*order, F.col("linked_id_openalex").asc()]).select(

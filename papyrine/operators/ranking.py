@@ -25,6 +25,9 @@ PREFIX_DIGITS = 4
 """Many slices per class make few rows to sort, and counting them costs a row per slice: a
 64th of the table at most. A class of 100 billion rows sorts 6 million at a time."""
 
+PLAIN_WINDOW_ROWS = 2_000_000
+"""A table of no more rows than this, as counted, is ranked by a window over id and hash."""
+
 
 def seeded_hash(id_col: str | Column, seed: int | str) -> Column:
     """Repeatable stand-in for a random sort key: the same on every run and every engine."""
@@ -47,12 +50,33 @@ def class_cutoffs(
     """
     keyed = df.select(F.col(by).alias("class"), _sort_key(id_col, seed).alias("key"))
     sizes = stage(keyed.groupBy("class").agg(F.count(F.lit(1)).alias("class_rows")))
-    small = fits(sizes, BROADCAST_ROWS // ranks_per_class)
-    slices = F.greatest(F.lit(1), F.least(F.lit(MAX_SLICES), F.floor(F.col("class_rows") / ROWS_PER_SLICE)))
-    asked = sizes.withColumns({"ranks": ranks(F.col("class_rows")), "slices": slices}).filter(F.size("ranks") > 0)
-    of_class = asked.select(F.col("class").alias("_class"), "slices")
+    classes, rows = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("class_rows"), F.lit(0))).first()
+    small = classes <= BROADCAST_ROWS // ranks_per_class
+    asked = sizes.select(F.col("class").alias("_class"), "class_rows", ranks(F.col("class_rows")).alias("ranks"))
+    asked = asked.filter(F.size("ranks") > 0)
     if small:
-        of_class = F.broadcast(of_class)
+        asked = F.broadcast(asked)
+    rank = _hits_by_window if rows <= PLAIN_WINDOW_ROWS else _hits_by_slice
+    found = rank(keyed, asked, small).groupBy("class").agg(F.sort_array(F.collect_set("key")).alias("cutoffs"))
+    found = stage(found.withColumnRenamed("class", by))
+    return F.broadcast(found) if small else found
+
+
+def _hits_by_window(keyed: DataFrame, asked: DataFrame, small: bool) -> DataFrame:
+    """Rows at the asked ranks, for a table that was found to be small."""
+    in_class = Window.partitionBy("class").orderBy("key")
+    return (
+        keyed.join(asked, F.col("class").eqNullSafe(F.col("_class")))
+        .withColumn("position", F.row_number().over(in_class).cast("bigint"))
+        .filter(F.array_contains("ranks", F.col("position")))
+    )
+
+
+def _hits_by_slice(keyed: DataFrame, asked: DataFrame, small: bool) -> DataFrame:
+    """Rows at the asked ranks, sorting only the slices that hold one."""
+    slices = F.greatest(F.lit(1), F.least(F.lit(MAX_SLICES), F.floor(F.col("class_rows") / ROWS_PER_SLICE)))
+    sliced = asked.withColumn("slices", slices)
+    of_class = sliced.select("_class", "slices")
     prefix = F.conv(F.substring("key.h", 1, PREFIX_DIGITS), 16, 10).cast("bigint")
     placed = keyed.join(of_class, F.col("class").eqNullSafe(F.col("_class"))).select(
         "class", "key", F.floor(prefix * F.col("slices") / 16**PREFIX_DIGITS).alias("slice")
@@ -63,9 +87,7 @@ def class_cutoffs(
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("rows_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     )
-    wanted_ranks = asked.select(F.col("class").alias("_class"), "ranks")
-    if small:
-        wanted_ranks = F.broadcast(wanted_ranks)
+    wanted_ranks = asked.select("_class", "ranks")
     wanted = (
         counted.join(wanted_ranks, F.col("class").eqNullSafe(F.col("_class")))
         .withColumn("rank", F.explode("ranks"))
@@ -75,14 +97,11 @@ def class_cutoffs(
     if small:
         wanted = F.broadcast(wanted)
     in_slice = Window.partitionBy("class", "slice", "rank").orderBy("key")
-    hits = (
+    return (
         placed.join(wanted, F.col("class").eqNullSafe(F.col("_class")) & (F.col("slice") == F.col("_slice")))
         .withColumn("position", F.row_number().over(in_slice))
         .filter(F.col("position") == F.col("place"))
     )
-    found = hits.groupBy("class").agg(F.sort_array(F.collect_set("key")).alias("cutoffs"))
-    found = stage(found.withColumnRenamed("class", by))
-    return F.broadcast(found) if small else found
 
 
 def with_cutoffs(df: DataFrame, cutoffs: DataFrame, by: str) -> DataFrame:

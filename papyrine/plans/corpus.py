@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from papyrine.functions.licences import REUSABLE
 from papyrine.operators import labels
 from papyrine.plans import models
 from papyrine.plans.analogues import with_views
@@ -16,8 +15,6 @@ from papyrine.session import store
 
 SETTINGS = models.Settings(subfield_cap=80, topic_cap=18, topic_min=5)
 
-assert REUSABLE  # the SQL below tests against the same list
-
 LINKED_SQL = f"""{with_views("a_works", "a_arxiv")}, {REDUCED_SQL}, {TAXONOMY_SQL},
 w as (select a.id_semanticscholar, a.id_mag, a.id_doi, a.id_arxiv,
     case when a.id_semanticscholar % 10 <> 3 then a.publication_year end as publication_year,

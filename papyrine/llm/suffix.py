@@ -180,7 +180,7 @@ def _stretch_rows(rows: list[tuple]) -> pa.RecordBatch:
 def cut_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The stretches to be sorted (earliest of equal ones), and runs already known to be later copies (no stretch)."""
     held: dict[tuple[int, bytes], tuple] = {}
-    later: list[tuple] = []
+    later: dict[tuple[int, int], list[tuple[int, int]]] = {}
     size = 0
     for batch in batches:
         names = ("doc_id", "text_hash", "text", "hashes", "spans")
@@ -196,22 +196,24 @@ def cut_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 if first == own:
                     size += stop - start
                 elif first < own:
-                    later.append((doc_id, text_hash, start, stop))
-                else:
+                    later.setdefault(own[:2], []).append((start, stop))
+                elif own < first:
                     held[key] = own
-                    later.append((*first, first[2] + stop - start))
-        if size + 40 * len(later) >= HELD_BYTES:
+                    later.setdefault(first[:2], []).append((first[2], first[2] + stop - start))
+                size += 100
+        if size >= HELD_BYTES:
             yield _stretch_rows(list(_send(held, later)))
-            held, later, size = {}, [], 0
+            held, later, size = {}, {}, 0
     if held or later:
         yield _stretch_rows(list(_send(held, later)))
 
 
-def _send(held: dict, later: list[tuple]) -> Iterator[tuple]:
+def _send(held: dict, later: dict) -> Iterator[tuple]:
     for (gram, stretch), (doc_id, text_hash, start) in held.items():
         yield gram, doc_id, text_hash, start, stretch, None
-    for doc_id, text_hash, start, stop in later:
-        yield text_hash ^ (start * 0x9E3779B1), doc_id, text_hash, start, None, stop
+    for (doc_id, text_hash), runs in later.items():
+        for start, stop in merged_runs(runs):
+            yield text_hash ^ (start * 0x9E3779B1), doc_id, text_hash, start, None, stop
 
 
 def longest_previous(places: list[int], common_prefix: list[int]) -> list[int]:
@@ -292,9 +294,13 @@ def sort_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if group:
             held += group
             strings += sum(len(stretches[i]) - LENGTH + 1 for i in group)
-    if runs:
+    of_doc: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for doc_id, text_hash, start, stop in runs:
+        of_doc.setdefault((doc_id, text_hash), []).append((start, stop))
+    merged = [(*key, *run) for key, own in of_doc.items() for run in merged_runs(own)]
+    if merged:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in zip(*runs, strict=True)], ["doc_id", "text_hash", "start", "stop"]
+            [pa.array(c, pa.int64()) for c in zip(*merged, strict=True)], ["doc_id", "text_hash", "start", "stop"]
         )
 
 

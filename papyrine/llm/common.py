@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,3 +104,34 @@ def without_rows(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", te
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> tuple[F.Column, F.Column]:
     """What tells rows apart: the id and a hash of the text, so that rows that share an id are still rows of their own."""
     return F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+
+
+#: Buckets per shuffle partition that packed rows are dealt to.
+BUCKETS_PER_PARTITION = 8
+PACKED = "bucket long, payload binary"
+
+
+def packed(table: pa.Table, bucket: np.ndarray) -> pa.RecordBatch:
+    """One row per bucket with its rows of ``table``, in their order, as a compressed Arrow stream.
+
+    For millions of small rows on their way to a task that takes all rows of a bucket anyway: a shuffled row of its own
+    would cost more than what is in it.
+    """
+    order = np.argsort(bucket, kind="stable")
+    table, bucket = table.take(pa.array(order)).combine_chunks(), bucket[order]
+    cuts = [*np.flatnonzero(np.diff(bucket, prepend=-1)).tolist(), len(bucket)]
+    options, payloads = pa.ipc.IpcWriteOptions(compression="zstd"), []
+    for start, stop in zip(cuts, cuts[1:], strict=False):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
+            writer.write_table(table.slice(start, stop - start))
+        payloads.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[cuts[:-1]], pa.int64()), pa.array(payloads, pa.binary())], ["bucket", "payload"]
+    )
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
+    """All rows of the packed batches."""
+    tables = [pa.ipc.open_stream(raw).read_all() for batch in batches for raw in batch["payload"].to_pylist()]
+    return pa.concat_tables(tables) if tables else None

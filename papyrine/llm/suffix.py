@@ -14,6 +14,7 @@ reduced to the earliest before they are sent, so a passage that a third of all d
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -32,7 +33,7 @@ PARTITION_BYTES, SORTED_STRINGS = 64 << 20, 100_000
 _U = np.uint64
 #: Stands for a null id where texts are joined by id; it is the smallest.
 _NULL_ID = -(2**63)
-#: Rows that need no partner are spread by a hash of their own; bit 62 of a span marks a hash known to repeat.
+#: Bit 62 of a span marks a hash known to repeat.
 _KNOWN = 1 << 62
 
 
@@ -102,8 +103,9 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
             at, held = i + 1, 0
 
 
-def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """hash, doc_id, span: of each hash in this task's input one row, marked if it occurs again; the others as known."""
+def find_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packed hash, doc_id, span, meets: of each hash in this task's input one row meets those of other tasks, marked if
+    the hash occurs again here; the other rows are known to repeat."""
     held: list[tuple] = []
     count = 0
     for batch in batches:
@@ -114,34 +116,29 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append((hashes, ids[at + rows], (first << 8) | (last - first)))
             count += len(hashes)
         if count >= HELD_ANCHORS:
-            yield _one_of_each(held)
+            yield _one_of_each(held, buckets)
             held, count = [], 0
     if count:
-        yield _one_of_each(held)
+        yield _one_of_each(held, buckets)
 
 
-def _one_of_each(held: list[tuple]) -> pa.RecordBatch:
+def _one_of_each(held: list[tuple], buckets: int) -> pa.RecordBatch:
     hashes, ids, spans = (np.concatenate(c) for c in zip(*held, strict=True))
     order = np.argsort(hashes, kind="stable")
-    hashes, ids, spans = hashes[order], ids[order], spans[order]
-    new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
-    again = np.concatenate([~new[1:], [False]])
-    # The first of each hash meets those of other tasks; the rest is known to repeat and needs to meet none.
-    spans = np.where(~new | again, spans | _KNOWN, spans)
-    goes = np.where(new, hashes, _mix(hashes, np.arange(len(hashes))))
-    return _anchor_rows(goes, hashes, ids, spans, new)
-
-
-def _anchor_rows(goes, hashes, ids, spans, meets) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(goes.view(np.int64)),
-            pa.array(np.where(meets, 0, hashes.view(np.int64)), mask=meets),
-            pa.array(ids),
-            pa.array(spans),
-        ],
-        ["goes", "hash", "doc_id", "span"],
+    ordered = hashes[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    meets, again = np.empty(len(hashes), bool), np.empty(len(hashes), bool)
+    meets[order], again[order] = new, np.concatenate([~new[1:], [False]])
+    goes = np.where(meets, hashes, _mix(hashes, np.arange(len(hashes)))) % _U(buckets)
+    table = pa.table(
+        {
+            "hash": hashes.view(np.int64),
+            "doc_id": ids,
+            "span": np.where(~meets | again, spans | _KNOWN, spans),
+            "meets": meets,
+        }
     )
+    return common.packed(table, goes.astype(np.int64))
 
 
 def _mix(hashes: np.ndarray, salt: np.ndarray) -> np.ndarray:
@@ -150,13 +147,10 @@ def _mix(hashes: np.ndarray, salt: np.ndarray) -> np.ndarray:
 
 def repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """hash, doc_id, span of the anchors whose hash occurs more than once; all rows of a hash are in one partition."""
-    held = [[c.to_numpy(zero_copy_only=False) for c in (b["goes"], b["doc_id"], b["span"])] + [b["hash"]] for b in batches]
-    if not held:
+    table = common.unpacked(batches)
+    if table is None:
         return
-    goes, ids, spans = (np.concatenate([h[i] for h in held]) for i in range(3))
-    meets = np.concatenate([h[3].is_null().to_numpy(zero_copy_only=False) for h in held])
-    given = np.concatenate([h[3].fill_null(0).to_numpy(zero_copy_only=False) for h in held])
-    hashes = np.where(meets, goes, given)
+    hashes, ids, spans, meets = (table[n].to_numpy() for n in ("hash", "doc_id", "span", "meets"))
     order = np.argsort(hashes, kind="stable")
     hashes, ids, spans, meets = hashes[order], ids[order], spans[order], meets[order]
     own = np.cumsum(np.concatenate([[True], hashes[1:] != hashes[:-1]])) - 1
@@ -167,17 +161,24 @@ def repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     )
 
 
-_STRETCH = "hash long, doc_id long, text_hash long, start long, stretch binary, stop long"
+_STRETCH = pa.schema(
+    [
+        ("hash", pa.int64()),
+        ("doc_id", pa.int64()),
+        ("text_hash", pa.int64()),
+        ("start", pa.int64()),
+        ("stretch", pa.binary()),
+        ("stop", pa.int64()),
+    ]
+)
 
 
-def _stretch_rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-    columns = zip(*rows, strict=True)
-    names = [field.split(" ")[0] for field in _STRETCH.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+def _stretch_rows(rows: list[tuple], buckets: int) -> pa.RecordBatch:
+    table = pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _STRETCH, strict=True)], _STRETCH)
+    return common.packed(table, (table["hash"].to_numpy().view(_U) % _U(buckets)).astype(np.int64))
 
 
-def cut_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def cut_stretches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """The stretches to be sorted (earliest of equal ones), and runs already known to be later copies (no stretch)."""
     held: dict[tuple[int, bytes], tuple] = {}
     later: dict[tuple[int, int], list[tuple[int, int]]] = {}
@@ -202,10 +203,10 @@ def cut_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     later.setdefault(first[:2], []).append((first[2], first[2] + stop - start))
                 size += 100
         if size >= HELD_BYTES:
-            yield _stretch_rows(list(_send(held, later)))
+            yield _stretch_rows(list(_send(held, later)), buckets)
             held, later, size = {}, {}, 0
     if held or later:
-        yield _stretch_rows(list(_send(held, later)))
+        yield _stretch_rows(list(_send(held, later)), buckets)
 
 
 def _send(held: dict, later: dict) -> Iterator[tuple]:
@@ -213,7 +214,8 @@ def _send(held: dict, later: dict) -> Iterator[tuple]:
         yield gram, doc_id, text_hash, start, stretch, None
     for (doc_id, text_hash), runs in later.items():
         for start, stop in merged_runs(runs):
-            yield text_hash ^ (start * 0x9E3779B1), doc_id, text_hash, start, None, stop
+            # Meets nothing: spread by itself.
+            yield text_hash ^ (start & 0xFFFFFFFF), doc_id, text_hash, start, None, stop
 
 
 def longest_previous(places: list[int], common_prefix: list[int]) -> list[int]:
@@ -263,11 +265,10 @@ def later_strings(stretches: list[bytes], starts: np.ndarray) -> list[np.ndarray
 
 def sort_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text_hash, start, stop: runs covered by strings that start earlier. All stretches of a hash are here."""
-    columns: list[list] = [[] for _ in range(6)]
-    for batch in batches:
-        for held, column in zip(columns, batch.columns, strict=True):
-            held.extend(column.to_pylist())
-    grams, ids, text_hashes, starts, stretches, stops = columns
+    table = common.unpacked(batches)
+    if table is None:
+        return
+    grams, ids, text_hashes, starts, stretches, stops = (c.to_pylist() for c in table.columns)
     runs = [(ids[i], text_hashes[i], starts[i], stops[i]) for i in range(len(grams)) if stretches[i] is None]
     order = sorted(
         (i for i in range(len(grams)) if stretches[i] is not None),
@@ -342,9 +343,12 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
     )
     size = plain.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(common.shuffle_partitions(spark), -(-size // PARTITION_BYTES))
-    found = common.map_partitions(plain.select("doc_id", "text"), find_anchors, "goes long, hash long, doc_id long, span long")
+    buckets = parts * common.BUCKETS_PER_PARTITION
+    found = common.map_partitions(
+        plain.select("doc_id", "text"), functools.partial(find_anchors, buckets=buckets), common.PACKED
+    )
     again = common.map_partitions(
-        found.repartition(parts, "goes"), repeated_anchors, "hash long, doc_id long, span long"
+        found.repartition(parts, "bucket"), repeated_anchors, "hash long, doc_id long, span long"
     )
     # One row per document, no longer than its text.
     wanted = again.groupBy("doc_id").agg(F.collect_list(F.struct("hash", "span")).alias("found"))
@@ -357,9 +361,9 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
         F.col("found.span").alias("spans"),
         "rest",
     )
-    stretches = common.map_partitions(suspects, cut_stretches, _STRETCH)
+    stretches = common.map_partitions(suspects, functools.partial(cut_stretches, buckets=buckets), common.PACKED)
     runs = common.map_partitions(
-        stretches.repartition(parts, "hash"), sort_stretches, "doc_id long, text_hash long, start long, stop long"
+        stretches.repartition(parts, "bucket"), sort_stretches, "doc_id long, text_hash long, start long, stop long"
     )
     of_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("text_hash", "start", "stop")).alias("runs"))
     mine = F.filter("runs", lambda r: r["text_hash"] == F.xxhash64("text"))

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from papyrine.llm import common
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-#: Words that a worker keeps encoded; then it starts afresh.
-CACHE_WORDS = 600_000
+#: Words that one generation of a worker's cache holds; there are two.
+CACHE_WORDS = 500_000
 #: Symbols of a word up to which words are merged together.
 BATCH_SYMBOLS = 64
 #: Symbols held in one matrix of trees.
@@ -241,17 +241,24 @@ class Encoder:
 
 
 class WordCache(dict):
-    """Word -> ``make(ids)``; missing words are encoded together, memory is bounded by starting afresh."""
+    """Word -> ``make(ids)``; missing words are encoded together.
+
+    Two generations bound the memory: a full one becomes the old one, and words met again move from there to the new one.
+    """
 
     def __init__(self, encoder: Encoder, make, limit: int = CACHE_WORDS):
         super().__init__()
-        self.encoder, self.make, self.limit = encoder, make, limit
+        self.encoder, self.make, self.limit, self.old = encoder, make, limit, {}
 
     def fill(self, texts_words: list[list[bytes]]) -> None:
         """Afterwards every word of ``texts_words`` is a key."""
         if len(self) > self.limit:
+            self.old = dict(self)
             self.clear()
-        missing = list(set().union(*texts_words).difference(self))
+        wanted = set().union(*texts_words).difference(self)
+        known = wanted.intersection(self.old)
+        self.update((w, self.old[w]) for w in known)
+        missing = list(wanted - known)
         self.update(zip(missing, map(self.make, self.encoder.encode_words(missing)), strict=True))
 
 

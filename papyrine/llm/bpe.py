@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from papyrine.llm import common
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-#: Words that one generation of a worker's cache holds; there are two.
-CACHE_WORDS = 500_000
+#: Words that a worker keeps encoded; then it starts afresh.
+CACHE_WORDS = 700_000
 #: Symbols of a word up to which words are merged together.
 BATCH_SYMBOLS = 64
 #: Symbols held in one matrix of trees.
@@ -205,61 +205,48 @@ class Encoder:
         """The ids of each word (little-endian, 32 bits); words hold no white space."""
         if not words:
             return []
-        of_special = {t.encode(): np.array([i], "<u4").tobytes() for t, i in self.special.items()}
-        pieces: list[list[str] | list[bytes]] = []
         together = b"\n".join(words).decode()
         if self.patterns is None or _UNUSUAL.search(together) or self.special_at.search(together):
-            # Words of usual characters still go through one pass of the pattern.
-            plain = [w for w in words if not _UNUSUAL.search(w.decode()) and w not in of_special] if self.patterns else []
-            known = dict(zip(plain, self._split_usual(b"\n".join(plain).decode()), strict=True)) if plain else {}
-            pieces = [
-                [] if w in of_special else known[w] if w in known else [p.decode() for p in self.pieces(w.decode())]
-                for w in words
-            ]
-        else:
-            pieces = self._split_usual(together)
-        distinct = list({p for own in pieces for p in own})
+            of_special = {t.encode(): np.array([i], "<u4").tobytes() for t, i in self.special.items()}
+            plain = [w for w in words if self.patterns and w not in of_special and not _UNUSUAL.search(w.decode())]
+            found = dict(zip(plain, self._encode_lines(b"\n".join(plain).decode()), strict=True)) if plain else {}
+            rest = {w: self.pieces(w.decode()) for w in words if w not in found and w not in of_special}
+            distinct = list({p for own in rest.values() for p in own})
+            ids = dict(zip(distinct, self.encode_many(distinct), strict=True))
+            found |= of_special | {w: b"".join(map(ids.__getitem__, own)) for w, own in rest.items()}
+            return [found[w] for w in words]
+        return self._encode_lines(together)
+
+    def _encode_lines(self, lines: str) -> list[bytes]:
+        """The ids of each line of usual characters, all found in one pass of the pattern."""
+        pieces = self.lines_pattern.findall(lines.lower() if self.lowers else lines)
+        distinct = list(set(pieces) - {"\n"})
         ids = dict(zip(distinct, self.encode_many([p.encode() for p in distinct]), strict=True))
-        return [
-            ids[own[0]] if len(own) == 1 else of_special.get(w) or b"".join(map(ids.__getitem__, own))
-            for w, own in zip(words, pieces, strict=True)
-        ]
-
-    def _split_usual(self, lines: str) -> list[list[str]]:
-        """The pieces of each line; line breaks are in no piece."""
-        out: list[list[str]] = [[]]
-        for piece in self.lines_pattern.findall(lines.lower() if self.lowers else lines):
-            if piece == "\n":
-                out.append([])
-            else:
-                out[-1].append(piece)
-        return out
+        ids["\n"] = b""  # no other piece is without ids
+        parts = list(map(ids.__getitem__, pieces))
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        raw, ends = b"".join(parts), np.cumsum(lengths)
+        cuts = [0, *ends[lengths == 0].tolist(), len(raw)]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def decode(self, ids: list[int]) -> str:
         """As the library's ``decode`` for a file without a decoder: the tokens, joined by one space."""
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-class WordCache(dict):
-    """Word -> ``make(ids)``; missing words are encoded together.
-
-    Two generations bound the memory: a full one becomes the old one, and words met again move from there to the new one.
-    """
+class WordCache:
+    """``table``: word -> ``make(ids)``; missing words are encoded together, memory is bounded by starting afresh."""
 
     def __init__(self, encoder: Encoder, make, limit: int = CACHE_WORDS):
-        super().__init__()
-        self.encoder, self.make, self.limit, self.old = encoder, make, limit, {}
+        self.encoder, self.make, self.limit, self.table = encoder, make, limit, {}
 
     def fill(self, texts_words: list[list[bytes]]) -> None:
         """Afterwards every word of ``texts_words`` is a key."""
-        if len(self) > self.limit:
-            self.old = dict(self)
-            self.clear()
-        wanted = set().union(*texts_words).difference(self)
-        known = wanted.intersection(self.old)
-        self.update((w, self.old[w]) for w in known)
-        missing = list(wanted - known)
-        self.update(zip(missing, map(self.make, self.encoder.encode_words(missing)), strict=True))
+        if len(self.table) > self.limit:
+            self.table.clear()
+        # A plain dict: the difference looks words up in it instead of running through it.
+        missing = list(set().union(*texts_words).difference(self.table))
+        self.table.update(zip(missing, map(self.make, self.encoder.encode_words(missing)), strict=True))
 
 
 @functools.lru_cache(maxsize=4)
@@ -304,7 +291,7 @@ def encode_texts(batch_texts: list[str], path: str = WORD_BPE) -> list[bytes]:
     for run in groups(batch_texts):
         words = [cache.encoder.words(t) for t in run]
         cache.fill(words)
-        out += [b"".join(map(cache.__getitem__, w)) for w in words]
+        out += [b"".join(map(cache.table.__getitem__, w)) for w in words]
     return out
 
 
@@ -338,7 +325,7 @@ def digests(docs: DataFrame, path: str = WORD_BPE, id_col: str = "doc_id", text_
             words = [cache.encoder.words(t) for t in run]
             cache.fill(words)
             for own in words:
-                found = [x for x in map(cache.__getitem__, own) if x[2]]
+                found = [x for x in map(cache.table.__getitem__, own) if x[2]]
                 ids, decoded, n = zip(*found, strict=True) if found else ((), (), ())
                 counts.append(sum(n))
                 ids_digest.append(hashlib.sha256(" ".join(ids).encode()).hexdigest())

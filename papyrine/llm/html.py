@@ -146,26 +146,28 @@ class Page:
         return len(self.tags) - 1
 
     def features(self) -> list[tuple[str, ...]]:
-        """Of each node its tag, what its names say, and how much text and how many links lie in it."""
+        """Of each node what its names say, and how much text and how many links lie in it."""
         total, linked = self.own[:], self.linked[:]
         for node in range(len(total) - 1, 0, -1):
             total[self.parents[node]] += total[node]
             linked[self.parents[node]] += linked[node]
         out = []
-        for node, tag in enumerate(self.tags):
+        for node in range(len(self.tags)):
             words = self.words[node]
             named = ("c" if words & _CONTENT_WORDS else "") + ("o" if words & _OTHER_WORDS else "")
             density = linked[node] / total[node] if total[node] else 0.0
             out.append(
                 (
-                    "tag:" + _CALLED.get(tag, tag),
                     "named:" + named,
-                    f"own:{min(3, self.own[node] // 40)}",
+                    f"own:{min(2, self.own[node] // 40)}",
                     f"links:{0 if density == 0 else 1 if density < 0.3 else 2 if density < 0.7 else 3}",
                 )
             )
         return out
 
+    def kind(self, node: int) -> str:
+        return _CALLED.get(self.tags[node], self.tags[node])
+
     def labels(self) -> list[int] | None:
         """Labels of a page that marks its article (or carries marks of its own), else none."""
         marked = any(m is not None for m in self.marks)
@@ -189,20 +191,30 @@ class Page:
             return found
         for node, features in enumerate(self.features()):
             if node:
-                found[f"{labels[self.parents[node]]}>{labels[node]}"] += 1
+                found[f"{self.kind(node)}>{labels[self.parents[node]]}>{labels[node]}"] += 1
             for feature in features:
                 found[f"{labels[node]}|{feature}"] += 1
         return found
 
 
 class Model:
-    """Tables of the tree model as logarithms; ``marginals`` runs the messages."""
+    """Tables of the tree model as logarithms; ``marginals`` runs the messages.
+
+    How a label follows from the parent's depends on the element: paragraphs and items are as their parent, sections may
+    not be. An element never met has the table of all elements together.
+    """
 
     def __init__(self, counts: Counter):
-        self.edges = [[0.0, 0.0], [0.0, 0.0]]
-        for above in (0, 1):
-            total = sum(counts[f"{above}>{y}"] + SMOOTHING for y in (0, 1))
-            self.edges[above] = [math.log((counts[f"{above}>{y}"] + SMOOTHING) / total) for y in (0, 1)]
+        steps: Counter = Counter()
+        for key, n in counts.items():
+            if ">" in key:
+                kind, above, y = key.split(">")
+                steps[kind, int(above), int(y)] += n
+                steps["*", int(above), int(y)] += n
+        self.edges = {}
+        for kind in {"*"} | {k for k, _, _ in steps}:
+            rows = [[steps[kind, above, y] + SMOOTHING for y in (0, 1)] for above in (0, 1)]
+            self.edges[kind] = [[math.log(n / sum(row)) for n in row] for row in rows]
         self.seen: dict[str, tuple[float, float]] = {}
         kinds: dict[str, set] = {}
         for key in counts:
@@ -215,7 +227,9 @@ class Model:
 
     def marginals(self, page: Page) -> list[float]:
         """Probability of content of every node."""
-        n, edges, parents = len(page.tags), self.edges, page.parents
+        n, parents = len(page.tags), page.parents
+        any_kind = self.edges["*"]
+        steps = [self.edges.get(page.kind(node), any_kind) for node in range(n)]
         up = [[0.0, 0.0] for _ in range(n)]
         for node, features in enumerate(page.features()):
             for feature in features:
@@ -225,7 +239,7 @@ class Model:
         # Children stand after their parents: backwards is upwards.
         sent = [(0.0, 0.0)] * n
         for node in range(n - 1, 0, -1):
-            own = up[node]
+            own, edges = up[node], steps[node]
             sent[node] = tuple(_log_sum(edges[y][0] + own[0], edges[y][1] + own[1]) for y in (0, 1))
             above = up[parents[node]]
             above[0] += sent[node][0]
@@ -235,7 +249,7 @@ class Model:
         belief[0] = [up[0][0], -math.inf]
         out = [0.0] * n
         for node in range(1, n):
-            above = belief[parents[node]]
+            above, edges = belief[parents[node]], steps[node]
             rest = [above[y] - sent[node][y] for y in (0, 1)]
             down = [_log_sum(rest[0] + edges[0][y], rest[1] + edges[1][y]) for y in (0, 1)]
             belief[node] = [up[node][y] + down[y] for y in (0, 1)]
@@ -316,7 +330,7 @@ LAYOUTS = (
     f"data-main='0'><h3>Comments</h3><div class='comment'><p>I liked this article very much, and I say so here.</p></div></section>"
     f"<footer>{_LINKS}</footer></body>",
     f"<body data-main='0'><div class='header'><p>Site</p><div class='menu'>{_LINKS}</div></div><div class='ad'><p>Buy this thing "
-    f"now.</p></div><div class='post'><div class='entry-content' data-main='1'>{_P}{_P}<div class='advert' data-main='0'><p>Buy more "
+    f"now.</p></div><div class='post' data-main='1'><div class='entry-content'>{_P}{_P}<div class='advert' data-main='0'><p>Buy more "
     f"things.</p></div>{_P}</div></div><form class='newsletter'><p>Subscribe to our letter.</p></form><div id='comments'><ol><li><p>A "
     f"reader writes something of some length here, too.</p></li></ol></div><div class='footer'><p>Contact and imprint.</p></div></body>",
     f"<body data-main='0'><div class='breadcrumb'>{_LINKS}</div><article data-main='1'><header><h1>Title</h1></header>{_P}<figure><figcaption>"

@@ -93,26 +93,30 @@ def host_rates(flags: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("docs"), *[F.count_if(f"fails_{r}").alias(f"failed_{r}") for r in RULES]
     )
     counts = store(counts, "hosts")
-    # Mean and variance of the hosts' rates: one row.
-    rates = {r: F.col(f"failed_{r}") / F.col("docs") for r in RULES}
-    moments = counts.agg(
-        *[F.avg(x).alias(f"mean_{r}") for r, x in rates.items()],
-        *[F.var_pop(x).alias(f"var_{r}") for r, x in rates.items()],
+    # Sums over the hosts: one row.
+    sums = counts.agg(
+        F.sum("docs").alias("docs"),
+        F.count(F.lit(1)).alias("hosts"),
+        *[F.sum(f"failed_{r}").alias(f"failed_{r}") for r in RULES],
+        *[F.sum(F.col(f"failed_{r}") * F.col(f"failed_{r}") / F.col("docs")).alias(f"squares_{r}") for r in RULES],
     ).first()
     out = counts
     for r in RULES:
-        mean, spread = moments[f"mean_{r}"] or 0.0, moments[f"var_{r}"] or 0.0
-        weight = prior_weight(mean, spread)
+        mean, weight = prior(sums["docs"] or 1, sums["hosts"], sums[f"failed_{r}"] or 0, sums[f"squares_{r}"] or 0.0)
         shrunk = (F.col(f"failed_{r}") + F.lit(mean * weight)) / (F.col("docs") + F.lit(weight))
         out = out.withColumn(f"rate_{r}", shrunk)
     return out
 
 
-def prior_weight(mean: float, spread: float) -> float:
-    """Documents that the prior counts for, by the method of moments; between 1 and a million."""
-    if spread <= 0:
-        return 1e6
-    return min(1e6, max(1.0, mean * (1 - mean) / spread - 1))
+def prior(docs: int, hosts: int, failed: int, squares: float) -> tuple[float, float]:
+    """Mean of the prior and the documents that it counts for (1 to a million), by the method of moments.
+
+    ``squares``: sum of failed * failed / docs over the hosts. The spread of the hosts' rates, weighted by their documents,
+    less what chance alone gives, is the spread of the beta distribution.
+    """
+    mean = failed / docs
+    spread = squares / docs - mean * mean - mean * (1 - mean) * hosts / docs
+    return mean, 1e6 if spread <= 0 else min(1e6, max(1.0, mean * (1 - mean) / spread - 1))
 
 
 def strict_hosts(rates: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:

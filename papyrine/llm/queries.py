@@ -112,7 +112,9 @@ h as (
   select host, count(*) as docs, unnest([1, 2, 3, 4]) as r,
     unnest([count(*) filter (f1), count(*) filter (f2), count(*) filter (f3), count(*) filter (f4)]) as k
   from f group by host),
-prior as (select r, avg(k / docs) as mean, var_pop(k / docs) as spread from h group by r),
+sums as (select r, sum(k) / sum(docs) as mean, sum(k * k / docs) / sum(docs) as squares, count(*) / sum(docs) as share
+  from h group by r),
+prior as (select r, mean, squares - mean * mean - mean * (1 - mean) * share as spread from sums),
 weight as (
   select r, mean, case when spread <= 0 then 1e6 else least(1e6, greatest(1.0, mean * (1 - mean) / spread - 1)) end as wt
   from prior),

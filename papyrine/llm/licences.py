@@ -8,6 +8,7 @@ s/(2-s) and (2-s)/s times m: other templates are never compared. All of it is co
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,8 +70,6 @@ TEMPLATES = {
     "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
 }
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 
 def template_bigrams(text: str) -> list[str]:
     """Word bigrams, the k-th of its kind marked with k: as sets, such lists meet as often as bags would."""
@@ -89,13 +88,20 @@ def size_bounds(size: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     return fits[0], fits[-1]
 
 
+def plain(text: Column) -> Column:
+    return F.lower(F.regexp_replace(text, r"[^A-Za-z0-9\n]+", " "))
+
+
 def units(text: Column) -> Column:
-    """Words of every line and block of a text, each once, as arrays."""
-    plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), r"[^a-z0-9\n]+", " ")
-    lines = F.split(plain, "\n")
-    blocks = F.transform(F.split(plain, "\n *\n[ \n]*"), lambda b: F.translate(b, "\n", " "))
-    parts = F.transform(F.concat(lines, blocks), lambda u: F.trim(F.regexp_replace(u, " +", " ")))
-    return F.array_distinct(parts)
+    """Every line and block of a plain text, each once."""
+    lines = F.split(text, "\n")
+    blocks = F.transform(F.split(text, "\n *\n[ \n]*"), lambda b: F.replace(b, F.lit("\n"), F.lit(" ")))
+    return F.array_distinct(F.transform(F.concat(lines, blocks), lambda u: F.trim(F.regexp_replace(u, " +", " "))))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: written out, a lambda would compute it for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def bigrams(words: Column) -> Column:
@@ -103,10 +109,21 @@ def bigrams(words: Column) -> Column:
         F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
         lambda w, i: F.concat(F.get(words, i), F.lit(" "), w),
     )
-    return F.transform(
-        pairs,
-        lambda p, i: F.concat(p, F.lit(" "), F.size(F.filter(F.slice(pairs, 1, i + 1), lambda q: q == p)).cast("string")),
-    )
+
+    def numbered(own: Column) -> Column:
+        def nth(p: Column, i: Column) -> Column:
+            return F.concat(p, F.lit(" "), F.size(F.filter(F.slice(own, 1, i + 1), lambda q: q == p)).cast("string"))
+
+        all_once = F.size(F.array_distinct(own)) == F.size(own)
+        return F.when(all_once, F.transform(own, lambda p: F.concat(p, F.lit(" 1")))).otherwise(F.transform(own, nth))
+
+    return _bound(pairs, numbered)
+
+
+def _step(df: DataFrame, **made: Column) -> DataFrame:
+    """doc_id and one more column, computed once: a generator stands between it and what reads it."""
+    ((name, value),) = made.items()
+    return df.select("doc_id", F.inline(F.array(F.struct(value.alias(name)))))
 
 
 def scan(
@@ -137,14 +154,13 @@ def scan(
         ]
     )
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), plain(text).alias("plain"))
+    rows = _step(rows, plain=F.col("plain"))
     # Units outside all bounds go before any bigram is made: a unit of n words has n - 1 of them.
     words = F.filter(
-        F.transform(units(text), lambda u: F.split(u, " ")),
-        lambda w: (F.size(w) - 1).between(least, most),
+        F.transform(units(F.col("plain")), lambda u: F.split(u, " ")), lambda w: (F.size(w) - 1).between(least, most)
     )
-    held = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.inline(F.array(F.struct(words.alias("words")))))
-    # Each step is computed once: a generator stands between it and the next.
-    made = held.select("doc_id", F.inline(F.array(F.struct(F.transform("words", bigrams).alias("units")))))
+    made = _step(_step(rows, words=words), units=F.transform("words", bigrams))
 
     def compared(unit: Column) -> Column:
         n = F.size(unit)
@@ -164,7 +180,7 @@ def scan(
         return F.filter(F.transform(fitting, one), lambda m: m["dice"] >= threshold)
 
     matches = F.filter(F.transform("units", compared), lambda m: F.size(m) > 0)
-    matched = made.select("doc_id", F.inline(F.array(F.struct(matches.alias("matches")))))
+    matched = _step(made, matches=matches)
     better = F.array_sort(
         F.flatten("matches"),
         lambda a, b: F.when(a["dice"] != b["dice"], F.when(a["dice"] > b["dice"], -1).otherwise(1))
@@ -172,11 +188,9 @@ def scan(
         .when(a["unit_bigrams"] != b["unit_bigrams"], F.when(a["unit_bigrams"] < b["unit_bigrams"], -1).otherwise(1))
         .otherwise(0),
     )
-    best = F.get(better, F.lit(0))
+    found = F.struct(F.size("matches").cast("long").alias("n_units"), F.get(better, F.lit(0)).alias("best"))
     fields = ["licence", "dice", "shared", "unit_bigrams", "template_bigrams"]
-    return matched.select(
-        "doc_id", F.size("matches").cast("long").alias("n_units"), *[best[f].alias(f) for f in fields]
-    )
+    return _step(matched, found=found).select("doc_id", "found.n_units", *[f"found.best.{f}" for f in fields])
 
 
 def scan_sql(templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> str:
@@ -185,7 +199,7 @@ def scan_sql(templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD
     return f"""
 with template(licence, own) as (values {rows}),
 plain as (
-  select doc_id, regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^a-z0-9\\n]+', ' ', 'g') as t
+  select doc_id, lower(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9\\n]+', ' ', 'g')) as t
   from documents),
 unit as (
   select distinct doc_id, string_split(trim(regexp_replace(u, ' +', ' ', 'g'), ' '), ' ') as w

@@ -7,7 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WHITE_SPACE = " \t\n\r\f\x0b"
-TOKEN = "[a-z0-9_]{2,}"
+#: Letters with their marks, digits and the underscore of any script.
+TOKEN = r"[\p{L}\p{M}\p{N}_]{2,}"
 
 
 def strip(text: Column) -> Column:

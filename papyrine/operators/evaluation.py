@@ -79,7 +79,7 @@ def train_text_classifier(
     if algorithm not in estimators:
         raise ValueError(f"unknown algorithm {algorithm!r}")
     stages = [
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"\w{2,}", gaps=False),
+        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"(?U)\w{2,}", gaps=False),
         StopWordsRemover(inputCol="_words", outputCol="_terms"),
         HashingTF(inputCol="_terms", outputCol="_counts", numFeatures=features),
         IDF(inputCol="_counts", outputCol="_features"),

@@ -77,7 +77,7 @@ def word_candidates(text: Column, stop_words: list[str]) -> Column:
 
 def chunk_candidates(text: Column, stop_words: list[str], max_words: int = 4) -> Column:
     """Runs of up to ``max_words`` words between stop words and punctuation."""
-    plain = F.regexp_replace(F.lower(text), "[^a-z0-9_ ]+", " | ")
+    plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}_ ]+", " | ")
     words = F.filter(F.split(plain, " "), lambda w: w != "")
     marked = F.transform(words, lambda w: F.when(w.isin(*stop_words), F.lit("|")).otherwise(w)) if stop_words else words
     runs = F.transform(F.split(F.array_join(marked, " "), r"\|"), lambda run: F.trim(run))

@@ -11,7 +11,7 @@ from papyrine.plans.registry import query, table
 STOP_WORDS = ["and", "the", "of", "to", "in", "is", "it", "on", "by", "for", "with", "at", "as", "an", "are",
               "un", "la", "le", "en", "de", "el", "der", "die", "das", "und"]
 STOP_SQL = "(" + ", ".join(f"'{w}'" for w in STOP_WORDS) + ")"
-TOKENS_SQL = "regexp_extract_all(lower(text), '[a-z0-9_]{2,}')"
+TOKENS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]{2,}')"
 
 TERMS_SQL = f"""counts as (select lang, term, count(*) as n from (select lang, unnest({TOKENS_SQL}) as term from documents)
     where term not in {STOP_SQL} group by lang, term),
@@ -83,7 +83,7 @@ def _phrases_sql(candidates: str, n: int) -> str:
 
 WORDS_SQL = f"list_filter({TOKENS_SQL}, lambda w: w not in {STOP_SQL})"
 CHUNKS_SQL = f"""list_filter(list_transform(string_split(array_to_string(list_transform(list_filter(string_split(
-    regexp_replace(lower(text), '[^a-z0-9_ ]+', ' | ', 'g'), ' '), lambda w: w <> ''),
+    regexp_replace(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}_ ]+', ' | ', 'g'), ' '), lambda w: w <> ''),
     lambda w: case when w in {STOP_SQL} then '|' else w end), ' '), '|'), lambda r: trim(r)),
     lambda r: r <> '' and len(string_split(r, ' ')) <= 4)"""
 

@@ -76,4 +76,11 @@ def test_strip_and_preview(spark):
     for value in ("", " ", "\t a b\n", "a", "\x0b\x0cx y\r", "x "):
         assert one(spark, value, text.strip) == value.strip(text.WHITE_SPACE)
     assert one(spark, "a" * 120 + "\nb", text.preview) == "a" * 100
-    assert one(spark, "A b2 cd_e, ouè", text.tokens) == ["b2", "cd_e", "ou"]
+    assert one(spark, "A b2 cd_e, ouè", text.tokens) == ["b2", "cd_e", "ouè"]
+
+
+def test_words_of_any_script(spark):
+    from papyrine.functions.text import tokens
+
+    row = spark.createDataFrame([("Größe für naïve élève",)], "t string").select(tokens(F.col("t")).alias("w")).first()
+    assert row["w"] == ["größe", "für", "naïve", "élève"]

@@ -2,31 +2,32 @@
 
 A class may hold a third of all rows, so a window over the class is out of the
 question. Rows are ordered by a seeded hash, and hash prefixes are uniform:
-a class is cut into slices of the hash range, as many as its size asks for, and
-counting rows per slice tells which slice holds the row of a wanted rank. Only
-those slices are sorted. The result is one small set of cut-off rows per class;
+a class is cut into slices of the hash range, as many as the square root of its
+rows, and counting rows per slice tells which slice holds the row of a wanted
+rank. Only those slices are sorted, each id once. The result is one small set of cut-off rows per class;
 tagging or filtering the table is then a comparison with those, without moving
 the table's own (wide) rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from papyrine.operators.sizing import BROADCAST_ROWS, fits
+from papyrine.operators.sizing import BROADCAST_ROWS, broadcast_if_small
 from papyrine.session import stage
 
-ROWS_PER_SLICE = 64
-MAX_SLICES = 16_384
-PREFIX_DIGITS = 4
-"""Many slices per class make few rows to sort, and counting them costs a row per slice: a
-64th of the table at most. A class of 100 billion rows sorts 6 million at a time."""
+PREFIX_DIGITS = 8
+"""Hash digits that place a row in its slice; a class has the square root of its rows as slices."""
 
-PLAIN_WINDOW_ROWS = 2_000_000
-"""A table of no more rows than this, as counted, is ranked by a window over id and hash."""
+HOT_SHARE = 1000
+"""Classes with more than one in so many rows, fewer than that many, are joined by broadcast."""
+
+SPREAD = 1024
+
+Ties = Sequence[str]
 
 
 def seeded_hash(id_col: str | Column, seed: int | str) -> Column:
@@ -35,78 +36,142 @@ def seeded_hash(id_col: str | Column, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), column.cast("string")).cast("binary"))
 
 
-def _sort_key(id_col: str, seed: int | str) -> Column:
-    return F.struct(seeded_hash(id_col, seed).alias("h"), F.col(id_col).alias("i"))
+def _key_fields(id_col: str, seed: int | str, ties: Ties) -> list[Column]:
+    """Hash (empty for a null id, so these come first), id, and the columns that order rows of one id."""
+    hashed = F.coalesce(seeded_hash(id_col, seed), F.lit("")).alias("h")
+    return [hashed, F.col(id_col).alias("i"), *[F.col(c).alias(f"t{n}") for n, c in enumerate(ties)]]
+
+
+def _attach(df: DataFrame, per_class: DataFrame, by: str, spread: Column, keep: str) -> DataFrame:
+    """Add the columns of ``per_class`` (``_class``, ``_hot``, others) to the rows of ``df``.
+
+    Hot classes are few by definition and always broadcast. The others are broadcast up to
+    a measured size; beyond it their rows are shuffled by class, while rows of hot classes,
+    which are served already, are spread evenly.
+    """
+    names = [c for c in per_class.columns if c not in ("_class", "_hot")]
+    hot = per_class.filter("_hot").select(F.col("_class").alias("_hot_class"), F.lit(True).alias("_served"), *[
+        F.col(n).alias(f"_hot_{n}") for n in names
+    ])
+    rest = per_class.filter("not _hot").drop("_hot").withColumn("_at", F.lit(0).cast("bigint"))
+    rows = df.join(F.broadcast(hot), df[by].eqNullSafe(hot["_hot_class"]), "left")
+    served = F.coalesce("_served", F.lit(False))
+    rows = rows.withColumn("_spread", F.when(served, F.pmod(F.xxhash64(spread), F.lit(SPREAD)) + 1).otherwise(0))
+    met = F.col(by).eqNullSafe(F.col("_class")) & (F.col("_spread") == F.col("_at"))
+    rows = rows.join(broadcast_if_small(rest, BROADCAST_ROWS), met, "left")
+    rows = rows.withColumns({n: F.coalesce(f"_hot_{n}", n) for n in names})
+    if keep == "inner":
+        rows = rows.filter(served | F.col("_at").isNotNull())
+    return rows.drop("_hot_class", "_served", "_spread", "_class", "_at", *[f"_hot_{n}" for n in names])
 
 
 def class_cutoffs(
-    df: DataFrame, by: str, id_col: str, seed: int | str, ranks: Callable[[Column], Column], ranks_per_class: int
+    df: DataFrame, by: str, id_col: str, seed: int | str, ranks: Callable[[Column], Column], ties: Ties = ()
 ) -> DataFrame:
-    """One row per class: ``cutoffs`` = sort keys of the rows at the wanted ranks, ascending.
+    """One row per class with a wanted rank: ``cutoffs`` = sort keys of the rows at the wanted
+    ranks, ascending, and ``repeated``, whether one of these keys occurs more than once.
 
-    ``ranks`` maps the class size to an array of 1-based ranks, at most
-    ``ranks_per_class`` long. Classes without a wanted rank are absent. Only
-    ``by`` and ``id_col`` are read from ``df``; ids are unique.
+    ``ranks`` maps the class size to a short array of 1-based ranks. A cut-off is the hash, the
+    id, the ``ties`` and the place among rows alike in these. Only ``by``, ``id_col`` and ``ties``
+    are read from ``df``. Null ids come first.
     """
-    keyed = df.select(F.col(by).alias("class"), _sort_key(id_col, seed).alias("key"))
+    keyed = df.select(F.col(by).alias("class"), F.struct(*_key_fields(id_col, seed, ties)).alias("key"))
     sizes = stage(keyed.groupBy("class").agg(F.count(F.lit(1)).alias("class_rows")))
-    classes, rows = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("class_rows"), F.lit(0))).first()
-    small = classes <= BROADCAST_ROWS // ranks_per_class
-    asked = sizes.select(F.col("class").alias("_class"), "class_rows", ranks(F.col("class_rows")).alias("ranks"))
-    asked = asked.filter(F.size("ranks") > 0)
-    if small:
-        asked = F.broadcast(asked)
-    rank = _hits_by_window if rows <= PLAIN_WINDOW_ROWS else _hits_by_slice
-    found = rank(keyed, asked, small).groupBy("class").agg(F.sort_array(F.collect_set("key")).alias("cutoffs"))
-    found = stage(found.withColumnRenamed("class", by))
-    return F.broadcast(found) if small else found
-
-
-def _hits_by_window(keyed: DataFrame, asked: DataFrame, small: bool) -> DataFrame:
-    """Rows at the asked ranks, for a table that was found to be small."""
-    in_class = Window.partitionBy("class").orderBy("key")
-    return (
-        keyed.join(asked, F.col("class").eqNullSafe(F.col("_class")))
-        .withColumn("position", F.row_number().over(in_class).cast("bigint"))
-        .filter(F.array_contains("ranks", F.col("position")))
-    )
-
-
-def _hits_by_slice(keyed: DataFrame, asked: DataFrame, small: bool) -> DataFrame:
-    """Rows at the asked ranks, sorting only the slices that hold one."""
-    slices = F.greatest(F.lit(1), F.least(F.lit(MAX_SLICES), F.floor(F.col("class_rows") / ROWS_PER_SLICE)))
-    sliced = asked.withColumn("slices", slices)
-    of_class = sliced.select("_class", "slices")
-    prefix = F.conv(F.substring("key.h", 1, PREFIX_DIGITS), 16, 10).cast("bigint")
-    placed = keyed.join(of_class, F.col("class").eqNullSafe(F.col("_class"))).select(
-        "class", "key", F.floor(prefix * F.col("slices") / 16**PREFIX_DIGITS).alias("slice")
-    )
+    rows = sizes.agg(F.coalesce(F.sum("class_rows"), F.lit(0))).first()[0]
+    asked = sizes.select(
+        F.col("class").alias("_class"),
+        (F.col("class_rows") * HOT_SHARE > rows).alias("_hot"),
+        F.ceil(F.sqrt("class_rows")).cast("bigint").alias("slices"),
+        ranks(F.col("class_rows")).alias("ranks"),
+    ).filter(F.size("ranks") > 0)
+    prefix = F.coalesce(F.conv(F.substring("key.h", 1, PREFIX_DIGITS), 16, 10).cast("bigint"), F.lit(0))
+    slice_of = F.floor(prefix * F.col("slices") / F.lit(float(16**PREFIX_DIGITS)))
+    placed = _attach(keyed, asked.drop("ranks"), "class", F.col("key"), "inner").withColumn("slice", slice_of)
+    # Slices per class and rows per slice both are about the square root of the class.
     before = Window.partitionBy("class").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     counted = (
         placed.groupBy("class", "slice")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("rows_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     )
-    wanted_ranks = asked.select("_class", "ranks")
     wanted = (
-        counted.join(wanted_ranks, F.col("class").eqNullSafe(F.col("_class")))
+        counted.join(asked.select("_class", "ranks"), F.col("class").eqNullSafe(F.col("_class")))
         .withColumn("rank", F.explode("ranks"))
         .filter((F.col("rank") > F.col("rows_before")) & (F.col("rank") <= F.col("rows_before") + F.col("n")))
-        .select("_class", F.col("slice").alias("_slice"), "rank", (F.col("rank") - F.col("rows_before")).alias("place"))
+        .withColumn("wanted", F.struct("slice", (F.col("rank") - F.col("rows_before")).alias("place")))
+        .groupBy("_class")
+        .agg(F.collect_list("wanted").alias("wanted"))
     )
-    if small:
-        wanted = F.broadcast(wanted)
-    in_slice = Window.partitionBy("class", "slice", "rank").orderBy("key")
-    return (
-        placed.join(wanted, F.col("class").eqNullSafe(F.col("_class")) & (F.col("slice") == F.col("_slice")))
-        .withColumn("position", F.row_number().over(in_slice))
-        .filter(F.col("position") == F.col("place"))
+    searched = asked.drop("ranks").withColumnRenamed("_class", "_own")
+    searched = stage(searched.join(wanted, F.col("_own").eqNullSafe(F.col("_class"))).drop("_own"))
+    in_slice = Window.partitionBy("class", "slice").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    found = (
+        _attach(keyed, searched, "class", F.col("key"), "inner")
+        .withColumn("slice", slice_of)
+        .withColumn("places", F.filter("wanted", lambda w: w["slice"] == F.col("slice")))
+        .filter(F.size("places") > 0)
+        .groupBy("class", "slice", "key")
+        .agg(F.count(F.lit(1)).alias("n"), F.first("places").alias("places"))
+        .withColumn("above", F.coalesce(F.sum("n").over(in_slice), F.lit(0)))
+        .withColumn("place", F.explode("places.place"))
+        .withColumn("place", F.col("place") - F.col("above"))
+        .filter(F.col("place").between(1, F.col("n")))
+        .groupBy("class")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("key.*", "place"))).alias("cutoffs"),
+            (F.max("n") > 1).alias("repeated"),
+        )
     )
+    hot = asked.select(F.col("_class").alias("_own"), "_hot")
+    return stage(hot.join(found.withColumnRenamed("class", "_class"), F.col("_own").eqNullSafe(F.col("_class"))).drop("_own"))
+
+
+def _with_cutoffs(df: DataFrame, cutoffs: DataFrame, by: str, id_col: str, seed: int | str, ties: Ties) -> DataFrame:
+    """Attach the class's cut-offs (null where it has none) and ``_key``, what they are compared with.
+
+    The place among rows alike matters only at a repeated cut-off; only such rows are numbered.
+    """
+    fields = _key_fields(id_col, seed, ties)
+    rows = _attach(df, cutoffs, by, F.col(id_col), "left").withColumn("_key", F.struct(*fields))
+
+    def with_place(frame: DataFrame, place: Column) -> DataFrame:
+        return frame.withColumn("_key", F.struct("_key.*", place.cast("bigint").alias("place")))
 
+    if cutoffs.filter("repeated").isEmpty():
+        return with_place(rows, F.lit(1)).drop("repeated")
+    names = ["h", "i", *[f"t{n}" for n in range(len(ties))]]
 
-def with_cutoffs(df: DataFrame, cutoffs: DataFrame, by: str) -> DataFrame:
-    """Attach the class's cut-offs to each row (NULL where the class has none)."""
-    return df.join(cutoffs, df[by].eqNullSafe(cutoffs[by]), "left").drop(cutoffs[by])
+    def same(cutoff: Column) -> Column:
+        return F.struct(*[cutoff[n].alias(n) for n in names]) == F.col("_key")
+
+    shared = F.coalesce(F.col("repeated") & F.exists("cutoffs", same), F.lit(False))
+    tied = numbered_copies(rows.filter(shared), [F.col(by), F.col("_key")], "_copy")
+    alone = with_place(rows.filter(~shared), F.lit(1))
+    return alone.unionByName(with_place(tied, F.col("_copy")).drop("_copy")).drop("repeated")
+
+
+def numbered_copies(df: DataFrame, group: list[Column], name: str) -> DataFrame:
+    """1-based number of each row among the rows of its group, in no particular order.
+
+    Rows are numbered inside their partition and moved up by the rows of earlier
+    partitions, so a group of any size stays spread. The rows are staged.
+    """
+    keyed = df.withColumn("_group", F.struct(*[c.alias(f"g{n}") for n, c in enumerate(group)]))
+    rows = stage(keyed.withColumn("_row", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_row", 33)))
+    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        rows.groupBy("_group", "_part")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_group", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        .select(F.col("_group").alias("_g"), F.col("_part").alias("_p"), "_offset")
+    )
+    inside = F.row_number().over(Window.partitionBy("_group", "_part").orderBy("_row"))
+    return (
+        rows.withColumn("_inside", inside)
+        .join(parts, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p")))
+        .withColumn(name, F.col("_inside") + F.col("_offset"))
+        .drop("_group", "_row", "_part", "_inside", "_g", "_p", "_offset")
+    )
 
 
 def tile_ranks(buckets: int) -> Callable[[Column], Column]:
@@ -122,32 +187,32 @@ def tile_ranks(buckets: int) -> Callable[[Column], Column]:
     return ranks
 
 
-def ntile_by_class(df: DataFrame, by: str, id_col: str, seed: int | str, buckets: int, name: str) -> DataFrame:
-    """Add the 1-based tile of each row inside its class, in seeded random order."""
-    cutoffs = class_cutoffs(df, by, id_col, seed, tile_ranks(buckets), buckets - 1)
-    # Spelled out per cut-off: compiled code, and the hash is computed once per row.
-    key = _sort_key(id_col, seed)
+def ntile_by_class(
+    df: DataFrame, by: str, id_col: str, seed: int | str, buckets: int, name: str, ties: Ties = ()
+) -> DataFrame:
+    """Add the 1-based tile of each row inside its class, in seeded random order.
+
+    Null ids come first. Rows of one id are ordered by ``ties``; rows alike in these too are
+    told apart by row, so tiles have their exact sizes.
+    """
+    cutoffs = class_cutoffs(df, by, id_col, seed, tile_ranks(buckets), ties)
+    tagged = _with_cutoffs(df, cutoffs, by, id_col, seed, ties)
+    # Spelled out per cut-off: compiled code.
     tile = F.lit(1)
     for place in range(buckets - 1):
-        tile = tile + F.when(F.get("cutoffs", F.lit(place)) < key, 1).otherwise(0)
-    return with_cutoffs(df, cutoffs, by).withColumn(name, tile.cast("bigint")).drop("cutoffs")
-
+        tile = tile + F.when(F.get("cutoffs", F.lit(place)) < F.col("_key"), 1).otherwise(0)
+    return tagged.withColumn(name, tile.cast("bigint")).drop("cutoffs", "_key")
 
-def cap_cutoffs(df: DataFrame, by: str, id_col: str, seed: int | str, rows: int) -> DataFrame:
-    """Sort key of the last row to keep, for each class with more than ``rows`` (>= 1) rows."""
-    return class_cutoffs(
-        df, by, id_col, seed, lambda n: F.when(n > rows, F.array(F.lit(rows).cast("bigint"))), 1
-    )
 
+def mark_up_to(df: DataFrame, by: str, id_col: str, seed: int | str, rows: int, name: str, ties: Ties = ()) -> DataFrame:
+    """Add whether the row is among the first ``rows`` (>= 1) of its class, in seeded random order.
 
-def keep_up_to(df: DataFrame, cutoffs: DataFrame, by: str, id_col: str, seed: int | str) -> DataFrame:
-    """Rows not after the cut-off of their class; ``cutoffs`` may come from a larger frame."""
-    key = _sort_key(id_col, seed)
-    return (
-        with_cutoffs(df, cutoffs, by)
-        .filter(F.col("cutoffs").isNull() | (key <= F.col("cutoffs")[0]))
-        .drop("cutoffs")
-    )
+    Exactly that many rows of a larger class are marked, also where ids are null or repeated.
+    """
+    wanted = class_cutoffs(df, by, id_col, seed, lambda n: F.when(n > rows, F.array(F.lit(rows).cast("bigint"))), ties)
+    tagged = _with_cutoffs(df, wanted, by, id_col, seed, ties)
+    inside = F.col("cutoffs").isNull() | (F.col("_key") <= F.get("cutoffs", F.lit(0)))
+    return tagged.withColumn(name, inside).drop("cutoffs", "_key")
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str) -> DataFrame:
@@ -173,8 +238,6 @@ def global_row_number(df: DataFrame, order: list[Column], name: str) -> DataFram
     )
 
 
-def total_order_index(df: DataFrame, order: list[Column], name: str, single_task_rows: int = 1_000_000) -> DataFrame:
-    """0-based position of each row of a staged label table; a small one is sorted in one task."""
-    if fits(df, single_task_rows):
-        return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
+def total_order_index(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """0-based position of each row of a staged label table."""
     return global_row_number(df, order, name).withColumn(name, F.col(name) - 1)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.operators.ranking import cap_cutoffs, global_row_number, keep_up_to, ntile_by_class, seeded_hash
+from papyrine.operators.ranking import Ties, global_row_number, mark_up_to, ntile_by_class, seeded_hash
 from papyrine.operators.sizing import broadcast_if_small
 from papyrine.session import stage
 
@@ -22,12 +25,14 @@ def stratified_split(
     buckets: int = 10,
     test: tuple[int, ...] = (1,),
     validation: tuple[int, ...] = (2,),
+    ties: Ties = (),
 ) -> DataFrame:
     """Add ``bucket_10p`` (equal-size random tiles per class) and ``subset``.
 
-    A class of one row goes to test, of two rows to test and validation.
+    A class of one row goes to test, of two rows to test and validation. Null ids come
+    first, rows of one id are ordered by ``ties``.
     """
-    tiled = ntile_by_class(df, by, id_col, seed, buckets, "bucket_10p")
+    tiled = ntile_by_class(df, by, id_col, seed, buckets, "bucket_10p", ties)
     return tiled.withColumn("subset", subset_of_bucket(F.col("bucket_10p"), test, validation))
 
 
@@ -57,20 +62,23 @@ def cap_classes(
     min_count: int | None = None,
     min_col: str | None = None,
     count_name: str = "new_topic_count",
+    ties: Ties = (),
 ) -> DataFrame:
     """Keep rows ranked below ``caps[c]`` in each class of every column ``c``.
 
     The rank test is ``<``, so a cap of N keeps N-1 rows. All ranks are taken on
-    the uncapped input, each in its own random order. With ``min_count``, classes
+    the uncapped input, each in its own random order; null ids come first, rows of one
+    id are ordered by ``ties`` and count one by one. With ``min_count``, classes
     of ``min_col`` with no more than that many rows left are dropped and
     ``count_name`` is added.
     """
     if min(caps.values()) < 2:
         raise ValueError("a cap below 2 keeps no rows")
-    kept = df
+    kept, marks = df, []
     for column, cap in caps.items():
-        order = f"{seed}/{column}"
-        kept = keep_up_to(kept, cap_cutoffs(df, column, id_col, order, cap - 1), column, id_col, order)
+        marks.append(f"_within_{column}")
+        kept = mark_up_to(kept, column, id_col, f"{seed}/{column}", cap - 1, marks[-1], ties)
+    kept = kept.filter(reduce(and_, map(F.col, marks))).drop(*marks)
     if min_count is None:
         return kept
     return attach_class_count(kept, min_col, count_name, more_than=min_count)
@@ -94,17 +102,20 @@ def head_percent(df: DataFrame, id_col: str, percent: float) -> DataFrame:
     return df.filter(F.col(id_col) <= last.scalar())
 
 
-def page_by_id(df: DataFrame, id_col: str, offset: int, limit: int, skip_limit: int = 10_000) -> DataFrame:
-    """Rows ``offset`` .. ``offset + limit`` in id order.
+def page_by_id(df: DataFrame, id_col: str, offset: int, limit: int) -> DataFrame:
+    """Rows ``offset`` .. ``offset + limit`` in id order, null ids first.
 
-    Up to ``skip_limit`` skipped rows are sorted along; beyond that the first id
-    of the page is looked up among the ids alone.
+    The first id of the page is looked up among the ids alone; only its own earlier
+    copies are sorted along.
     """
-    if offset <= skip_limit:
-        return df.orderBy(id_col).offset(offset).limit(limit)
-    ids = global_row_number(df.select(id_col), [F.col(id_col).asc()], "_row")
-    first = ids.filter(F.col("_row") == offset + 1).select(id_col)
-    return df.filter(F.col(id_col) >= first.scalar()).orderBy(id_col).limit(limit)
+    ids = stage(global_row_number(df.select(id_col), [F.col(id_col).asc()], "_row"))
+    first = ids.filter(F.col("_row") == offset + 1).first()
+    if first is None:
+        return df.limit(0)
+    value = F.lit(first[id_col])
+    copies_from = ids.filter(F.col(id_col).eqNullSafe(value)).agg(F.min("_row")).first()[0]
+    rows = df if first[id_col] is None else df.filter(F.col(id_col) >= value)
+    return rows.orderBy(id_col).offset(offset + 1 - copies_from).limit(limit)
 
 
 def page_after(df: DataFrame, id_col: str, last_seen, limit: int) -> DataFrame:

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
-"""Narrow rows (a key, a few numbers, a short name): about 20 MB at this many."""
+BROADCAST_BYTES = 64 << 20
+"""Both bound a broadcast; the bytes are those of the rows as text."""
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than that to find out."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows of ``max_bytes`` in all; reads no more rows to find out."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    rows, held = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= max_rows and held <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -52,6 +52,36 @@ def split_stratified(spark, sf_dir):
     return _split(spark, sf_dir).select("doc_id", "source", "n_chars", "bucket_10p", "subset")
 
 
+@query(
+    "split_null_ids",
+    f"""with ids as (select lang, case when doc_id % 10 <> 3 then doc_id end as id from documents),
+    split as (select *, ntile(10) over (partition by lang order by coalesce(md5('42:' || id), ''), id) as bucket_10p from ids)
+    select lang, bucket_10p, {SUBSET} as subset, count(*) as n, count(id) as n_ids, sum(id)::bigint as id_sum
+    from split group by all""",
+)
+def split_null_ids(spark, sf_dir):
+    """Rows without an id are ranked like any other, first in their class."""
+    known = F.when(F.col("doc_id") % 10 != 3, F.col("doc_id")).alias("id")
+    split = sampling.stratified_split(table(spark, sf_dir, "documents").select("lang", known), "lang", "id")
+    counts = [F.count(F.lit(1)).alias("n"), F.count("id").alias("n_ids"), F.sum("id").alias("id_sum")]
+    return split.groupBy("lang", "bucket_10p", "subset").agg(*counts)
+
+
+@query(
+    "cap_repeated_ids",
+    """with ranked as (select l_returnflag, l_orderkey, l_linenumber,
+      row_number() over (partition by l_returnflag
+        order by md5('42/l_returnflag:' || l_orderkey), l_orderkey, l_linenumber) as r
+    from lineitem)
+    select l_returnflag, l_orderkey, l_linenumber, count(*) as n from ranked where r < 1000 group by all""",
+)
+def cap_repeated_ids(spark, sf_dir):
+    """An order has many lines: a cap counts rows, not ids."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
+    kept = sampling.cap_classes(lines, {"l_returnflag": 1000}, "l_orderkey", ties=["l_linenumber"])
+    return kept.groupBy("l_returnflag", "l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "split_class_shares",
     f"""with {SPLIT} select source, subset, count(*) as number_of_papers,
@@ -317,7 +347,7 @@ def page_by_id(spark, sf_dir):
 def page_by_id_deep(spark, sf_dir):
     """A page far into the table, found through the ids alone."""
     orders = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    return sampling.page_by_id(orders, "l_orderkey", 700, 25, skip_limit=500)
+    return sampling.page_by_id(orders, "l_orderkey", 700, 25)
 
 
 DISTRIBUTION = """d as (select source, lang, count(*) as number_of_papers from documents group by source, lang)"""

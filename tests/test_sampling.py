@@ -18,13 +18,6 @@ def classes(spark):
     return spark.createDataFrame(rows, "id bigint, c string").cache()
 
 
-@pytest.fixture(params=["window", "slices"], autouse=True)
-def way(request, monkeypatch):
-    """Small tables are ranked by a window; both ways have to give the same."""
-    if request.param == "slices":
-        monkeypatch.setattr(ranking, "PLAIN_WINDOW_ROWS", 0)
-
-
 def ordered(seed):
     return Window.partitionBy("c").orderBy(seeded_hash("id", seed), "id")
 
@@ -48,6 +41,27 @@ def test_cap_keeps_fewer_than_n(classes, cap):
     assert kept.select("id").exceptAll(expected.select("id")).isEmpty()
 
 
+def test_cap_counts_rows_of_repeated_ids(spark):
+    rows = spark.createDataFrame([(i % 5, "x") for i in range(20)] + [(None, "x")] * 3 + [(1, "y")] * 9, "id int, c string")
+    for cap in (2, 3, 7, 12, 20, 50):
+        kept = {r.c: r["count"] for r in sampling.cap_classes(rows, {"c": cap}, "id").groupBy("c").count().collect()}
+        assert kept == {"x": min(23, cap - 1), "y": min(9, cap - 1)}
+
+
+def test_tiles_of_repeated_and_null_ids(spark):
+    rows = spark.createDataFrame([(1, "x", n) for n in range(40)] + [(None, "x", 100)] + [(n, "x", 0) for n in range(9)],
+                                 "id int, c string, t int")
+    split = sampling.stratified_split(rows, "c", "id", seed=3)
+    assert {r["count"] for r in split.groupBy("bucket_10p").count().collect()} == {5}
+    tied = sampling.stratified_split(rows, "c", "id", seed=3, ties=["t"])
+    order = Window.partitionBy("c").orderBy(F.coalesce(seeded_hash("id", 3), F.lit("")), "id", "t")
+    expected = rows.withColumn("bucket_10p", F.ntile(10).over(order).cast("bigint"))
+    columns = ["id", "t", "bucket_10p"]
+    assert tied.select(columns).exceptAll(expected.select(columns)).isEmpty()
+    one = sampling.stratified_split(spark.createDataFrame([(None, "x")] * 10, "id int, c string"), "c", "id")
+    assert sorted(r.bucket_10p for r in one.collect()) == list(range(1, 11))
+
+
 def test_caps_are_ranked_before_either_cut(spark):
     rows = spark.range(400).select("id", (F.col("id") % 4).alias("a"), (F.col("id") % 3).alias("b"))
     kept = sampling.cap_classes(rows, {"a": 31, "b": 41}, "id", min_count=5, min_col="a", count_name="n")
@@ -75,7 +89,8 @@ def test_split_does_not_depend_on_partitions(spark, classes):
 
 def test_many_classes_without_broadcast(spark, classes, monkeypatch):
     expected = sorted(map(tuple, sampling.stratified_split(classes, "c", "id").select("id", "subset").collect()))
-    monkeypatch.setattr(ranking, "BROADCAST_ROWS", 9)
+    monkeypatch.setattr(ranking, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ranking, "HOT_SHARE", 2)
     found = sorted(map(tuple, sampling.stratified_split(classes, "c", "id").select("id", "subset").collect()))
     assert found == expected
 
@@ -103,7 +118,10 @@ def test_pages(spark):
     ids = spark.range(0, 500, 2).repartition(7)
     wanted = [r.id for r in sampling.page_by_id(ids, "id", 100, 5).collect()]
     assert wanted == [200, 202, 204, 206, 208]
-    assert [r.id for r in sampling.page_by_id(ids, "id", 100, 5, skip_limit=10).collect()] == wanted
+    copies = spark.createDataFrame([(i,) for i in [None, None, 1, 2, 2, 2, 3]], "id int").repartition(3)
+    assert [r.id for r in sampling.page_by_id(copies, "id", 1, 4).collect()] == [None, 1, 2, 2]
+    assert [r.id for r in sampling.page_by_id(copies, "id", 4, 9).collect()] == [2, 2, 3]
+    assert sampling.page_by_id(copies, "id", 7, 9).count() == 0
     assert [r.id for r in sampling.page_after(ids, "id", 198, 5).collect()] == wanted
 
 
@@ -112,7 +130,7 @@ def test_global_row_number(spark):
     numbered = ranking.global_row_number(rows, [F.desc("k"), F.asc("id")], "n")
     expected = rows.withColumn("n", F.row_number().over(Window.orderBy(F.desc("k"), F.asc("id"))))
     assert numbered.select("id", F.col("n").cast("int")).exceptAll(expected.select("id", "n")).isEmpty()
-    index = ranking.total_order_index(rows, [F.asc("id")], "i", single_task_rows=10)
+    index = ranking.total_order_index(rows, [F.asc("id")], "i")
     assert [r.i for r in index.orderBy("id").limit(3).collect()] == [0, 1, 2]
 
 

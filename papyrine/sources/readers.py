@@ -44,9 +44,9 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
 
 
 def file_range(spark: SparkSession, folder: str, first: int, last: int, glob: str = "*") -> list[str]:
-    """Paths with index ``first`` <= i < ``last`` in name order, as driver-side file names."""
-    paths = [row.path for row in list_files(spark, folder, glob).select("path").toLocalIterator()]
-    return sorted(paths)[first:last]
+    """Paths with index ``first`` <= i < ``last`` in name order; only these names reach the driver."""
+    ordered = list_files(spark, folder, glob).select("path").orderBy("path")
+    return [row.path for row in ordered.offset(first).limit(last - first).collect()]
 
 
 def new_files(spark: SparkSession, folder: str, done: DataFrame | None, glob: str = "*") -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyrine.operators.reduction import WORK_SCHEMA, parse_lines, reduce_records, split_records
+from papyrine.session import stage
 from papyrine.sources.readers import new_files, read_lines
 
 
@@ -35,37 +37,58 @@ def incremental_reduce(
     query.awaitTermination()
 
 
+MANIFEST = "path string, ingest_run string, run_no bigint, is_full boolean"
+
+
 def ingest_new_parts(
-    spark: SparkSession, source: str, target: str, manifest: str, force_overwrite: bool = False, glob: str = "*"
+    spark: SparkSession,
+    source: str,
+    target: str,
+    manifest: str,
+    force_overwrite: bool = False,
+    glob: str = "*",
+    rejects: str | None = None,
 ) -> int:
     """The same as a batch: parts missing from the manifest table are reduced and recorded.
 
-    Returns the number of parts taken. ``force_overwrite`` takes every part again and
-    replaces the target. Rows carry their file, so a part that was written but not
-    recorded before a crash can be told apart; it is removed from the result by
-    ``recorded_rows``.
+    Returns the number of parts taken. Both tables are only appended to, and a run counts
+    once its manifest, one file written last, is there: rows carry their run, and
+    ``recorded_rows`` leaves out runs that died. ``force_overwrite`` takes every part again
+    in a full run, which replaces all earlier runs at that same moment; their rows stay on
+    disk, unread. Lines that cannot be parsed are appended to ``rejects`` where it is given.
     """
-    known = None if force_overwrite or not _exists(spark, manifest) else spark.read.parquet(manifest)
-    parts = new_files(spark, source, known, glob)
-    paths = sorted(row.path for row in parts.select("path").toLocalIterator())
+    recorded = _recorded(spark, manifest)
+    known = None if force_overwrite else _current(recorded)
+    parts = stage(new_files(spark, source, known, glob).select("path"))
+    paths = sorted(row.path for row in parts.toLocalIterator())
     if not paths:
         return 0
-    mode = "overwrite" if force_overwrite else "append"
-    run = spark.range(1).select(F.expr("uuid()")).first()[0]
-    good = parse_lines(read_lines(spark, paths)).filter(F.col("status") == "ok")
-    reduced = reduce_records(good.select("record.*")).withColumn("ingest_run", F.lit(run))
-    reduced.write.mode(mode).parquet(target)
-    done = spark.createDataFrame([(path, run) for path in paths], "path string, ingest_run string")
-    done.write.mode(mode).parquet(manifest)
+    next_no = recorded.agg(F.coalesce(F.max("run_no"), F.lit(0)) + 1)
+    run, run_no = next_no.select(F.expr("'run-' || uuid()"), F.col(next_no.columns[0])).first()
+    good, bad = split_records(parse_lines(read_lines(spark, paths)))
+    reduce_records(good).withColumn("ingest_run", F.lit(run)).write.mode("append").parquet(target)
+    if rejects is not None:
+        bad.withColumn("ingest_run", F.lit(run)).write.mode("append").parquet(rejects)
+    done = parts.select("path", F.lit(run).alias("ingest_run"), F.lit(run_no).cast("bigint").alias("run_no"))
+    done.withColumn("is_full", F.lit(force_overwrite)).coalesce(1).write.mode("append").parquet(manifest)
     return len(paths)
 
 
 def recorded_rows(spark: SparkSession, target: str, manifest: str) -> DataFrame:
-    """Rows of runs that were completed."""
-    runs = spark.read.parquet(manifest).select("ingest_run").distinct()
+    """Rows of completed runs since the last full one."""
+    runs = _current(_recorded(spark, manifest)).select("ingest_run").distinct()
     return spark.read.parquet(target).join(runs, "ingest_run", "left_semi").drop("ingest_run")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _recorded(spark: SparkSession, manifest: str) -> DataFrame:
+    try:
+        return spark.read.schema(MANIFEST).parquet(manifest)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+
+
+def _current(recorded: DataFrame) -> DataFrame:
+    full = recorded.filter("is_full").agg(F.coalesce(F.max("run_no"), F.lit(0)))
+    return recorded.filter(F.col("run_no") >= full.scalar())

@@ -117,6 +117,27 @@ def test_manifest(spark, tmp_path):
     assert incremental.recorded_rows(spark, target, manifest).count() == 8
 
 
+def test_full_run_that_dies_loses_nothing(spark, tmp_path):
+    source, target, manifest, rejects = (str(tmp_path / n) for n in "stmr")
+    write(spark, source, range(5))
+    spark.createDataFrame([("no json",)], "value string").coalesce(1).write.mode("append").text(source)
+
+    def ids():
+        return sorted(int(r.id_openalex_short) for r in incremental.recorded_rows(spark, target, manifest).collect())
+
+    def take(**options):
+        return incremental.ingest_new_parts(spark, source, target, manifest, glob="part-*", **options)
+
+    assert take(rejects=rejects) == 2 and ids() == list(range(5))
+    assert [r.value for r in spark.read.parquet(rejects).select("value").collect()] == ["no json"]
+    (tmp_path / "file").write_text("")
+    with pytest.raises(Exception):  # noqa: B017  dies when it has written its rows: no folder can be made below a file
+        incremental.ingest_new_parts(spark, source, target, str(tmp_path / "file" / "m"), force_overwrite=True, glob="part-*")
+    assert spark.read.parquet(target).count() == 10
+    assert ids() == list(range(5)) and take() == 0
+    assert take(force_overwrite=True) == 2 and ids() == list(range(5)) and take() == 0
+
+
 def test_file_range(spark, tmp_path):
     path = str(tmp_path / "f")
     spark.range(4).repartition(4).write.parquet(path)

@@ -10,6 +10,9 @@ anchor, the place in it where a hash of ``GRAM`` bytes is smallest: equal string
 anchor's hash occurs only once cannot repeat and stay where they are. The others are sent, as the stretch of text that
 holds all strings of one anchor, to the task of their hash, and are sorted there. Equal stretches within a task's input are
 reduced to the earliest before they are sent, so a passage that a third of all documents share arrives once per task.
+A hash met in very many different surroundings (a common line, the edge of a shared passage) would fill one task all the
+same: its stretches are cut into their single strings, each dealt by a hash of all its bytes, so that only equal strings
+meet, and those are reduced before they are sent.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +35,12 @@ CHUNK_BYTES, HELD_ANCHORS, HELD_BYTES = 1 << 21, 2_000_000, 48 << 20
 #: Bytes of text per partition that partitions are made for, and strings sorted together.
 PARTITION_BYTES, SORTED_STRINGS = 64 << 20, 100_000
 _U = np.uint64
+#: Different stretches around one hash from which it is dealt string by string; results do not depend on it.
+HOT_STRETCHES = 10_000
 #: Stands for a null id where texts are joined by id; it is the smallest.
 _NULL_ID = -(2**63)
-#: Bit 62 of a span marks a hash known to repeat.
-_KNOWN = 1 << 62
+#: Bit 62 of a span marks a hash known to repeat, and later on a hash of very many stretches.
+_KNOWN = _HOT = 1 << 62
 
 
 def _byte_hashes() -> np.ndarray:
@@ -73,11 +79,14 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return place
 
 
-def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All anchors of the texts: (hash, text, first string start, last string start), starts within their text."""
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """All anchors of the texts: (hash, text, first string start, last string start, hash of their stretch in 32 bits).
+
+    Starts are within the text.
+    """
     rows = [i for i, t in enumerate(texts) if len(t) >= LENGTH]
     if not rows:
-        return (np.empty(0, _U), *[np.empty(0, np.int64)] * 3)
+        return (np.empty(0, _U), *[np.empty(0, np.int64)] * 3, np.empty(0, np.uint32))
     lengths = np.array([len(texts[i]) for i in rows])
     ends = np.cumsum(lengths)
     begins = ends - lengths
@@ -91,7 +100,17 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (of[1:] != of[:-1])]))
     last = np.concatenate([first[1:], [len(starts)]]) - 1
     of = of[first]
-    return hashes[place[first]], np.array(rows)[of], starts[first] - begins[of], starts[last] - begins[of]
+    around = _around(hashes, starts[first], starts[last] + LENGTH)
+    return hashes[place[first]], np.array(rows)[of], starts[first] - begins[of], starts[last] - begins[of], around
+
+
+def _around(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A hash of each stretch, from those of the pieces of ``GRAM`` bytes that cover it."""
+    out = (stop - start).astype(_U)
+    for step in range(0, 2 * LENGTH - GRAM, GRAM):
+        out = _mix(out, hashes[np.minimum(start + step, stop - GRAM)])
+        out ^= out >> _U(32)
+    return out.astype(np.uint32)
 
 
 def _chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
@@ -104,16 +123,17 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def find_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Packed hash, doc_id, span, meets: of each hash in this task's input one row meets those of other tasks, marked if
-    the hash occurs again here; the other rows are known to repeat."""
+    """Packed hash, doc_id, span, meets, around, more: of each hash in this task's input one row meets those of other tasks,
+    marked if the hash occurs again here, with the hash of its stretch and the number of further stretches here; the other
+    rows are known to repeat."""
     held: list[tuple] = []
     count = 0
     for batch in batches:
         ids = batch["doc_id"].to_numpy(zero_copy_only=False)
         texts = [t.encode("utf-8", "surrogatepass") for t in batch["text"].to_pylist()]
         for at, part in _chunks(texts):
-            hashes, rows, first, last = anchors(part)
-            held.append((hashes, ids[at + rows], (first << 8) | (last - first)))
+            hashes, rows, first, last, around = anchors(part)
+            held.append((hashes, ids[at + rows], (first << 8) | (last - first), around))
             count += len(hashes)
         if count >= HELD_ANCHORS:
             yield _one_of_each(held, buckets)
@@ -123,10 +143,13 @@ def find_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa
 
 
 def _one_of_each(held: list[tuple], buckets: int) -> pa.RecordBatch:
-    hashes, ids, spans = (np.concatenate(c) for c in zip(*held, strict=True))
-    order = np.argsort(hashes, kind="stable")
-    ordered = hashes[order]
+    hashes, ids, spans, around = (np.concatenate(c) for c in zip(*held, strict=True))
+    order = np.lexsort((around, hashes))
+    ordered, stretch = hashes[order], around[order]
     new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    other = ~new & np.concatenate([[False], stretch[1:] != stretch[:-1]])
+    more = np.zeros(len(hashes), np.int64)
+    more[order[new]] = np.add.reduceat(other, np.flatnonzero(new), dtype=np.int64)
     meets, again = np.empty(len(hashes), bool), np.empty(len(hashes), bool)
     meets[order], again[order] = new, np.concatenate([~new[1:], [False]])
     goes = np.where(meets, hashes, _mix(hashes, np.arange(len(hashes)))) % _U(buckets)
@@ -136,6 +159,8 @@ def _one_of_each(held: list[tuple], buckets: int) -> pa.RecordBatch:
             "doc_id": ids,
             "span": np.where(~meets | again, spans | _KNOWN, spans),
             "meets": meets,
+            "around": np.where(meets, around, 0).astype(np.uint32),
+            "more": more,
         }
     )
     return common.packed(table, goes.astype(np.int64))
@@ -146,19 +171,22 @@ def _mix(hashes: np.ndarray, salt: np.ndarray) -> np.ndarray:
 
 
 def repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """hash, doc_id, span of the anchors whose hash occurs more than once; all rows of a hash are in one partition."""
+    """hash, doc_id, span of the anchors whose hash occurs more than once, and in those that met the number of its different
+    stretches (others: 0). All rows of a hash that meet are in one partition."""
     table = common.unpacked(batches)
     if table is None:
         return
-    hashes, ids, spans, meets = (table[n].to_numpy() for n in ("hash", "doc_id", "span", "meets"))
-    order = np.argsort(hashes, kind="stable")
-    hashes, ids, spans, meets = hashes[order], ids[order], spans[order], meets[order]
+    names = ("hash", "around", "doc_id", "span", "meets", "more")
+    hashes, around, ids, spans, meets, more = (table[n].to_numpy() for n in names)
+    order = np.lexsort((around, ~meets, hashes))
+    hashes, around, ids, spans, meets, more = (c[order] for c in (hashes, around, ids, spans, meets, more))
     own = np.cumsum(np.concatenate([[True], hashes[1:] != hashes[:-1]])) - 1
     met, known = np.bincount(own, meets), np.bincount(own, meets & (spans >= _KNOWN))
     keep = ~meets | (met[own] > 1) | (known[own] > 0)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(hashes[keep]), pa.array(ids[keep]), pa.array(spans[keep] & (_KNOWN - 1))], ["hash", "doc_id", "span"]
-    )
+    new = np.concatenate([[True], (own[1:] != own[:-1]) | (around[1:] != around[:-1])])
+    stretches = np.where(meets, np.bincount(own, meets * (new + more))[own], 0).astype(np.int64)
+    columns = (hashes[keep], ids[keep], spans[keep] & (_KNOWN - 1), stretches[keep])
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hash", "doc_id", "span", "stretches"])
 
 
 _STRETCH = pa.schema(
@@ -187,11 +215,7 @@ def cut_stretches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
         names = ("doc_id", "text_hash", "text", "hashes", "spans")
         for doc_id, text_hash, text, hashes, spans in zip(*[batch[n].to_pylist() for n in names], strict=True):
             data = text.encode("utf-8", "surrogatepass")
-            for gram, span in zip(hashes, spans, strict=True):
-                start = span >> 8
-                stop = start + (span & 255) + LENGTH
-                if stop > len(data):
-                    continue  # of another row with this id
+            for gram, start, stop in _pieces(data, hashes, spans):
                 key, own = (gram, data[start:stop]), (doc_id, text_hash, start)
                 first = held.setdefault(key, own)
                 if first == own:
@@ -209,6 +233,20 @@ def cut_stretches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
         yield _stretch_rows(list(_send(held, later)), buckets)
 
 
+def _pieces(data: bytes, hashes: list[int], spans: list[int]) -> Iterator[tuple[int, int, int]]:
+    """The hash that each stretch goes by, its start and stop; of hot hashes the single strings by hashes of their own."""
+    for gram, span in zip(hashes, spans, strict=True):
+        start = (span & (_HOT - 1)) >> 8
+        stop = start + (span & 255) + LENGTH
+        if stop > len(data):
+            continue  # of another row with this id
+        if span & _HOT:
+            for at in range(start, stop - LENGTH + 1):
+                yield xxhash.xxh64_intdigest(data[at : at + LENGTH]) - (1 << 63), at, at + LENGTH
+        else:
+            yield gram, start, stop
+
+
 def _send(held: dict, later: dict) -> Iterator[tuple]:
     for (gram, stretch), (doc_id, text_hash, start) in held.items():
         yield gram, doc_id, text_hash, start, stretch, None
@@ -327,7 +365,13 @@ def merged_runs(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rest: list[str] | None = None) -> DataFrame:
+def removals(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    rest: list[str] | None = None,
+    hot_stretches: int = HOT_STRETCHES,
+) -> DataFrame:
     """doc_id, text, rest (struct of the columns named there), runs (array of start, stop): for every row the bytes to go.
 
     Nulls are empty; texts shorter than ``LENGTH`` lose nothing. Rows that share an id are ordered by a hash of their
@@ -348,7 +392,13 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
         plain.select("doc_id", "text"), functools.partial(find_anchors, buckets=buckets), common.PACKED
     )
     again = common.map_partitions(
-        found.repartition(parts, "bucket"), repeated_anchors, "hash long, doc_id long, span long"
+        found.repartition(parts, "bucket"), repeated_anchors, "hash long, doc_id long, span long, stretches long"
+    )
+    again = common.store(again, "anchors")
+    hot = common.store(again.filter(F.col("stretches") > hot_stretches).select("hash").distinct(), "hot")
+    marked = F.when(F.col("hot"), F.col("span").bitwiseOR(F.lit(_HOT))).otherwise(F.col("span"))
+    again = again.join(common.broadcast_if_bytes(hot).withColumn("hot", F.lit(True)), "hash", "left").select(
+        "hash", "doc_id", marked.alias("span")
     )
     # One row per document, no longer than its text.
     wanted = again.groupBy("doc_id").agg(F.collect_list(F.struct("hash", "span")).alias("found"))
@@ -399,7 +449,9 @@ def _kept(text: str, runs: list[dict] | None) -> tuple[bytes, bytes, list[tuple[
     return data, b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)), spans
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_stretches: int = HOT_STRETCHES
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -413,5 +465,5 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
         )
 
-    found = removals(docs, id_col, text_col).select("doc_id", "text", "runs")
+    found = removals(docs, id_col, text_col, hot_stretches=hot_stretches).select("doc_id", "text", "runs")
     return common.map_batches(found, step, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -6,6 +6,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -164,6 +165,34 @@ def test_passages(docs, rows):
     assert cut.columns == docs.columns and cut.count() == len(rows)
 
 
+def test_common_line_in_many_surroundings(spark):
+    rng = np.random.default_rng(5)
+
+    def noise(n):
+        return "".join(rng.choice(list("abcdefgh ä"), n))
+
+    short, long = noise(60), noise(170)
+    own = [noise(90) for _ in range(6)]
+    rows = [(i, f"{noise(80)}{short}{own[i % 6]}{noise(60)}{long}{noise(80)}") for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    wanted = sorted(brute.removed(rows), key=key)
+    assert collected(suffix.digests(frame)) == wanted
+    assert collected(suffix.digests(frame, hot_stretches=5)) == wanted
+    assert collected(suffix.digests(frame, hot_stretches=0)) == wanted
+
+
+def test_stretches_of_a_hash_are_counted():
+    line = b"the same line in all texts, so long that most strings around it find their anchor within it;"
+    texts = [bytes([65 + i]) * 80 + line + bytes([97 + i]) * 80 for i in (0, 1, 2, 2)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": [t.decode() for t in texts]})
+    apart = [*suffix.find_anchors(iter([batch.slice(0, 3)]), 1), *suffix.find_anchors(iter([batch.slice(3)]), 1)]
+    (found,) = suffix.repeated_anchors(iter(apart))
+    count = collections.Counter()
+    for gram, n in zip(found["hash"].to_pylist(), found["stretches"].to_pylist(), strict=True):
+        count[gram] = max(count[gram], n)
+    assert 3 in count.values() and max(count.values()) == 3
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text("ab", max_size=40))
 def test_longest_previous_factor(text):

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from papyrine.functions.text import tokens, without
 from papyrine.operators.barrier import computed_once
-from papyrine.operators.sizing import broadcast_if_small, fits
-from papyrine.session import stage
+from papyrine.operators.sizing import broadcast_if_small
+from papyrine.session import stage, store
 
 
 def top_per_group(df: DataFrame, group: str, order: list[Column], n: int, rank: str = "rank") -> DataFrame:
@@ -166,29 +166,35 @@ def cosine(a: Column, b: Column) -> Column:
 
 def nearest_anchor(
     items: DataFrame, anchors: DataFrame, id_col: str, vector: str, group: str | None = None, n: int | None = None,
-    max_anchors: int = 10_000,
+    block_anchors: int = 10_000,
 ) -> DataFrame:
-    """Distance of every item to its closest anchor, and which one it is.
+    """Distance of every item to its closest anchor, and which one it is (NULL without anchors).
 
-    Anchors (same column names) are a short list, such as nine phrases; it is read once
-    and travels with the plan as one array. With ``group`` and ``n``, only the ``n`` closest
-    items of each group.
+    Anchors (same column names) are a query set, such as nine phrases. They travel with the plan as arrays, in blocks of
+    about ``block_anchors``; every item keeps the best of the blocks so far, and is stored after each eight of them.
+    Items are not shuffled. With ``group`` and ``n``, only the ``n`` closest items of each group.
     """
-    if not fits(anchors, max_anchors):
-        raise ValueError(f"more than {max_anchors} anchors: this is not a list of anchors any more")
-    listed = anchors.agg(F.collect_list(F.struct(F.col(id_col).alias("id"), _doubles(vector).alias("v")))).scalar()
+    blocks = max(1, -(-anchors.count() // block_anchors))
+    block = F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks))
     distances = F.transform(
         F.col("_anchors"),
         lambda a: F.struct(euclidean(F.col("_vector"), a["v"]).alias("distance"), a["id"].alias("anchor")),
     )
-    nearest = (
-        items.withColumns({"_vector": _doubles(vector), "_anchors": listed})
-        .withColumn("_best", F.array_min(distances))
-        .select(
-            *[c for c in items.columns if c != vector],
-            F.col("_best.anchor").alias("anchor"),
-            F.col("_best.distance").alias("distance"),
+    found = items.withColumn("_vector", _doubles(vector)).drop(vector)
+    for at in range(blocks):
+        listed = (
+            anchors.filter(block == at)
+            .agg(F.collect_list(F.struct(F.col(id_col).alias("id"), _doubles(vector).alias("v"))))
+            .scalar()
         )
+        best = F.least("_best", F.array_min(distances)) if at else F.array_min(distances)
+        found = found.withColumn("_anchors", listed).withColumn("_best", best).drop("_anchors")
+        if at % 8 == 7:
+            found = store(found, "nearest")
+    nearest = found.select(
+        *[c for c in items.columns if c != vector],
+        F.col("_best.anchor").alias("anchor"),
+        F.col("_best.distance").alias("distance"),
     )
     if group is None:
         return nearest

@@ -47,6 +47,19 @@ def _spans_of(json: Column, kind: str) -> Column:
     )
 
 
+def annotation_rejects(df: DataFrame, id_col: str, header_col: str, paragraph_col: str) -> DataFrame:
+    """Works whose annotations cannot be read, with their type and the annotations as they are: ``work_id,
+    section_type, annotations``. Such works have no spans of that type; NULL and blank annotations are none."""
+    both = F.array(
+        *[
+            F.struct(F.lit(kind).alias("section_type"), F.col(column).alias("annotations"))
+            for kind, column in (("header", header_col), ("paragraph", paragraph_col))
+        ]
+    )
+    given = df.select(F.col(id_col).alias("work_id"), F.inline(both)).filter(F.trim("annotations") != "")
+    return given.filter(F.from_json("annotations", ANNOTATIONS).isNull())
+
+
 def _fields(s: Column, *names: str) -> list[Column]:
     return [s[n].alias(n) for n in names]
 
@@ -125,13 +138,28 @@ def section_stats(works: DataFrame, sections: DataFrame, id_col: str) -> DataFra
         highest("section_type_index", "paragraph").alias("paragraphs"),
     )
     joined = works.join(numbers, works[id_col] == numbers["_work"], "left").drop("_work")
-    kinds = ("sections", "headers", "paragraphs")
-    counted = joined.withColumns({f"number_of_{k}": F.coalesce(k, F.lit(0)) for k in kinds}).drop(*kinds)
-    return counted.withColumns(
-        {f"has_{k}": F.when(F.col(f"number_of_{k}") == 0, 0).otherwise(1) for k in kinds}
-    )
+    return _with_flags(joined, {k: F.coalesce(k, F.lit(0)) for k in KINDS}).drop(*KINDS)
+
+
+def section_stats_in_row(df: DataFrame, header_col: str, paragraph_col: str) -> DataFrame:
+    """The same numbers from the annotations in the work's own row: no text is moved and nothing is joined."""
+    counted = computed_once(df, _spans=spans_in_row(F.col(header_col), F.col(paragraph_col)))
+    return _with_flags(counted, _numbers(F.col("_spans"))).drop("_spans")
+
+
+def _numbers(spans: Column) -> dict[str, Column]:
+    def of(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["section_type"] == kind))
 
+    return {"sections": F.size(spans), "headers": of("header"), "paragraphs": of("paragraph")}
 
+
+def _with_flags(df: DataFrame, numbers: dict[str, Column]) -> DataFrame:
+    counted = df.withColumns({f"number_of_{k}": n for k, n in numbers.items()})
+    return counted.withColumns({f"has_{k}": F.when(F.col(f"number_of_{k}") == 0, 0).otherwise(1) for k in numbers})
+
+
+KINDS = ("sections", "headers", "paragraphs")
 WORK_STATS = [f"{w}_{k}" for w in ("has", "number_of") for k in ("sections", "headers", "paragraphs")]
 
 
@@ -142,6 +170,18 @@ def sections_with_headers(sections: DataFrame, stats: DataFrame, id_col: str) ->
     return joined.filter(F.coalesce("work_has_headers", F.lit(0)) != 0)
 
 
+def sections_with_headers_in_row(
+    df: DataFrame, id_col: str, text_col: str, header_col: str, paragraph_col: str
+) -> DataFrame:
+    """The same straight from the works: those without headers go before any text is cut."""
+    works = _works_in_pieces(df, id_col, text_col, header_col, paragraph_col)
+    counted = _with_flags(works, _numbers(F.col("spans"))).filter("number_of_headers > 0")
+    cut_up = computed_once(counted, sections=texts_in_row(F.col("spans"), F.col("pieces")))
+    return cut_up.select("work_id", F.inline("sections"), *[F.col(c).alias(f"work_{c}") for c in WORK_STATS]).select(
+        "work_id", "section_index", *SPAN, "section_text", "section_text_length", *[f"work_{c}" for c in WORK_STATS]
+    )
+
+
 def _text_separator(literal_compat: bool) -> str:
     return r"\n\n" if literal_compat else "\n\n"
 

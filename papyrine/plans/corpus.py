@@ -9,13 +9,22 @@ from papyrine.plans import models
 from papyrine.plans.analogues import with_views
 from papyrine.plans.feeds import REDUCED_SQL, TAXONOMY_SQL, raw_feeds
 from papyrine.plans.links import REUSABLE_SQL, _sql_codes, _sql_works_licence
-from papyrine.plans.registry import query
+from papyrine.plans.registry import ORACLES, query
 from papyrine.plans.sections import CHAPTERS_SQL, _lists_as_text
 from papyrine.session import store
 
 SETTINGS = models.Settings(subfield_cap=80, topic_cap=18, topic_min=5)
+#: Caps that cut most classes of the small tables too.
+CAPPED = models.Settings(subfield_cap=30, topic_cap=9, topic_min=3)
 
-LINKED_SQL = f"""{with_views("a_works", "a_arxiv")}, {REDUCED_SQL}, {TAXONOMY_SQL},
+
+def _capped_sql(settings):
+    return f"""sampled as (select *, count(*) over (partition by topic_name) as new_count from ranked
+  where sub_rank < {settings.subfield_cap} and topic_rank < {settings.topic_cap}),
+kept as (select * from sampled where new_count > {settings.topic_min}),"""
+
+
+_RANKED_SQL = f"""{with_views("a_works", "a_arxiv")}, {REDUCED_SQL}, {TAXONOMY_SQL},
 w as (select a.id_semanticscholar, a.id_mag, a.id_doi, a.id_arxiv,
     case when a.id_semanticscholar % 10 <> 3 then a.publication_year end as publication_year,
     case when a.id_semanticscholar % 10 <> 3 then concat(a.publication_year, '-06-01') end as publication_date,
@@ -59,17 +68,20 @@ ranked as (select *,
       id_semanticscholar)), id_semanticscholar) as sub_rank,
     row_number() over (partition by topic_name order by md5(concat('42/openalex_primary_topic_display_name:',
       id_semanticscholar)), id_semanticscholar) as topic_rank from full_works),
-sampled as (select *, count(*) over (partition by topic_name) as new_count from ranked
-  where sub_rank < {SETTINGS.subfield_cap} and topic_rank < {SETTINGS.topic_cap}),
-kept as (select * from sampled where new_count > {SETTINGS.topic_min}),
+"""
+
+LINKED_SQL = f"""{_RANKED_SQL}{_capped_sql(SETTINGS)}
 few_topics as (select topic_name, count(*) as n, row_number() over (order by count(*) desc, topic_name) - 1 as topic_index
   from kept group by topic_name),
 few_subfields as (select subfield_name, count(*) as n,
     row_number() over (order by count(*) desc, subfield_name) - 1 as subfield_index from kept group by subfield_name)"""
 
 
-def _table(spark, sf_dir, name):
-    return models.corpus_table(raw_feeds(spark, sf_dir), name, SETTINGS)
+CAPPED_SQL = LINKED_SQL.replace(_capped_sql(SETTINGS), _capped_sql(CAPPED))
+
+
+def _table(spark, sf_dir, name, settings=SETTINGS):
+    return models.corpus_table(raw_feeds(spark, sf_dir), name, settings)
 
 
 @query(
@@ -182,3 +194,54 @@ def corpus_split_shares(spark, sf_dir):
 )
 def corpus_chapters(spark, sf_dir):
     return _lists_as_text(_table(spark, sf_dir, "stg_filtered_work_chapters"))
+
+
+@query(
+    "corpus_labelled",
+    f"""{LINKED_SQL} select g.id_semanticscholar, g.subset, t.topic_index, t.topic_count, s.subfield_index, s.subfield_count
+    from tagged g left join topic_rows t on g.topic_no = t.topic_no
+      left join subfield_rows s on g.subfield_no = s.subfield_original_id""",
+)
+def corpus_labelled(spark, sf_dir):
+    labelled = _table(spark, sf_dir, "stg_unified_works_metadata_04_with_topics_and_subfields")
+    names = [(n, f"{full}_{n.split('_')[1]}") for full, short in ((models.TOPIC, "topic"), (models.SUBFIELD, "subfield"))
+             for n in (f"{short}_index", f"{short}_count")]
+    return labelled.select("id_semanticscholar", "subset", *[F.col(full).alias(n) for n, full in names])
+
+
+@query(
+    "corpus_capped",
+    f"{CAPPED_SQL} select id_semanticscholar, topic_name, subfield_name, new_count from kept",
+)
+def corpus_capped(spark, sf_dir):
+    """The classes cut to caps that bite."""
+    return _table(spark, sf_dir, "stg_unified_works_filtered_semibalanced_reduced", CAPPED).select(
+        "id_semanticscholar",
+        F.col(f"{models.TOPIC}_display_name").alias("topic_name"),
+        F.col(f"{models.SUBFIELD}_display_name").alias("subfield_name"),
+        F.col("new_topic_count").alias("new_count"),
+    )
+
+
+@query(
+    "corpus_semibalanced_splits",
+    f"""{CAPPED_SQL} select concat('unified_works_semibalanced_', subset) as table_name, id, topic_index from (
+      select k.id_semanticscholar as id, t.topic_index, case ntile(10) over (partition by k.topic_name
+        order by md5(concat('43:', k.id_semanticscholar)), k.id_semanticscholar)
+        when 1 then 'test' when 2 then 'validation' else 'train' end as subset
+      from kept k left join few_topics t on k.topic_name = t.topic_name)""",
+)
+def corpus_semibalanced_splits(spark, sf_dir):
+    """The rows of the capped set's three split tables."""
+    report, prefix = None, "unified_works_semibalanced_"
+    for name, frame in models.corpus_tables(raw_feeds(spark, sf_dir), CAPPED):
+        if name.startswith(prefix):
+            part = store(frame.select(F.lit(name).alias("table_name"), "id", "topic_index"), name)
+            report = part if report is None else report.unionByName(part)
+        if name == prefix + CAPPED.subsets[-1]:
+            return report
+
+
+@query("corpus_merged_ids", ORACLES["merge_chain"])
+def corpus_merged_ids(spark, sf_dir):
+    return _table(spark, sf_dir, "base_openalex_merged_ids")

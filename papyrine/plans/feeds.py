@@ -141,5 +141,6 @@ def raw_feeds(spark, sf_dir) -> dict[str, DataFrame]:
             "license",
         ),
         "openalex_works_reduced": reduce_records(good),
+        "openalex_merged_ids": view(spark, sf_dir, "a_merge"),
         "openalex_topics": taxonomy(spark, sf_dir),
     }

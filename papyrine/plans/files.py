@@ -16,7 +16,7 @@ from papyrine.plans.classes import SPLIT, TOPIC_INDEX, _indices, _split
 from papyrine.plans.feeds import KIND, REDUCED_SQL, raw_lines
 from papyrine.plans.registry import query, table
 from papyrine.plans.sections import annotated_documents
-from papyrine.session import scratch_path, stage
+from papyrine.session import scratch_path, stage, store
 from papyrine.sources import readers, tables
 from papyrine.streaming import incremental
 
@@ -285,7 +285,7 @@ for _name, (_text, _label) in tables.pair_configs(TEXTS, LABELS).items():
 def export_layout(spark, sf_dir):
     """All pair configurations and the full splits as files, counted from the files."""
     path = scratch_path(spark, "export")
-    split = stage(sampling.stratified_split(_labelled(spark, sf_dir), "topic", "id"))
+    split = store(sampling.stratified_split(_labelled(spark, sf_dir), "topic", "id"), "split")
     tables.write_splits(split, f"{path}/data")
     configs = tables.export_pairs(split, TEXTS, LABELS, path)
     report = None

@@ -357,6 +357,7 @@ def corpus_tables(
     yield "stg_semanticscholar_combined_works_metadata", metadata
     preprints = base_arxiv_metadata(raw["arxiv_metadata"])
     yield "base_arxiv_metadata", preprints
+    yield "base_openalex_merged_ids", base_openalex_merged_ids(raw["openalex_merged_ids"])
 
     licensed = stg_unified_works_metadata_01_joined_to_arxiv(metadata, preprints)
     yield "stg_unified_works_metadata_01_joined_to_arxiv", licensed
@@ -394,9 +395,11 @@ def corpus_tables(
     yield "stg_filtered_work_section_annotations", spans
     sections = sections_ops.sections_with_text(full, key, "content_text", *notes)
     yield "stg_filtered_work_sections", sections
-    stats = sections_ops.section_stats(full, spans, key)
+    stats = sections_ops.section_stats_in_row(full, *notes)
     yield "stg_unified_works_filtered_with_section_stats", stats
-    yield "stg_filtered_work_sections_with_headers", sections_ops.sections_with_headers(sections, stats, key)
+    yield "stg_filtered_work_sections_with_headers", sections_ops.sections_with_headers_in_row(
+        full, key, "content_text", *notes
+    )
     chapters = sections_ops.chapters_in_row(full, key, "content_text", *notes)
     yield "stg_filtered_work_chapters", chapters
     methodology = sections_ops.methodology_chapters(chapters)

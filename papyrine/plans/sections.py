@@ -100,8 +100,28 @@ stats as (select d.doc_id, coalesce(s, 0) as number_of_sections, coalesce(h, 0)
 
 @query("section_stats", f"with {STATS_SQL} select * from stats")
 def section_stats(spark, sf_dir):
-    works = table(spark, sf_dir, "documents").select("doc_id")
-    return ops.section_stats(works, ops.annotation_spans(annotated_documents(spark, sf_dir), *IDS), "doc_id")
+    works = annotated_documents(spark, sf_dir)
+    return ops.section_stats_in_row(works, *IDS[1:]).select("doc_id", *ops.WORK_STATS)
+
+
+@query(
+    "annotation_rejects",
+    """select kind as section_type, count(*) as works, count(case when doc_id % 13 = 0 then 1 end) as rejected
+    from documents, (values ('header'), ('paragraph')) t(kind) where doc_id % 11 <> 0 group by kind""",
+)
+def annotation_rejects(spark, sf_dir):
+    """The annotations of every thirteenth work lack their end; counted by type against all that have some."""
+    works = annotated_documents(spark, sf_dir)
+    torn = works.withColumns(
+        {c: F.when(F.col("doc_id") % 13 == 0, F.expr(f"left({c}, length({c}) - 1)")).otherwise(F.col(c)) for c in IDS[1:]}
+    )
+    rejected = ops.annotation_rejects(torn, *IDS).groupBy("section_type").agg(F.count(F.lit(1)).alias("rejected"))
+    given = torn.select(
+        F.explode(F.array(*[F.when(F.col(c).isNotNull(), F.lit(k)) for k, c in zip(("header", "paragraph"), IDS[1:], strict=True)]))
+        .alias("section_type")
+    )
+    works = given.dropna().groupBy("section_type").agg(F.count(F.lit(1)).alias("works"))
+    return works.join(rejected, "section_type", "left").select("section_type", "works", F.coalesce("rejected", F.lit(0)).alias("rejected"))
 
 
 @query(
@@ -112,10 +132,7 @@ def section_stats(spark, sf_dir):
     from sections s join stats t on s.work_id = t.doc_id where t.has_headers <> 0""",
 )
 def sections_with_headers(spark, sf_dir):
-    sections = _sections(spark, sf_dir)
-    works = table(spark, sf_dir, "documents").select("doc_id")
-    spans = ops.annotation_spans(annotated_documents(spark, sf_dir), *IDS)
-    return ops.sections_with_headers(sections, ops.section_stats(works, spans, "doc_id"), "doc_id")
+    return ops.sections_with_headers_in_row(annotated_documents(spark, sf_dir), "doc_id", "text", *IDS[1:])
 
 
 def _literals(values: list[str]) -> str:

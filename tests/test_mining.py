@@ -63,8 +63,10 @@ def test_anchors(spark):
     anchors = spark.createDataFrame([(10, [0.0, 1.0]), (11, [3.0, 0.0])], "i int, v array<double>")
     found = {r.i: (r.anchor, r.distance) for r in mining.nearest_anchor(items, anchors, "i", "v").collect()}
     assert found[1] == (10, 1.0) and found[2] == (11, 4.0)
-    with pytest.raises(ValueError):
-        mining.nearest_anchor(items, anchors, "i", "v", max_anchors=1)
+    many = spark.range(40).selectExpr("cast(id + 100 as int) as i", "array(id + 50.0d, id * 2.0d) as v").unionByName(anchors)
+    found = {r.i: (r.anchor, r.distance) for r in mining.nearest_anchor(items, many, "i", "v", block_anchors=3).collect()}
+    assert found[1] == (10, 1.0) and found[2] == (11, 4.0)
+    assert mining.nearest_anchor(items, anchors.limit(0), "i", "v").filter("anchor is null").count() == 2
 
 
 def test_topics(spark):

@@ -108,3 +108,19 @@ def test_literal_line_breaks(spark):
     work = spark.createDataFrame([(1, r"H a\nabla b", json.dumps([note(0, 1)]), json.dumps([note(2, 11)]))], "id bigint, text string, h string, p string")
     assert ops.chapters_in_row(work, *ARGS).first().chapter_text == r"a\nabla b"
     assert ops.chapters_in_row(work, *ARGS, literal_compat=True).first().chapter_text == "a\nabla b"
+
+
+def test_rows_and_row_form_agree(spark):
+    header = '[{"attributes":{"n":"1"},"start":0,"end":2}]'
+    rows = [(1, "ab cd", header, '[{"start":"3","end":"5"}]'), (2, "x", None, None), (3, "yz", "[]", '[{"start":0,"end":2}]'), (4, "q", "[{", " ")]
+    works = spark.createDataFrame(rows, "id int, t string, h string, p string")
+    spans = ops.annotation_spans(works, "id", "h", "p")
+    stats = ops.section_stats(works.select("id"), spans, "id")
+    in_row = ops.section_stats_in_row(works, "h", "p").select(*stats.columns)
+    assert sorted(stats.collect()) == sorted(in_row.collect())
+    joined = ops.sections_with_headers(ops.sections_with_text(works, "id", "t", "h", "p"), stats, "id")
+    direct = ops.sections_with_headers_in_row(works, "id", "t", "h", "p")
+    assert joined.columns == direct.columns
+    assert joined.collect() and sorted(map(str, joined.collect())) == sorted(map(str, direct.collect()))
+    assert "Exchange" not in direct._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in ops.annotation_rejects(works, "id", "h", "p").collect()] == [(4, "header", "[{")]

@@ -3,6 +3,11 @@
 Texts are normalised (lower case, everything but letters a-z, digits and line breaks a blank). Every line and every block
 between blank lines is a unit. A unit of n and a template of m bigrams can reach a coefficient of s only if n lies between
 s/(2-s) and (2-s)/s times m: other templates are never compared. All of it is column expressions within the row.
+
+Licences that span lines or blocks, or stand inside a paragraph, are found as runs of neighbouring segments (lines, cut again
+where a sentence ends). Of runs that overlap only the best one counts. Three bounds, none of which loses a run that counts,
+keep them few: a text without a template's rarer words cannot share enough with it; a first or last segment that shares less
+than half the threshold is better left out; and a run shares at most what its segments do, each with its seam to the next.
 """
 
 from __future__ import annotations
@@ -88,6 +93,18 @@ def size_bounds(size: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     return fits[0], fits[-1]
 
 
+def gate_words(own: list[str], threshold: float = THRESHOLD) -> set[str]:
+    """Words of which a text must hold one to reach the threshold with a template of the bigrams ``own``, long ones first."""
+    pairs = [set(pair.split()[:2]) for pair in own]
+    # Bigrams without any of the words are too few: the fewest that can do are threshold / (2 - threshold) of the template.
+    few = threshold / (2 - threshold) * len(pairs) - 1e-9
+    words: set[str] = set()
+    while len(left := [pair for pair in pairs if not pair & words]) >= few:
+        free = Counter(w for pair in left for w in pair)
+        words.add(max(free, key=lambda w: (len(w) >= 6, free[w], len(w), w)))
+    return words
+
+
 def plain(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, r"[^A-Za-z0-9\n]+", " "))
 
@@ -99,6 +116,12 @@ def units(text: Column) -> Column:
     return F.array_distinct(F.transform(F.concat(lines, blocks), lambda u: F.trim(F.regexp_replace(u, " +", " "))))
 
 
+def segments(text: Column) -> Column:
+    """The words of every line and sentence of a text as it came, in order; those without words are left out."""
+    lines = F.split(plain(F.regexp_replace(text, r"[.!?:;][\"')\]]*\s", "\n")), "\n")
+    return F.filter(F.transform(lines, lambda s: F.split(F.trim(s), " ")), lambda w: F.get(w, F.lit(0)) != "")
+
+
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once: written out, a lambda would compute it for every element."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -120,10 +143,75 @@ def bigrams(words: Column) -> Column:
     return _bound(pairs, numbered)
 
 
-def _step(df: DataFrame, **made: Column) -> DataFrame:
-    """doc_id and one more column, computed once: a generator stands between it and what reads it."""
-    ((name, value),) = made.items()
-    return df.select("doc_id", F.inline(F.array(F.struct(value.alias(name)))))
+def _step(df: DataFrame, *kept: str, **made: Column) -> DataFrame:
+    """doc_id, the columns ``kept`` and new ones, computed once: a generator stands between them and what reads them."""
+    new = F.struct(*[value.alias(name) for name, value in made.items()])
+    return df.select("doc_id", *kept, F.inline(F.array(new)))
+
+
+_PLACED = "array<struct<at: int, start: int, stop: int, before: array<int>, upto: array<int>, most: int>>"
+
+
+def placed(segs: Column, templates: int) -> Column:
+    """Of each segment (words, hits by template) its number, the words before it and with it, the hits before it and with it,
+    and its most hits."""
+
+    def add(done: Column, seg: Column) -> Column:
+        stop, upto = done["words"] + F.size(seg["words"]), F.zip_with(done["hits"], seg["hits"], lambda a, b: a + b)
+        one = F.struct(
+            F.size(done["placed"]).alias("at"),
+            done["words"].alias("start"),
+            stop.alias("stop"),
+            done["hits"].alias("before"),
+            upto.alias("upto"),
+            F.array_max(seg["hits"]).alias("most"),
+        )
+        return F.struct(stop.alias("words"), upto.alias("hits"), F.concat(done["placed"], F.array(one)).alias("placed"))
+
+    none = F.struct(
+        F.lit(0).alias("words"),
+        F.array_repeat(F.lit(0), templates).alias("hits"),
+        F.array().cast(_PLACED).alias("placed"),
+    )
+    return F.aggregate(segs, none, add, lambda done: done["placed"])
+
+
+def spans(places: Column, table: Column, most: int, threshold: float) -> Column:
+    """first, last (numbers of segments) of the runs that can match a template and cannot be bettered by leaving out an end."""
+
+    def from_first(edges: Column, first: Column, k: Column) -> Column:
+        def can(last: Column) -> Column:
+            n = last["stop"] - first["start"] - 1
+
+            def fits(t: Column, i: Column) -> Column:
+                shared = F.get(last["upto"], i) - F.get(first["before"], i)
+                return n.between(t["least"], t["most"]) & (shared * 2 >= (n + F.size(t["own"])) * threshold - 1e-9)
+
+            return F.exists(F.transform(table, fits), lambda fit: fit)
+
+        # Every segment holds a word: a run of most + 1 words has no more segments.
+        later = F.filter(F.slice(edges, k + 1, F.lit(most + 1)), lambda e: e["stop"] - first["start"] - 1 <= most)
+        found = F.transform(
+            F.filter(later, can), lambda last: F.struct(first["at"].alias("first"), last["at"].alias("last"))
+        )
+        return F.when(shares(first, 0), found).otherwise(F.array().cast("array<struct<first: int, last: int>>"))
+
+    def shares(p: Column, seam: int) -> Column:
+        return p["most"] + seam >= (p["stop"] - p["start"]) * (threshold / 2) - 1e-9
+
+    own = F.filter(places, lambda p: shares(p, 1))  # of a last segment the seam before it counts, not that to the next
+    return _bound(own, lambda edges: F.flatten(F.transform(edges, lambda first, k: from_first(edges, first, k))))
+
+
+def outstanding(runs: Column) -> Column:
+    """Of runs (first, last, best) those that no overlapping run betters: by coefficient, then the shorter, then the first."""
+
+    def betters(other: Column, run: Column) -> Column:
+        overlap = (other["first"] <= run["last"]) & (run["first"] <= other["last"])
+        a, b = [F.struct(r["best"]["dice"], -r["best"]["unit_bigrams"], -r["first"], -r["last"]) for r in (other, run)]
+        return overlap & (a > b)
+
+    return F.filter(runs, lambda run: ~F.exists(runs, lambda other: betters(other, run)))
 
 
 def scan(
@@ -135,7 +223,8 @@ def scan(
 ) -> DataFrame:
     """doc_id, n_units, licence, dice, shared, unit_bigrams, template_bigrams for every row.
 
-    The best match (largest coefficient, then the template's name) and the number of units that match some template;
+    The best match (largest coefficient, then the template's name) and the number of units that match some template: lines,
+    blocks, and runs of segments that are neither of them and better than every line, block or run that overlaps them;
     without a match n_units is 0 and the rest null. Null texts hold no units, a unit of one word no bigrams. Repeated rows
     and null ids are rows like any other; nothing is shuffled.
     """
@@ -153,41 +242,72 @@ def scan(
             for name, own in sorted(known.items())
         ]
     )
+    every = sorted({pair for own in known.values() for pair in own})
+    gate = rf"\b(?:{'|'.join(sorted(set().union(*[gate_words(own, threshold) for own in known.values()])))})\b"
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), plain(text).alias("plain"))
-    rows = _step(rows, plain=F.col("plain"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
+    rows = _step(rows, "text", plain=plain(F.col("text")))
     # Units outside all bounds go before any bigram is made: a unit of n words has n - 1 of them.
     words = F.filter(
         F.transform(units(F.col("plain")), lambda u: F.split(u, " ")), lambda w: (F.size(w) - 1).between(least, most)
     )
-    made = _step(_step(rows, words=words), units=F.transform("words", bigrams))
+    gated = F.when(F.col("plain").rlike(gate), segments(F.col("text"))).otherwise(F.array().cast("array<array<string>>"))
+    rows = _step(rows, words=words, segs=gated)
+    pairs = F.array(*map(F.lit, every))
+
+    def with_hits(w: Column, i: Column) -> Column:
+        after = F.get(F.get(F.col("segs"), i + 1), F.lit(0))
+        seen = F.array_intersect(pairs, bigrams(F.when(after.isNull(), w).otherwise(F.concat(w, F.array(after)))))
+        own = _bound(seen, lambda h: F.transform(table, lambda t: F.size(F.array_intersect(t["own"], h))))
+        return F.struct(w.alias("words"), own.alias("hits"))
+
+    rows = _step(rows, "words", segs=F.transform("segs", with_hits))
+    rows = _step(rows, "words", "segs", places=placed(F.col("segs"), len(known)))
+    rows = _step(rows, "words", "segs", spans=spans(F.col("places"), table, most, threshold))
+
+    def run(span: Column) -> Column:
+        own = F.transform(F.slice("segs", span["first"] + 1, span["last"] - span["first"] + 1), lambda g: g["words"])
+        return F.struct(span["first"].alias("first"), span["last"].alias("last"), F.flatten(own).alias("words"))
+
+    rows = _step(rows, "words", runs=F.transform("spans", run))
+    made = _step(rows, "words", "runs", units=F.transform("words", bigrams))
 
     def compared(unit: Column) -> Column:
         n = F.size(unit)
         fitting = F.filter(table, lambda t: n.between(t["least"], t["most"]))
 
         def one(t: Column) -> Column:
-            shared = F.size(F.array_intersect(unit, t["own"]))
-            dice = F.lit(2.0) * shared / (n + F.size(t["own"]))
-            return F.struct(
-                dice.alias("dice"),
+            return _bound(F.size(F.array_intersect(unit, t["own"])), lambda shared: F.struct(
+                (F.lit(2.0) * shared / (n + F.size(t["own"]))).alias("dice"),
                 t["name"].alias("licence"),
                 shared.cast("long").alias("shared"),
                 n.cast("long").alias("unit_bigrams"),
                 F.size(t["own"]).cast("long").alias("template_bigrams"),
-            )
+            ))
 
         return F.filter(F.transform(fitting, one), lambda m: m["dice"] >= threshold)
 
+    def best(matches: Column) -> Column:
+        return F.array_sort(
+            matches,
+            lambda a, b: F.when(a["dice"] != b["dice"], F.when(a["dice"] > b["dice"], -1).otherwise(1))
+            .when(a["licence"] != b["licence"], F.when(a["licence"] < b["licence"], -1).otherwise(1))
+            .when(a["unit_bigrams"] != b["unit_bigrams"], F.when(a["unit_bigrams"] < b["unit_bigrams"], -1).otherwise(1))
+            .otherwise(0),
+        )
+
+    def best_of_run(r: Column) -> Column:
+        first = _bound(bigrams(r["words"]), lambda unit: F.get(best(compared(unit)), F.lit(0)))
+        return F.struct(r["first"].alias("first"), r["last"].alias("last"), r["words"].alias("words"), first.alias("best"))
+
     matches = F.filter(F.transform("units", compared), lambda m: F.size(m) > 0)
-    matched = _step(made, matches=matches)
-    better = F.array_sort(
-        F.flatten("matches"),
-        lambda a, b: F.when(a["dice"] != b["dice"], F.when(a["dice"] > b["dice"], -1).otherwise(1))
-        .when(a["licence"] != b["licence"], F.when(a["licence"] < b["licence"], -1).otherwise(1))
-        .when(a["unit_bigrams"] != b["unit_bigrams"], F.when(a["unit_bigrams"] < b["unit_bigrams"], -1).otherwise(1))
-        .otherwise(0),
-    )
+    runs = F.filter(F.transform("runs", best_of_run), lambda r: r["best"].isNotNull())
+    matched = _step(made, "words", matches=matches, runs=runs)
+    # Lines and blocks are among the runs, so as to better others, but are counted as units already.
+    others = F.filter(outstanding(F.col("runs")), lambda r: ~F.array_contains("words", r["words"]))
+    once = F.array_distinct(F.transform(others, lambda r: F.struct(r["words"].alias("words"), r["best"].alias("best"))))
+    matched = _step(matched, matches=F.concat("matches", F.transform(once, lambda r: F.array(r["best"]))))
+    better = best(F.flatten("matches"))
     found = F.struct(F.size("matches").cast("long").alias("n_units"), F.get(better, F.lit(0)).alias("best"))
     fields = ["licence", "dice", "shared", "unit_bigrams", "template_bigrams"]
     return _step(matched, found=found).select("doc_id", "found.n_units", *[f"found.best.{f}" for f in fields])

@@ -326,6 +326,81 @@ def test_licences(docs, spark):
     assert one["licence"] == "mit" and 0.95 < one["dice"] < 1
 
 
+MIT_LAYOUT = """MIT License
+
+Copyright (c) 2020 Some Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+APACHE_LAYOUT = """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+
+
+def _wrapped(text, width):
+    """The template's words on lines of ``width`` words, a blank line after every third."""
+    words = text.split()
+    lines = [" ".join(words[i : i + width]) for i in range(0, len(words), width)]
+    return "\n".join(line + "\n" * (i % 3 == 2) for i, line in enumerate(lines))
+
+
+def test_licences_over_blocks_and_in_paragraphs(spark):
+    prose = "The rivers of the north run cold in spring. Nobody counted the boats that year! "
+    cases = {
+        "mit": MIT_LAYOUT,
+        "apache-2.0-notice": f"{prose}\n\n{APACHE_LAYOUT}\n{prose}",
+        "gpl-3.0-line": prose + licences.TEMPLATES["gpl-3.0-line"] + " " + prose,
+        "cc-by-4.0-line": prose + "\nThis work is licensed under a Creative Commons\nAttribution 4.0 International License.\n" + prose,
+    }
+    data = [(i, text) for i, text in enumerate(cases.values())]
+    names = list(licences.TEMPLATES)
+    data += [(100 + i, f"{prose}\n\n{_wrapped(licences.TEMPLATES[n], 5)}\n\n{prose}") for i, n in enumerate(names)]
+    data += [(200, prose * 30), (201, MIT_LAYOUT + "\n" + prose * 20 + "\n" + APACHE_LAYOUT), (202, (prose + "\n") * 30 + "software license")]
+    data += [(203, MIT_LAYOUT.replace("\n", "\r\n"))]
+    found = {r["doc_id"]: r for r in licences.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    for i, name in enumerate(cases):
+        assert (found[i]["licence"], found[i]["dice"]) == (name, 1.0)
+    for i, name in enumerate(names):
+        assert (found[100 + i]["licence"], found[100 + i]["dice"]) == (name, 1.0)
+    assert found[0]["n_units"] == 1 and found[201]["n_units"] >= 2 and found[203]["licence"] == "mit"
+    assert found[200]["n_units"] == found[202]["n_units"] == 0
+
+
+def test_licence_gate_loses_no_match():
+    for text in licences.TEMPLATES.values():
+        own = licences.template_bigrams(text)
+        words = licences.gate_words(own)
+        # What is left without these words, as a unit of its own, stays below the threshold.
+        left = [p for p in own if not words & set(p.split()[:2])]
+        assert words and 2 * len(left) < licences.THRESHOLD * (len(left) + len(own))
+
+
 @pytest.mark.parametrize(
     "run",
     [

@@ -39,6 +39,8 @@ _U = np.uint64
 HOT_STRETCHES = 10_000
 #: Stands for a null id where texts are joined by id; it is the smallest.
 _NULL_ID = -(2**63)
+#: The bits of a text's hash that go with its id.
+_PART = (1 << 32) - 1
 #: Bit 62 of a span marks a hash known to repeat, and later on a hash of very many stretches.
 _KNOWN = _HOT = 1 << 62
 
@@ -123,7 +125,7 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def find_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Packed hash, doc_id, span, meets, around, more: of each hash in this task's input one row meets those of other tasks,
+    """Packed hash, doc_id, part, span, meets, around, more: of each hash in this task's input one row meets those of other tasks,
     marked if the hash occurs again here, with the hash of its stretch and the number of further stretches here; the other
     rows are known to repeat."""
     held: list[tuple] = []
@@ -131,9 +133,11 @@ def find_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa
     for batch in batches:
         ids = batch["doc_id"].to_numpy(zero_copy_only=False)
         texts = [t.encode("utf-8", "surrogatepass") for t in batch["text"].to_pylist()]
+        # As Spark's xxhash64 of the text.
+        parts = np.array([xxhash.xxh64_intdigest(t, seed=42) & _PART for t in texts], np.uint32)
         for at, part in _chunks(texts):
             hashes, rows, first, last, around = anchors(part)
-            held.append((hashes, ids[at + rows], (first << 8) | (last - first), around))
+            held.append((hashes, ids[at + rows], parts[at + rows], (first << 8) | (last - first), around))
             count += len(hashes)
         if count >= HELD_ANCHORS:
             yield _one_of_each(held, buckets)
@@ -143,7 +147,7 @@ def find_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa
 
 
 def _one_of_each(held: list[tuple], buckets: int) -> pa.RecordBatch:
-    hashes, ids, spans, around = (np.concatenate(c) for c in zip(*held, strict=True))
+    hashes, ids, parts, spans, around = (np.concatenate(c) for c in zip(*held, strict=True))
     order = np.lexsort((around, hashes))
     ordered, stretch = hashes[order], around[order]
     new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
@@ -157,6 +161,7 @@ def _one_of_each(held: list[tuple], buckets: int) -> pa.RecordBatch:
         {
             "hash": hashes.view(np.int64),
             "doc_id": ids,
+            "part": parts,
             "span": np.where(~meets | again, spans | _KNOWN, spans),
             "meets": meets,
             "around": np.where(meets, around, 0).astype(np.uint32),
@@ -171,22 +176,22 @@ def _mix(hashes: np.ndarray, salt: np.ndarray) -> np.ndarray:
 
 
 def repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """hash, doc_id, span of the anchors whose hash occurs more than once, and in those that met the number of its different
+    """hash, doc_id, part, span of the anchors whose hash occurs more than once, and in those that met the number of its different
     stretches (others: 0). All rows of a hash that meet are in one partition."""
     table = common.unpacked(batches)
     if table is None:
         return
-    names = ("hash", "around", "doc_id", "span", "meets", "more")
-    hashes, around, ids, spans, meets, more = (table[n].to_numpy() for n in names)
+    names = ("hash", "around", "doc_id", "part", "span", "meets", "more")
+    hashes, around, ids, parts, spans, meets, more = (table[n].to_numpy() for n in names)
     order = np.lexsort((around, ~meets, hashes))
-    hashes, around, ids, spans, meets, more = (c[order] for c in (hashes, around, ids, spans, meets, more))
+    hashes, around, ids, parts, spans, meets, more = (c[order] for c in (hashes, around, ids, parts, spans, meets, more))
     own = np.cumsum(np.concatenate([[True], hashes[1:] != hashes[:-1]])) - 1
     met, known = np.bincount(own, meets), np.bincount(own, meets & (spans >= _KNOWN))
     keep = ~meets | (met[own] > 1) | (known[own] > 0)
     new = np.concatenate([[True], (own[1:] != own[:-1]) | (around[1:] != around[:-1])])
     stretches = np.where(meets, np.bincount(own, meets * (new + more))[own], 0).astype(np.int64)
-    columns = (hashes[keep], ids[keep], spans[keep] & (_KNOWN - 1), stretches[keep])
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hash", "doc_id", "span", "stretches"])
+    columns = (hashes[keep], ids[keep], parts[keep].astype(np.int64), spans[keep] & (_KNOWN - 1), stretches[keep])
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hash", "doc_id", "part", "span", "stretches"])
 
 
 _STRETCH = pa.schema(
@@ -239,7 +244,7 @@ def _pieces(data: bytes, hashes: list[int], spans: list[int]) -> Iterator[tuple[
         start = (span & (_HOT - 1)) >> 8
         stop = start + (span & 255) + LENGTH
         if stop > len(data):
-            continue  # of another row with this id
+            continue  # of another row with this id and part
         if span & _HOT:
             for at in range(start, stop - LENGTH + 1):
                 yield xxhash.xxh64_intdigest(data[at : at + LENGTH]) - (1 << 63), at, at + LENGTH
@@ -376,7 +381,8 @@ def removals(
 
     Nulls are empty; texts shorter than ``LENGTH`` lose nothing. Rows that share an id are ordered by a hash of their
     text, a null id comes first; repeated rows (id and text) are one document and lose the same. Texts are shuffled once,
-    by id: both joins read the same exchange, which is why each of them asks for the same columns.
+    by id and ``part`` (32 bits of the hash of the text, so that no id gathers the anchors of many texts): both joins read the
+    same exchange, which is why each of them asks for the same columns.
     """
     spark = docs.sparkSession
     others = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None).cast("int")
@@ -384,7 +390,7 @@ def removals(
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
         others.alias("rest"),
-    )
+    ).withColumn("part", F.xxhash64("text").bitwiseAND(F.lit(_PART)))
     size = plain.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(common.shuffle_partitions(spark), -(-size // PARTITION_BYTES))
     buckets = parts * common.BUCKETS_PER_PARTITION
@@ -392,18 +398,19 @@ def removals(
         plain.select("doc_id", "text"), functools.partial(find_anchors, buckets=buckets), common.PACKED
     )
     again = common.map_partitions(
-        found.repartition(parts, "bucket"), repeated_anchors, "hash long, doc_id long, span long, stretches long"
+        found.repartition(parts, "bucket"), repeated_anchors, "hash long, doc_id long, part long, span long, stretches long"
     )
     again = common.store(again, "anchors")
     hot = common.store(again.filter(F.col("stretches") > hot_stretches).select("hash").distinct(), "hot")
     marked = F.when(F.col("hot"), F.col("span").bitwiseOR(F.lit(_HOT))).otherwise(F.col("span"))
     again = again.join(common.broadcast_if_bytes(hot).withColumn("hot", F.lit(True)), "hash", "left").select(
-        "hash", "doc_id", marked.alias("span")
+        "hash", "doc_id", "part", marked.alias("span")
     )
-    # One row per document, no longer than its text.
-    wanted = again.groupBy("doc_id").agg(F.collect_list(F.struct("hash", "span")).alias("found"))
-    by_id = plain.repartition(parts, "doc_id")
-    suspects = by_id.join(wanted, "doc_id").select(
+    # One row per document, no longer than its text: equal rows have the same anchors.
+    key = ["doc_id", "part"]
+    wanted = again.groupBy(*key).agg(F.collect_set(F.struct("hash", "span")).alias("found"))
+    by_id = plain.repartition(parts, *key)
+    suspects = by_id.join(wanted, key).select(
         "doc_id",
         F.xxhash64("text").alias("text_hash"),
         "text",
@@ -415,9 +422,10 @@ def removals(
     runs = common.map_partitions(
         stretches.repartition(parts, "bucket"), sort_stretches, "doc_id long, text_hash long, start long, stop long"
     )
-    of_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("text_hash", "start", "stop")).alias("runs"))
+    runs = runs.withColumn("part", F.col("text_hash").bitwiseAND(F.lit(_PART)))
+    of_doc = runs.groupBy(*key).agg(F.collect_set(F.struct("text_hash", "start", "stop")).alias("runs"))
     mine = F.filter("runs", lambda r: r["text_hash"] == F.xxhash64("text"))
-    return by_id.join(of_doc, "doc_id", "left").select(
+    return by_id.join(of_doc, key, "left").select(
         F.nullif("doc_id", F.lit(_NULL_ID)).alias("doc_id"),
         "text",
         "rest",

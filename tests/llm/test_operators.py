@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import zlib
 
 import brute
@@ -181,6 +182,29 @@ def test_common_line_in_many_surroundings(spark):
     assert collected(suffix.digests(frame, hot_stretches=0)) == wanted
 
 
+def test_rows_of_one_id_do_not_share_anchors(spark, monkeypatch):
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghä", k=7)) for _ in range(400)]
+    passage = " ".join(rng.choices(words, k=40))
+    texts = [" ".join([*rng.choices(words, k=30), passage, *rng.choices(words, k=30)]) for _ in range(60)]
+    rows = [(None if i % 2 else 7, text) for i, text in enumerate(texts)] + [(7, texts[0])] * 30
+    sent = []
+
+    def watched(df, step, schema, run=suffix.common.map_partitions):
+        if getattr(step, "func", None) is suffix.cut_stretches:
+            sent.extend((len(r["text"].encode()), len(r["spans"])) for r in df.select("text", "spans").collect())
+        return run(df, step, schema)
+
+    monkeypatch.setattr(suffix.common, "map_partitions", watched)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = collections.Counter(tuple(r) for r in suffix.digests(frame).collect())
+    assert len(sent) == len(rows) and all(8 * spans <= size for size, spans in sent)
+    # Rows of an id come in the order of their texts' hashes, null ids first; equal rows are one document.
+    order = sorted({(d is not None, suffix.xxhash.xxh64_intdigest(t, seed=42) + (1 << 63) & (1 << 64) - 1, t) for d, t in rows})
+    wanted = {(known, t): w for (known, _, t), w in zip(order, brute.removed([(i, t) for i, (*_, t) in enumerate(order)]), strict=True)}
+    assert found == collections.Counter((d, *tuple(wanted[d is not None, t])[1:]) for d, t in rows)
+
+
 def test_stretches_of_a_hash_are_counted():
     line = b"the same line in all texts, so long that most strings around it find their anchor within it;"
     texts = [bytes([65 + i]) * 80 + line + bytes([97 + i]) * 80 for i in (0, 1, 2, 2)]

@@ -75,12 +75,14 @@ def word_candidates(text: Column, stop_words: list[str]) -> Column:
     return without(tokens(text), stop_words)
 
 
-def chunk_candidates(text: Column, stop_words: list[str], max_words: int = 4) -> Column:
-    """Runs of up to ``max_words`` words between stop words and punctuation."""
+def chunk_candidates(text: Column, stop_words: list[str], max_words: int | None = None) -> Column:
+    """Runs of words between stop words and punctuation, of any length; with ``max_words`` longer ones are left out."""
     plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}_ ]+", " | ")
     words = F.filter(F.split(plain, " "), lambda w: w != "")
     marked = F.transform(words, lambda w: F.when(w.isin(*stop_words), F.lit("|")).otherwise(w)) if stop_words else words
     runs = F.transform(F.split(F.array_join(marked, " "), r"\|"), lambda run: F.trim(run))
+    if max_words is None:
+        return F.filter(runs, lambda run: run != "")
     return F.filter(runs, lambda run: (run != "") & (F.size(F.split(run, " ")) <= max_words))
 
 

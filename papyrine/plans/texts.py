@@ -101,7 +101,8 @@ def keyphrases_tfidf(spark, sf_dir):
 @query("keyphrases_chunks", f"with {_phrases_sql(CHUNKS_SQL, 20)}")
 def keyphrases_chunks(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return _rounded(mining.keyphrases(documents, "doc_id", mining.chunk_candidates(F.col("text"), STOP_WORDS), 20))
+    chunks = mining.chunk_candidates(F.col("text"), STOP_WORDS, 4)  # as many words as CHUNKS_SQL has
+    return _rounded(mining.keyphrases(documents, "doc_id", chunks, 20))
 
 
 @query("keyphrases_maxsum")

@@ -32,6 +32,12 @@ def test_chunks(spark):
     assert rows.select(mining.chunk_candidates(F.col("t"), ["of", "the", "and", "a"], 2)).first()[0] == ["brain", "big", "data set"]
 
 
+def test_chunks_of_any_length(spark):
+    rows = spark.createDataFrame([("the slow deep neural network training run of a brain",)], "t string")
+    found = rows.select(mining.chunk_candidates(F.col("t"), ["of", "the", "a"])).first()[0]
+    assert found == ["slow deep neural network training run", "brain"]
+
+
 def test_keyphrases_share_one_count(spark, tmp_path):
     spark.range(50).select("id", F.concat(F.lit("ab cd"), "id").alias("t")).write.parquet(str(tmp_path / "d"))
     phrases = mining.keyphrases(spark.read.parquet(str(tmp_path / "d")), "id", mining.word_candidates(F.col("t"), []), 1)

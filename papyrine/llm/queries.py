@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from papyrine.llm import bpe, exact, html, licences, packing, prefix_counts, quality, sharding, simhash, suffix
+from papyrine.llm import bpe, exact, html, licences, packing, prefix_counts, quality, sharding, simhash, spelling, suffix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,11 @@ def op10_licence_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_documents(spark, sf_dir))
 
 
+def op11_trie_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, their near words and the form each is a variant of."""
+    return spelling.spelling_variants(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
         op8_quotient_filters,
         op9_prefix_counts,
         op10_licence_dice,
+        op11_trie_frontier,
     )
 } | {"pipeline": corpus_pipeline.run}
 

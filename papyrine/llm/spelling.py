@@ -158,8 +158,9 @@ def walk(edges: DataFrame, starts: DataFrame) -> DataFrame:
         second = spent.join(edges, ["node", "first"]).select("word", "near", "n", "to", _way("label", "rest", 1, F.col("pos")).alias("w"))
         reached = store(first.unionByName(second.filter(_fits(F.col("w")))), "reached")
         found.append(reached.filter("to is null and w.edits = 1").select("word", "near", "n"))
-        go_on = reached.filter("to is not null").select("word", F.expr("w.pos + length(w.label)").alias("pos"), F.col("to").alias("node"), "w.edits")
-        states = store(go_on, "states")
+        states = reached.filter("to is not null").select(
+            "word", F.expr("w.pos + length(w.label)").alias("pos"), F.col("to").alias("node"), "w.edits"
+        )
     out = found[0] if found else starts.select("word", F.col("word").alias("near"), F.lit(0).cast("long").alias("n")).limit(0)
     for more in found[1:]:
         out = out.unionByName(more)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from papyrine.llm import bpe, exact, html, licences, packing, prefix_counts, quality, ranking, sharding, simhash, spelling, suffix
+from papyrine.llm import bpe, exact, html, licences, packing, prefix_counts, quality, ranking, sharding, simhash, spelling, suffix, suffix_tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,11 @@ def op11_trie_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_documents(spark, sf_dir))
 
 
+def op12_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by single words and by the suffix tree."""
+    return suffix_tree.score(_documents(spark, sf_dir))
+
+
 def op13_bit_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return ranking.search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -91,6 +96,7 @@ QUERIES: dict[str, Query] = {
         op9_prefix_counts,
         op10_licence_dice,
         op11_trie_frontier,
+        op12_suffix_tree,
         op13_bit_slices,
     )
 } | {"pipeline": corpus_pipeline.run}

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import itertools
+import math
 
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.operators.ranking import total_order_index
@@ -51,35 +51,148 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
     raise RuntimeError(f"components not settled after {max_rounds} rounds")
 
 
+def _gap(lo, hi, other_lo, other_hi) -> Column:
+    """Squared distance of two boxes at their nearest."""
+    apart = F.zip_with(F.zip_with(lo, other_hi, lambda a, b: a - b), F.zip_with(other_lo, hi, lambda a, b: a - b), lambda a, b: F.greatest(a, b))
+    return F.aggregate(apart, F.lit(0.0), lambda total, x: total + F.greatest(x, F.lit(0.0)) * F.greatest(x, F.lit(0.0)))
+
+
+def _reach(lo, hi, other_lo, other_hi) -> Column:
+    """Squared distance of two boxes at their farthest."""
+    apart = F.zip_with(F.zip_with(hi, other_lo, lambda a, b: a - b), F.zip_with(other_hi, lo, lambda a, b: a - b), lambda a, b: F.greatest(a, b))
+    return F.aggregate(apart, F.lit(0.0), lambda total, x: total + x * x)
+
+
+class _Boxes:
+    """Points (x: array of coordinates, n: rows that lie there, low: smallest id) in cells that are halved level by level.
+
+    A cell is known by its integer coordinates, and carries the box around its points: of a cell with one point that is the
+    point, so that halving always ends.
+    """
+
+    def __init__(self, points: DataFrame, side: float) -> None:
+        self.points, self.side, self.levels = points, side, {}
+
+    @staticmethod
+    def cell(x: Column, side: float) -> Column:
+        return F.transform(x, lambda v: F.floor(v / side))
+
+    def level(self, k: int) -> DataFrame:
+        """up (cell of the level before), cell, lo, hi, n."""
+        if k not in self.levels:
+            up, own = (self.cell(F.col("x"), self.side / 2**i).alias(n) for i, n in ((max(k - 1, 0), "up"), (k, "cell")))
+            box = self.points.select(up, own, F.posexplode("x").alias("axis", "v"), "n").groupBy("up", "cell", "axis")
+            sides = box.agg(F.min("v").alias("a"), F.max("v").alias("b"), F.sum("n").alias("n")).groupBy("up", "cell")
+            made = sides.agg(F.sort_array(F.collect_list(F.struct("axis", "a", "b"))).alias("s"), F.max("n").alias("n"))
+            self.levels[k] = stage(made.select("up", "cell", F.col("s.a").alias("lo"), F.col("s.b").alias("hi"), "n"))
+        return self.levels[k]
+
+
+def _around(cell: Column, axes: int) -> Column:
+    """The cell and those that touch it."""
+    # Step number i in base three, digit by digit.
+    digit = lambda i, j: F.floor(i / F.pow(F.lit(3.0), j)) % 3
+    steps = F.sequence(F.lit(0), F.lit(3**axes - 1))
+    return F.transform(steps, lambda i: F.transform(cell, lambda v, j: v + digit(i, j) - 1))
+
+
+def _near_boxes(queries: DataFrame, boxes: _Boxes, eps: float, axes: int) -> DataFrame:
+    """x, cell, k, n: the cells of level k that lie wholly within ``eps`` of each point x, every point of them in one cell.
+
+    A cell that is cut by the sphere around x is replaced by its halves until all are inside or outside. Nothing is paired
+    but points with cells.
+    """
+    far = eps * eps
+    # A cell is looked for by its lowest corner, which is up to a side below its points.
+    block = eps + boxes.side
+    wide = boxes.level(0).withColumn("block", _Boxes.cell(F.col("lo"), block))
+    asked = queries.select("x", F.explode(_around(_Boxes.cell(F.col("x"), block), axes)).alias("block"))
+    open_, inside, k = asked.join(wide, "block").select("x", "cell", "lo", "hi", "n"), None, 0
+    while True:
+        own = F.col("x")
+        found = stage(open_.filter(_gap(own, own, F.col("lo"), F.col("hi")) <= far).withColumn("within", _reach(own, own, F.col("lo"), F.col("hi")) <= far))
+        done = found.filter("within").select("x", "cell", F.lit(k).alias("k"), "n")
+        inside = done if inside is None else inside.unionByName(done)
+        rest = found.filter("not within").select("x", F.col("cell").alias("up"))
+        if rest.isEmpty():
+            return inside
+        k += 1
+        open_ = rest.join(boxes.level(k), "up").select("x", "cell", "lo", "hi", "n")
+
+
+def _linked_cells(boxes: _Boxes, eps: float, axes: int) -> DataFrame:
+    """a, b: pairs of first-level cells that hold two points within ``eps`` of each other, a < b."""
+    far = eps * eps
+    first = boxes.level(0).select("cell", "lo", "hi", _Boxes.cell(F.col("lo"), eps + boxes.side).alias("block"))
+    left = first.select(*[F.col(c).alias(f"{c}_a") for c in ("cell", "lo", "hi")], F.explode(_around(F.col("block"), axes)).alias("block"))
+    right = first.select(*[F.col(c).alias(f"{c}_b") for c in ("cell", "lo", "hi")], "block")
+    named = [F.col("cell_a").alias("a"), F.col("cell_b").alias("b"), *[f"{c}_{s}" for s in "ab" for c in ("cell", "lo", "hi")]]
+    open_, links, k = left.join(right, "block").filter("cell_a < cell_b").select(*named), None, 0
+    while True:
+        box = [F.col(c) for c in ("lo_a", "hi_a", "lo_b", "hi_b")]
+        found = stage(open_.filter(_gap(*box) <= far).withColumn("within", _reach(*box) <= far))
+        done = found.filter("within").select("a", "b").distinct()
+        links = done if links is None else links.unionByName(done)
+        rest = found.filter("not within").join(done, ["a", "b"], "left_anti")
+        if rest.isEmpty():
+            return links
+        k += 1
+        halves = boxes.level(k)
+        for s in "ab":
+            own = halves.select(F.col("up").alias(f"cell_{s}"), *[F.col(c).alias(f"new_{c}") for c in ("cell", "lo", "hi")])
+            rest = rest.drop(f"lo_{s}", f"hi_{s}").join(own, f"cell_{s}").drop(f"cell_{s}")
+            rest = rest.withColumnsRenamed({f"new_{c}": f"{c}_{s}" for c in ("cell", "lo", "hi")})
+        open_ = rest.select("a", "b", *[f"{c}_{s}" for s in "ab" for c in ("cell", "lo", "hi")])
+
+
 def density_clusters(
-    df: DataFrame, id_col: str, coordinates: list[str], eps: float, min_size: int = 15
+    df: DataFrame, id_col: str, coordinates: list[str], eps: float, min_size: int = 15, min_points: int = 5
 ) -> DataFrame:
-    """``id, cluster``: 0-based by descending size, -1 for noise.
+    """``id, cluster``: 0-based by descending size (then smallest core id), -1 for noise.
 
-    Space is cut into cells of side ``eps``. Occupied cells that touch belong together, and
-    a group of cells with fewer than ``min_size`` points is noise. Points are counted per cell
-    and never paired, so a cell may hold any share of them; the work after that grows
-    with the number of cells.
+    A point with at least ``min_points`` rows within ``eps``, its own included, is a core. Cores within ``eps`` of each other
+    are in one cluster; another point belongs to the cluster of its nearest core within ``eps`` (of equally near ones that
+    with the smallest id), else it is noise, as are clusters of fewer than ``min_size`` rows and rows with a null or NaN
+    coordinate.
+
+    Equal points are one point with a count. Cells are so small that all their points are within ``eps``: the points of a cell
+    with ``min_points`` rows are cores without a look at others, and cores of one cell are in one cluster. All else is decided
+    between points and cells, or cells and cells, by the boxes around their points; cells that boxes cannot decide are halved.
+    So a cell may hold any share of the rows.
     """
-    cell = F.concat_ws(",", *[F.floor(F.col(c) / eps).cast("string") for c in coordinates])
-    placed = df.select(id_col, cell.alias("node"), *[F.floor(F.col(c) / eps).alias(f"_{c}") for c in coordinates])
-    axes = [f"_{c}" for c in coordinates]
-    cells = stage(placed.groupBy("node", *axes).agg(F.count(F.lit(1)).alias("n")))
-    steps = [s for s in itertools.product((-1, 0, 1), repeat=len(axes)) if any(s)]
-    forward = [s for s in steps if s > tuple(0 for _ in axes)]
-    around = F.transform(F.lit([",".join(map(str, step)) for step in forward]), lambda step: F.split(step, ","))
-    neighbour = F.explode(
-        F.transform(
-            around,
-            lambda step: F.concat_ws(",", *[(F.col(a) + step[i].cast("bigint")).cast("string") for i, a in enumerate(axes)]),
-        )
-    )
-    ahead = cells.select(F.col("node").alias("src"), neighbour.alias("dst"))
-    touching = ahead.join(cells.select(F.col("node").alias("dst")), "dst")
-    edges = stage(touching.select("src", "dst").unionByName(touching.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
-    labels = connected_components(cells, edges)
-    sizes = labels.join(cells.select("node", "n"), "node").groupBy("label").agg(F.sum("n").alias("size"))
-    large = stage(sizes.filter(F.col("size") >= min_size))
-    numbered = total_order_index(large, [F.desc("size"), F.asc("label")], "cluster").select("label", "cluster")
-    of_cell = stage(labels.join(numbered, "label", "left").select("node", F.coalesce("cluster", F.lit(-1)).alias("cluster")))
-    return placed.select(id_col, "node").join(broadcast_if_small(of_cell), "node").select(id_col, "cluster")
+    axes = len(coordinates)
+    values = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in coordinates]
+    placed = df.select(id_col, F.array(*[v + F.lit(0.0) for v in values]).alias("x"))
+    placed = placed.withColumn("x", F.when(~F.exists("x", lambda v: v.isNull()), F.col("x")))
+    points = placed.filter("x is not null").groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("low"))
+    # A little below eps / sqrt(axes): rounding must not part two points of a cell.
+    boxes = _Boxes(stage(points), eps / math.sqrt(axes) * (1 - 1e-9))
+    cell = _Boxes.cell(F.col("x"), boxes.side)
+    crowded = boxes.level(0).select("cell", (F.col("n") >= min_points).alias("crowded"))
+    known = stage(boxes.points.withColumn("cell", cell).join(crowded, "cell"))
+    lone = known.filter("not crowded")
+    counted = _near_boxes(lone, boxes, eps, axes).groupBy("x").agg(F.sum("n").alias("around")).filter(F.col("around") >= min_points)
+    cores = stage(known.filter("crowded").select("x", "n", "low", "cell").unionByName(
+        lone.join(counted.select("x"), "x", "left_semi").select("x", "n", "low", "cell")
+    ))
+    core_boxes = _Boxes(cores.select("x", "n", "low"), boxes.side)
+    pairs = _linked_cells(core_boxes, eps, axes).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    both = stage(pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
+    labels = connected_components(core_boxes.level(0).select(F.col("cell").alias("node")), both)
+    labelled = stage(cores.join(labels.withColumnRenamed("node", "cell"), "cell").select("x", "low", "label"))
+    # A point that is no core has fewer than min_points rows within eps: that many cores at most.
+    edge = stage(lone.join(counted.select("x"), "x", "left_anti").select("x"))
+    near, core = _near_boxes(edge, core_boxes, eps, axes), labelled.withColumnRenamed("x", "y")
+    reached = None
+    for k in core_boxes.levels:
+        of_level = core.withColumn("cell", _Boxes.cell(F.col("y"), boxes.side / 2**k))
+        some = near.filter(F.col("k") == k).join(of_level, "cell")
+        reached = some if reached is None else reached.unionByName(some)
+    apart = _gap(F.col("x"), F.col("x"), F.col("y"), F.col("y"))
+    nearest = reached.groupBy("x").agg(F.min(F.struct(apart.alias("d"), "low", "label")).alias("best"))
+    member = stage(labelled.select("x", "label", "low").unionByName(nearest.select("x", "best.label", F.lit(None).cast(labelled.schema["low"].dataType).alias("low"))))
+    sized = member.join(boxes.points.select("x", "n"), "x").groupBy("label").agg(F.sum("n").alias("size"), F.min("low").alias("low"))
+    large = stage(sized.filter(F.col("size") >= min_size))
+    numbered = total_order_index(large, [F.desc("size"), F.asc("low")], "cluster").select("label", "cluster")
+    of_point = stage(member.join(numbered, "label").select("x", "cluster"))
+    return placed.join(broadcast_if_small(of_point), "x", "left").select(id_col, F.coalesce("cluster", F.lit(-1)).alias("cluster"))

@@ -65,32 +65,38 @@ def pca_embeddings(spark, sf_dir):
 
 @query("density_clusters")
 def density_clusters(spark, sf_dir):
-    """Reduced to five dimensions first; the cell side is a quarter of the first component's deviation."""
+    """Reduced to five dimensions first; neighbours lie within the first component's deviation."""
     reduced = stage(clustering.reduce_dimensions(_embeddings(spark, sf_dir), "embedding", 5))
-    eps = reduced.agg(F.stddev("pc1")).first()[0] / 2
+    eps = reduced.agg(F.stddev("pc1")).first()[0]
     return clustering.density_clusters(reduced, "vec_id", [f"pc{i}" for i in range(1, 6)], eps)
 
 
-EPS = 0.05
+EPS, MIN_POINTS, MIN_SIZE = 0.02, 5, 15
 
 
 @query(
     "density_clusters_plane",
-    f"""with recursive points as (select vec_id, cast(floor(embedding[1]::double / {EPS}) as bigint) as x,
-        cast(floor(embedding[2]::double / {EPS}) as bigint) as y from embeddings),
-    cells as (select concat(x, ',', y) as node, x, y, count(*) as n from points group by x, y),
-    edges as (select a.node as src, b.node as dst from cells a join cells b
-      on abs(a.x - b.x) <= 1 and abs(a.y - b.y) <= 1),
-    reach as (select node, node as other from cells union select r.node, e.dst from reach r join edges e on r.other = e.src),
-    labels as (select node, min(other) as label from reach group by node),
-    sizes as (select label, sum(n) as size from labels join cells using (node) group by label having sum(n) >= 15),
+    f"""with recursive points as (select vec_id, embedding[1]::double as x, embedding[2]::double as y from embeddings),
+    near as (select a.vec_id as a, b.vec_id as b, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) as d
+      from points a join points b on b.x between a.x - 2 * {EPS} and a.x + 2 * {EPS}
+      where (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {EPS}::double * {EPS}::double),
+    cores as (select a as id from near group by a having count(*) >= {MIN_POINTS}),
+    edges as (select a, b from near where a in (from cores) and b in (from cores)),
+    reach as (select id, id as other from cores union select r.id, e.b from reach r join edges e on r.other = e.a),
+    labels as (select id, min(other) as label from reach group by id),
+    members as (
+      select id, label from labels
+      union all
+      select a, arg_min(label, struct_pack(d, b)) from near join labels on b = labels.id
+        where a not in (from cores) group by a),
+    sizes as (select label, count(*) as size from members group by label having count(*) >= {MIN_SIZE}),
     numbered as (select label, row_number() over (order by size desc, label) - 1 as cluster from sizes)
-    select p.vec_id, coalesce(n.cluster, -1) as cluster from points p
-      join labels l on l.node = concat(p.x, ',', p.y) left join numbered n on l.label = n.label""",
+    select p.vec_id, coalesce(n.cluster, -1) as cluster from points p left join members m on m.id = p.vec_id
+      left join numbered n on m.label = n.label""",
 )
 def density_clusters_plane(spark, sf_dir):
     """Over the first two coordinates, which SQL can follow."""
     plane = _embeddings(spark, sf_dir).select(
         "vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(2)]
     )
-    return clustering.density_clusters(plane, "vec_id", ["x0", "x1"], EPS)
+    return clustering.density_clusters(plane, "vec_id", ["x0", "x1"], EPS, MIN_SIZE, MIN_POINTS)

@@ -83,44 +83,49 @@ def test_topics(spark):
     assert best.k == 1 and best.score == pytest.approx(1 / math.sqrt(1.01))
 
 
-def brute_force(points, eps, min_size):
-    cells = {}
-    for name, place in points.items():
-        cells.setdefault(tuple(math.floor(x / eps) for x in place), []).append(name)
-    groups, seen = [], set()
-    for start in cells:
-        if start in seen:
-            continue
-        todo, group = [start], []
-        seen.add(start)
+def brute_force(points, eps, min_points, min_size):
+    """Clusters as sets of ids, by all distances."""
+    def square(a, b):
+        return sum((u - v) * (u - v) for u, v in zip(points[a], points[b], strict=True))
+
+    near = {a: [b for b in points if square(a, b) <= eps * eps] for a in points}
+    cores = {a for a in points if len(near[a]) >= min_points}
+    label = {}
+    for start in sorted(cores):
+        todo = [start] if start not in label else []
         while todo:
-            cell = todo.pop()
-            group += cells[cell]
-            for step in itertools.product((-1, 0, 1), repeat=len(cell)):
-                near = tuple(a + b for a, b in zip(cell, step))
-                if near in cells and near not in seen:
-                    seen.add(near)
-                    todo.append(near)
-        groups.append(frozenset(group))
-    return {g for g in groups if len(g) >= min_size}
-
-
-@pytest.mark.parametrize("dimensions", [1, 2, 3])
+            a = todo.pop()
+            if a not in label:
+                label[a] = start
+                todo += [b for b in near[a] if b in cores]
+    groups = {}
+    for a in points:
+        around = [(square(a, b), b) for b in near[a] if b in cores]
+        if a in cores or around:
+            groups.setdefault(label[a if a in cores else min(around)[1]], set()).add(a)
+    return {frozenset(g) for g in groups.values() if len(g) >= min_size}
+
+
+@pytest.mark.parametrize("dimensions", [1, 2, 3, 5])
 def test_clusters_against_brute_force(spark, dimensions):
     rng = random.Random(dimensions)
-    # A third of the points on one spot, a long thin chain, and scattered ones.
-    points = {i: tuple(0.5 for _ in range(dimensions)) for i in range(60)}
-    points |= {100 + i: tuple(5 + i * 0.9 for _ in range(dimensions)) for i in range(40)}
-    points |= {200 + i: tuple(rng.uniform(-60, 60) for _ in range(dimensions)) for i in range(80)}
+    # A third of the points on one spot, a chain, two clouds with a stray point between them, and scattered ones.
+    points = {i: tuple(0.5 for _ in range(dimensions)) for i in range(90)}
+    points |= {100 + i: (5 + i * 0.3, *[4.0] * (dimensions - 1)) for i in range(30)}
+    for k, centre in enumerate((-10, -6)):
+        points |= {200 + 50 * k + i: tuple(rng.gauss(centre * (j == 0), 0.35) for j in range(dimensions)) for i in range(45)}
+    points[299] = (-8.0, *[0.0] * (dimensions - 1))
+    points |= {300 + i: tuple(rng.uniform(-12, 12) for _ in range(dimensions)) for i in range(50)}
     axes = [f"x{i}" for i in range(dimensions)]
-    frame = spark.createDataFrame([(i, *p) for i, p in points.items()], ["id", *axes])
-    rows = clustering.density_clusters(frame, "id", axes, 1.0, 15).collect()
+    rows = [(i, *p) for i, p in points.items()] + [(900, *[None] * dimensions), (901, *[float("nan")] * dimensions)]
+    frame = spark.createDataFrame(rows, ", ".join(["id int", *[f"{a} double" for a in axes]]))
+    found = clustering.density_clusters(frame, "id", axes, 1.0, 12, 6).collect()
     groups, noise = {}, set()
-    for r in rows:
+    for r in found:
         (noise.add(r.id) if r.cluster == -1 else groups.setdefault(r.cluster, set()).add(r.id))
-    expected = brute_force(points, 1.0, 15)
-    assert {frozenset(g) for g in groups.values()} == expected
-    assert noise == set(points) - set().union(*expected)
+    expected = brute_force(points, 1.0, 6, 12)
+    assert {frozenset(g) for g in groups.values()} == expected and len(expected) >= 2
+    assert noise == (set(points) | {900, 901}) - set().union(*expected)
     assert sorted(groups) == list(range(len(expected)))
     sizes = [len(groups[k]) for k in sorted(groups)]
     assert sizes == sorted(sizes, reverse=True)

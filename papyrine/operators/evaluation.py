@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from papyrine.functions.text import preview
 from papyrine.operators.labels import attach_labels
 from papyrine.operators.sampling import head_percent
+from papyrine.operators.sizing import broadcast_if_small
+from papyrine.session import stage
 
 
 def argmax(scores: Column) -> Column:
@@ -95,6 +97,60 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored.select(*kept).withColumn("pred", argmax(F.col("scores")))
 
 
+def term_counts(df: DataFrame, id_col: str, terms: Column, keep: list[str]) -> DataFrame:
+    """``id, *keep, term, tf``: how often each term occurs in each row."""
+    return df.select(id_col, *keep, F.explode(terms).alias("term")).groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def fit_counts(train: DataFrame, id_col: str, terms: Column, label: str) -> tuple[DataFrame, DataFrame]:
+    """A multinomial naive Bayes classifier as two tables: its classes and its terms.
+
+    classes: label, base (log share of the rows), norm (log of the class's terms plus the vocabulary). terms: term, with one
+    (label, log of one more than its count) for each class that has it. So a term c times in a class with n terms weighs
+    log((c + 1) / (n + v)), v the distinct terms of all classes. Rows without a term count for their class.
+    """
+    counts = stage(train.select(label, F.explode(terms).alias("term")).groupBy("term", label).agg(F.count(F.lit(1)).alias("c")))
+    vocabulary = counts.agg(F.count_distinct("term")).first()[0]
+    rows = stage(train.groupBy(label).agg(F.count(F.lit(1)).alias("rows")))
+    all_rows = rows.agg(F.sum("rows")).first()[0]
+    sizes = counts.groupBy(label).agg(F.sum("c").alias("n"))
+    norm = F.log(F.coalesce("n", F.lit(0)) + F.lit(float(max(vocabulary, 1))))
+    classes = rows.join(sizes, label, "left").select(label, F.log(F.col("rows") / F.lit(all_rows)).alias("base"), norm.alias("norm"))
+    of_class = F.struct(F.col(label).alias("label"), F.log(F.col("c") + 1.0).alias("w"))
+    return stage(classes), stage(counts.groupBy("term").agg(F.collect_list(of_class).alias("weights")))
+
+
+def predict_counts(df: DataFrame, id_col: str, terms: Column, label: str, model: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """``id, label, pred`` for every row with a unique id: the most likely class, of equally likely ones the smallest.
+
+    Terms that training did not have say nothing. Scores are compared rounded to nine digits. A row without a known term gets
+    the most frequent class. Sums are formed per (row, class) before they move; the classes are one value.
+    """
+    classes, weights = model
+    known = term_counts(df, id_col, terms, []).join(broadcast_if_small(weights), "term")
+    sized = known.groupBy(id_col).agg(F.sum("tf").alias("n"))
+    summed = known.select(id_col, "tf", F.inline("weights")).groupBy(id_col, "label").agg(F.sum(F.col("tf") * F.col("w")).alias("s"))
+    own = summed.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("label", "s"))).alias("sums")).join(sized, id_col)
+    all_classes = classes.agg(F.collect_list(F.struct(F.col(label).alias("label"), "base", "norm")).alias("classes"))
+    joined = df.select(id_col, label).join(own, id_col, "left").withColumn("classes", all_classes.scalar())
+    scores = F.transform(
+        "classes",
+        lambda k: F.struct(
+            (-F.round(k["base"] + F.coalesce(F.try_element_at("sums", k["label"]), F.lit(0.0)) - F.coalesce("n", F.lit(0)) * k["norm"], 9)).alias("cost"),
+            k["label"].alias("label"),
+        ),
+    )
+    return joined.select(id_col, label, F.array_min(scores)["label"].alias("pred"))
+
+
+def evaluate_counts(split: DataFrame, id_col: str, terms: Column, label: str, percent: float = 100) -> DataFrame:
+    """Fit on ``train``, predict ``test`` (the first ``percent`` % of each), and measure."""
+    rows = split.filter(F.col(label).isNotNull())
+    parts = {s: stage(head_percent(rows.filter(F.col("subset") == s), id_col, percent)) for s in ("train", "test")}
+    model = fit_counts(parts["train"], id_col, terms, label)
+    return classification_metrics(predict_counts(parts["test"], id_col, terms, label, model), label, "pred")
+
+
 def evaluate_classifier(
     split: DataFrame, id_col: str, text: str, label: str, percent: float = 100, algorithm: str = "bayes"
 ) -> DataFrame:

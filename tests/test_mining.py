@@ -181,3 +181,23 @@ def test_classifier_beats_the_majority(spark, algorithm):
     assert evaluation.evaluate_classifier(split, "id", "t", "k", algorithm=algorithm).first().accuracy > 0.9
     with pytest.raises(ValueError):
         evaluation.train_text_classifier(split, "t", "k", "forest")
+
+
+def test_counted_bayes(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(i, rng.choices(words[4 * (i % 3) : 4 * (i % 3) + 6], k=rng.randrange(0, 7)), "abc"[i % 3]) for i in range(60)]
+    train, test = rows[:40], [*rows[40:], (99, ["unseen"], "c"), (100, None, "a"), (101, ["w5", "unseen"], "b")]
+    frames = [spark.createDataFrame(r, "id int, terms array<string>, k string") for r in (train, test)]
+    model = evaluation.fit_counts(frames[0], "id", F.col("terms"), "k")
+    found = {r.id: r.pred for r in evaluation.predict_counts(frames[1], "id", F.col("terms"), "k", model).collect()}
+    vocabulary = {t for _, terms, _ in train for t in terms}
+    wanted = {}
+    for i, terms, _ in test:
+        score = {}
+        for k in "abc":
+            own = [t for _, ts, label in train if label == k for t in ts]
+            base = math.log(sum(label == k for *_, label in train) / len(train))
+            score[k] = round(base + sum(math.log((own.count(t) + 1) / (len(own) + len(vocabulary))) for t in terms or [] if t in vocabulary), 9)
+        wanted[i] = min(score, key=lambda k: (-score[k], k))
+    assert found == wanted

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from papyrine.operators.ranking import Ties, global_row_number, mark_up_to, ntile_by_class, seeded_hash
@@ -92,14 +92,43 @@ def random_sample(df: DataFrame, id_col: str, k: int, seed: int | str = 42) -> D
 def head_percent(df: DataFrame, id_col: str, percent: float) -> DataFrame:
     """The first ``percent`` % of the rows in id order, rounded half to even; 100 keeps all.
 
-    Only the ids are sorted, and the table is then filtered by the last id kept.
+    Null ids come first. Ids are counted before they are ranked, so that a repeated id is one row of the ranking; of the
+    copies of the last id as many stay as are wanted, the first by a hash of the row.
     """
     if percent >= 100:
         return df
-    ids = global_row_number(df.select(id_col), [F.col(id_col).asc()], "_row")
-    rows = ids.agg(F.count(F.lit(1))).scalar()
-    last = ids.filter(F.col("_row") == F.bround(rows * F.lit(percent / 100.0))).select(id_col)
-    return df.filter(F.col(id_col) <= last.scalar())
+    counts = stage(df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")))
+    rows = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"))
+    wanted = rows.select(F.bround(F.col("rows") * F.lit(percent / 100.0)).cast("bigint")).first()[0]
+    last, before = _id_at(counts, id_col, wanted)
+    if last is None:
+        return df.limit(0)
+    own, value = F.col(id_col), F.lit(last[id_col])
+    below = F.lit(False) if last[id_col] is None else own.isNull() | (own < value)
+    if wanted == before + last["_n"]:
+        return df.filter(below | own.eqNullSafe(value))
+    copies = df.filter(own.eqNullSafe(value)).orderBy(F.xxhash64(*df.columns)).limit(wanted - before)
+    return df.filter(below).unionByName(copies)
+
+
+def _id_at(counts: DataFrame, id_col: str, place: int):
+    """The row of ``counts`` (id, _n) that holds the ``place``-th (from 1) of all rows in id order, and the rows before it.
+
+    Ids are range-partitioned; the sums of the ranges, one row each, tell the range, and only that one is looked through.
+    """
+    if place < 1:
+        return None, 0
+    ranged = stage(counts.repartitionByRange(F.col(id_col).asc()).withColumn("_range", F.spark_partition_id()))
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = ranged.groupBy("_range").agg(F.sum("_n").alias("_rows")).withColumn("_upto", F.sum("_rows").over(ahead))
+    found = sums.filter(F.col("_upto") >= place).orderBy("_range").first()
+    if found is None:
+        return None, 0
+    start = found["_upto"] - found["_rows"]
+    inside = ranged.filter(F.col("_range") == found["_range"])
+    running = Window.orderBy(F.col(id_col).asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row = inside.withColumn("_upto", F.sum("_n").over(running) + start).filter(F.col("_upto") >= place).orderBy("_upto").first()
+    return row, row["_upto"] - row["_n"]
 
 
 def page_by_id(df: DataFrame, id_col: str, offset: int, limit: int) -> DataFrame:

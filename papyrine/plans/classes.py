@@ -337,6 +337,19 @@ def head_percent_slice(spark, sf_dir):
     return sampling.head_percent(renamed, "doc_id", 10)
 
 
+@query(
+    "head_percent_repeated_ids",
+    """select k, count(*) as n from (select k, row_number() over (order by k nulls first) as r, count(*) over () as n
+      from (select case when l_orderkey % 4 = 0 then null else l_orderkey // 50 end as k from lineitem))
+    where r <= round_even(n * 0.37, 0) group by k""",
+)
+def head_percent_repeated_ids(spark, sf_dir):
+    """Many rows share an id or have none: the cut takes the exact number of rows."""
+    key = F.when(F.col("l_orderkey") % 4 != 0, F.floor(F.col("l_orderkey") / 50))
+    rows = table(spark, sf_dir, "lineitem").select(key.alias("k"))
+    return sampling.head_percent(rows, "k", 37).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("page_by_id", "select doc_id, text from documents order by doc_id limit 25 offset 100")
 def page_by_id(spark, sf_dir):
     return sampling.page_by_id(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", 100, 25)

@@ -85,7 +85,7 @@ WORDS_SQL = f"list_filter({TOKENS_SQL}, lambda w: w not in {STOP_SQL})"
 CHUNKS_SQL = f"""list_filter(list_transform(string_split(array_to_string(list_transform(list_filter(string_split(
     regexp_replace(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}_ ]+', ' | ', 'g'), ' '), lambda w: w <> ''),
     lambda w: case when w in {STOP_SQL} then '|' else w end), ' '), '|'), lambda r: trim(r)),
-    lambda r: r <> '' and len(string_split(r, ' ')) <= 4)"""
+    lambda r: r <> '')"""
 
 
 def _rounded(frame):
@@ -101,7 +101,7 @@ def keyphrases_tfidf(spark, sf_dir):
 @query("keyphrases_chunks", f"with {_phrases_sql(CHUNKS_SQL, 20)}")
 def keyphrases_chunks(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    chunks = mining.chunk_candidates(F.col("text"), STOP_WORDS, 4)  # as many words as CHUNKS_SQL has
+    chunks = mining.chunk_candidates(F.col("text"), STOP_WORDS)
     return _rounded(mining.keyphrases(documents, "doc_id", chunks, 20))
 
 

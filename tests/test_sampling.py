@@ -114,6 +114,17 @@ def test_head_percent(spark, rows, percent):
     assert found == [3 * i for i in range(round(rows * percent / 100))]
 
 
+def test_head_percent_of_null_and_repeated_ids(spark):
+    ids = [None, None, *[0] * 3, 1, *[2] * 6, 3]
+    frame = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "id int, n int").repartition(4)
+    for percent in (1, 8, 15, 30, 50, 77, 99):
+        found = sampling.head_percent(frame, "id", percent).collect()
+        wanted = sorted(ids, key=lambda i: (i is not None, i))[: round(len(ids) * percent / 100)]
+        assert sorted((r.id for r in found), key=lambda i: (i is not None, i)) == wanted
+        assert len({r.n for r in found}) == len(found)
+    assert sampling.head_percent(frame.limit(0), "id", 50).collect() == []
+
+
 def test_pages(spark):
     ids = spark.range(0, 500, 2).repartition(7)
     wanted = [r.id for r in sampling.page_by_id(ids, "id", 100, 5).collect()]

@@ -207,14 +207,20 @@ def groups(
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one of each text."""
-    found = store(groups(docs, id_col, text_col, with_hash=True).filter("not kept"), "dropped")
-    left = common.without_rows(docs, found.filter("not doc_id <=> keep_id"), id_col, text_col)
-    twice = found.filter("doc_id <=> keep_id")
-    if twice.isEmpty():
+    """The rows of ``docs`` that stay, with all their columns: one of each text.
+
+    Rows of one text and id that differ in white space are told apart by a hash of the whole text, of which the smallest
+    stays; rows alike in both are one row twice.
+    """
+    found = store(groups(docs, id_col, text_col, with_hash=True), "grouped")
+    # One (id, whole text) of each normalised text stays; all others go.
+    chosen = found.filter("kept").select("text_sha256", F.col("text_hash").alias("kept_hash"))
+    gone = found.filter("group_size > 1").join(chosen, "text_sha256").filter("not (doc_id <=> keep_id) or text_hash <> kept_hash")
+    left = common.without_rows(docs, store(gone.select("doc_id", "text_hash"), "dropped"), id_col, text_col)
+    twice = found.filter("not kept and doc_id <=> keep_id").join(chosen, "text_sha256").filter("text_hash = kept_hash")
+    ids = store(twice.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "twice")
+    if ids.isEmpty():
         return left
-    # Rows that share id and text with the one that stays: one of them is kept.
-    ids = twice.select(F.col("keep_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     key = [c.alias(n) for c, n in zip(common.row_key(id_col, text_col), ("_id", "_hash"), strict=True)]
     whole = left.select(F.struct("*").alias("row"), *key)
     same = whole["_id"].eqNullSafe(ids["_id"]) & (whole["_hash"] == ids["_hash"])

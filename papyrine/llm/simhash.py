@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.llm import common
@@ -206,9 +206,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_hash: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_keys: bool = False
 ) -> DataFrame:
-    """doc_id, fingerprint, component_id for every row: the smallest id that links lead to, the own one included.
+    """doc_id, fingerprint, component_id (with ``with_keys`` also text_hash and root, a fingerprint, never null) for every row: the smallest id that links lead to, the own one included.
 
     Null and empty texts have fingerprint zero, which is linked like any other. Null ids do not count as smallest; a
     component of null ids only has a null id. Repeated rows are rows like any other.
@@ -221,19 +221,25 @@ def near_duplicates(
     )
     rooted = store(rooted, "rooted")
     lowest = store(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
-    named = store(rooted.join(lowest, "root").select("fp", "component_id"), "named")
-    extra = ["text_hash"] if with_hash else []
+    named = store(rooted.join(lowest, "root").select("fp", "root", "component_id"), "named")
+    extra = ["text_hash", "root"] if with_keys else []
     return marks.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *extra
     )
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns kept: of each component the row with the smallest id.
+    """The rows of ``docs`` that stay, all columns kept: of each component the row with the smallest id, null ids last.
 
-    Rows that share that id stay if they share the text too; of different texts with that id one stays.
+    Components are told apart by their root, so that those of null ids only keep a row each. Of different texts with that id
+    the one with the smallest hash stays; rows that share both stay together.
     """
-    found = near_duplicates(docs, id_col, text_col, with_hash=True)
-    first = F.min("text_hash").over(Window.partitionBy("component_id", "doc_id"))
-    found = found.withColumn("first", F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), first))
-    return common.without_rows(docs, found.filter("first is null or first <> text_hash"), id_col, text_col)
+    found = store(near_duplicates(docs, id_col, text_col, with_keys=True), "near")
+    rank = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")
+    stays = store(found.groupBy("root").agg(F.min(rank).alias("stays")).select("root", "stays.doc_id", "stays.text_hash"), "stays")
+    others = found.join(
+        common.broadcast_if_bytes(stays.select(F.col("root").alias("_root"), F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))),
+        (F.col("root") == F.col("_root")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")),
+        "left_anti",
+    )
+    return common.without_rows(docs, others, id_col, text_col)

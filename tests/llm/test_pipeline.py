@@ -41,3 +41,21 @@ def test_sql(spark, name):
 def test_registered():
     names = set(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+
+
+def test_rows_without_id_are_documents_of_their_own(spark):
+    from papyrine.llm import exact, simhash
+
+    rng = __import__("random").Random(1)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(5)]
+    rows = [(None, t) for t in texts[:3]] + [(None, texts[3]), (7, texts[3]), (3, texts[4]), (None, texts[4] + " "), (None, texts[0])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = sorted((r.text, r.doc_id is None, r.doc_id) for r in simhash.deduplicate(frame).collect())
+    # Rows alike in id and text stay together here; exact duplicates go in the stage before.
+    assert left == sorted([(t, True, None) for t in [*texts[:3], texts[0]]] + [(texts[3], False, 7), (texts[4], False, 3)])
+    spaced = [(5, "a b " + texts[0]), (5, "a  b " + texts[0]), (6, "a b\t" + texts[0]), (5, texts[1]), (5, texts[1]), (None, texts[2]), (None, texts[2] + " ")]
+    frame = spark.createDataFrame(spaced, "doc_id long, text string").repartition(3)
+    left = [(r.doc_id, " ".join(r.text.split())) for r in exact.deduplicate(frame).collect()]
+    # A trailing blank is one blank more, so that the last two texts differ.
+    wanted = [(5, "a b " + texts[0]), (5, texts[1]), (None, texts[2]), (None, texts[2])]
+    assert sorted(left, key=repr) == sorted(wanted, key=repr)

@@ -101,12 +101,20 @@ def plain_scores(rows, settings):
         own = pairs.get(context, {})
         n = sum(own.values())
         often = {w: c for w, c in own.items() if c >= 2}
-        if n < settings.min_context or not often:
+        if n < settings.min_context or not often or not tried(context):
             return 0
         rest = 1 - sum(c - settings.discount for c in often.values()) / n
         gain = sum(c * (math.log2((c - 1) / n) + np.clip(np.rint(-4 * np.log2(probability(context[1:], w))), 0, 255) / 4) for w, c in often.items())
         return rest if gain + (n - sum(often.values())) * math.log2(rest) >= settings.min_gain else 0
 
+    def tried(context):
+        """Every start of a context must have led on to its next word."""
+        return all(
+            math.log2(probability(context[:k], context[k])) - math.log2(probability((), context[k])) >= settings.min_lift
+            and pairs[context[:k]][context[k]] >= settings.min_context
+            for k in range(1, len(context))
+        )
+
     out = []
     for (i, own), h in zip(texts, held, strict=True):
         base = sum(math.log10(probability((), w)) for w in own)
@@ -122,7 +130,7 @@ def plain_scores(rows, settings):
 @pytest.mark.parametrize("settings", [
     suffix_tree.Settings(),
     suffix_tree.Settings(chunk_tokens=300, split_context=7),
-    suffix_tree.Settings(depth=4, chunk_tokens=2000, min_context=2, min_gain=1.0),
+    suffix_tree.Settings(depth=4, chunk_tokens=2000, min_context=2, min_gain=1.0, min_lift=0.5),
 ])
 def test_suffix_tree(docs, rows, settings):
     wanted, states = plain_scores([r[:2] for r in rows], settings)

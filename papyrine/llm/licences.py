@@ -68,6 +68,43 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     ),
+    "bsd-2-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        'with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS '
+        "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, "
+        "INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+        "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+        "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN "
+        "ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "bsd-3-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS '
+        "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, "
+        "INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+        "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+        "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN "
+        "ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means."
+    ),
+    "cc0-1.0-notice": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+        "this software to the public domain worldwide. This software is distributed without any warranty."
+    ),
     "bsd-line": (
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."
     ),
@@ -149,35 +186,68 @@ def _step(df: DataFrame, *kept: str, **made: Column) -> DataFrame:
     return df.select("doc_id", *kept, F.inline(F.array(new)))
 
 
-_PLACED = "array<struct<at: int, start: int, stop: int, before: array<int>, upto: array<int>, most: int>>"
+#: Elements that one step of a running value copies at most: long texts cost linear time.
+RUN_BLOCK = 256
 
 
-def placed(segs: Column, templates: int) -> Column:
-    """Of each segment (words, hits by template) its number, the words before it and with it, the hits before it and with it,
-    and its most hits."""
+def running(items: Column, zero: Column, add: Callable[[Column, Column], Column], kind: str) -> Column:
+    """The folded value after each element of a column's array, of the SQL type ``kind``; arrays grow block by block."""
 
-    def add(done: Column, seg: Column) -> Column:
-        stop, upto = done["words"] + F.size(seg["words"]), F.zip_with(done["hits"], seg["hits"], lambda a, b: a + b)
-        one = F.struct(
-            F.size(done["placed"]).alias("at"),
-            done["words"].alias("start"),
+    def of_block(done: Column, at: Column) -> Column:
+        def one(d: Column, item: Column) -> Column:
+            return _bound(
+                add(d["last"], item),
+                lambda v: F.struct(v.alias("last"), F.concat(d["part"], F.array(v)).alias("part")),
+            )
+
+        none = F.struct(done["last"].alias("last"), F.array().cast(f"array<{kind}>").alias("part"))
+        block = F.aggregate(F.slice(items, at + 1, F.lit(RUN_BLOCK)), none, one)
+        return _bound(
+            block,
+            lambda d: F.struct(d["last"].alias("last"), F.concat(done["parts"], F.array(d["part"])).alias("parts")),
+        )
+
+    none = F.struct(zero.cast(kind).alias("last"), F.array().cast(f"array<array<{kind}>>").alias("parts"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size(items) - 1, F.lit(0)), F.lit(RUN_BLOCK))
+    return F.aggregate(starts, none, of_block, lambda done: F.flatten(done["parts"]))
+
+
+def near_gates(segs: Column, ahead: Column, back: Column, most: int) -> Column:
+    """Of the segments from which a run of at most ``most`` + 1 words reaches one with a gate word: number, words before it and
+    with it, its words and the word after it. ``ahead`` and ``back`` hold the words since the last such segment."""
+
+    def one(seg: Column, i: Column) -> Column:
+        stop = F.get(ahead, i)["stop"]
+        return F.struct(
+            i.alias("at"),
+            (stop - F.size(seg["words"])).alias("start"),
             stop.alias("stop"),
-            done["hits"].alias("before"),
-            upto.alias("upto"),
-            F.array_max(seg["hits"]).alias("most"),
+            seg["words"].alias("words"),
+            F.get(F.get(segs, i + 1)["words"], F.lit(0)).alias("after"),
+            F.least(F.get(ahead, i)["since"], F.get(back, F.size(segs) - 1 - i)).alias("far"),
         )
-        return F.struct(stop.alias("words"), upto.alias("hits"), F.concat(done["placed"], F.array(one)).alias("placed"))
 
-    none = F.struct(
-        F.lit(0).alias("words"),
-        F.array_repeat(F.lit(0), templates).alias("hits"),
-        F.array().cast(_PLACED).alias("placed"),
+    return F.filter(F.transform(segs, one), lambda s: s["far"] <= most)
+
+
+def placed(hits: Column, upto: Column) -> Column:
+    """Of each segment its number, the words before it and with it, the hits before it and with it, and its most hits."""
+    return F.transform(
+        hits,
+        lambda h, i: F.struct(
+            h["at"].alias("at"),
+            h["start"].alias("start"),
+            h["stop"].alias("stop"),
+            F.zip_with(F.get(upto, i), h["own"], lambda a, b: a - b).alias("before"),
+            F.get(upto, i).alias("upto"),
+            F.array_max(h["own"]).alias("most"),
+        ),
     )
-    return F.aggregate(segs, none, add, lambda done: done["placed"])
 
 
 def spans(places: Column, table: Column, most: int, threshold: float) -> Column:
-    """first, last (numbers of segments) of the runs that can match a template and cannot be bettered by leaving out an end."""
+    """first, last (numbers of segments) of the runs that can match a template and cannot be bettered by leaving out an end,
+    an array for every first segment."""
 
     def from_first(edges: Column, first: Column, k: Column) -> Column:
         def can(last: Column) -> Column:
@@ -200,18 +270,28 @@ def spans(places: Column, table: Column, most: int, threshold: float) -> Column:
         return p["most"] + seam >= (p["stop"] - p["start"]) * (threshold / 2) - 1e-9
 
     own = F.filter(places, lambda p: shares(p, 1))  # of a last segment the seam before it counts, not that to the next
-    return _bound(own, lambda edges: F.flatten(F.transform(edges, lambda first, k: from_first(edges, first, k))))
+    starts = _bound(own, lambda edges: F.transform(edges, lambda first, k: from_first(edges, first, k)))
+    return F.filter(starts, lambda found: F.size(found) > 0)
 
 
-def outstanding(runs: Column) -> Column:
-    """Of runs (first, last, best) those that no overlapping run betters: by coefficient, then the shorter, then the first."""
+def outstanding(starts: Column) -> Column:
+    """Of runs (first, last, best; an array per first segment, in order) those that no overlapping run betters: by
+    coefficient, then the shorter, then the first. A run is held against those that begin within a run's length."""
 
     def betters(other: Column, run: Column) -> Column:
         overlap = (other["first"] <= run["last"]) & (run["first"] <= other["last"])
         a, b = [F.struct(r["best"]["dice"], -r["best"]["unit_bigrams"], -r["first"], -r["last"]) for r in (other, run)]
         return overlap & (a > b)
 
-    return F.filter(runs, lambda run: ~F.exists(runs, lambda other: betters(other, run)))
+    def of_first(runs: Column, k: Column, reach: Column) -> Column:
+        around = F.slice(starts, F.greatest(k + 1 - reach, F.lit(1)), 2 * reach + 1)
+        return _bound(
+            F.flatten(around), lambda others: F.filter(runs, lambda run: ~F.exists(others, lambda o: betters(o, run)))
+        )
+
+    longest = F.array_max(F.transform(F.flatten(starts), lambda r: r["last"] - r["first"]))
+    kept = _bound(F.coalesce(longest, F.lit(0)), lambda reach: F.transform(starts, lambda r, k: of_first(r, k, reach)))
+    return F.flatten(kept)
 
 
 def scan(
@@ -243,34 +323,54 @@ def scan(
         ]
     )
     every = sorted({pair for own in known.values() for pair in own})
-    gate = rf"\b(?:{'|'.join(sorted(set().union(*[gate_words(own, threshold) for own in known.values()])))})\b"
+    gates = sorted(set().union(*[gate_words(own, threshold) for own in known.values()]))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
+    # A text without a gate word holds no match at all, nor does a line, block or run without one.
+    gate = rf"(?i)(?<![A-Za-z0-9])(?:{'|'.join(gates)})(?![A-Za-z0-9])"
+    rows = _step(rows, text=F.when(F.col("text").rlike(gate), F.col("text")).otherwise(""))
     rows = _step(rows, "text", plain=plain(F.col("text")))
-    # Units outside all bounds go before any bigram is made: a unit of n words has n - 1 of them.
-    words = F.filter(
-        F.transform(units(F.col("plain")), lambda u: F.split(u, " ")), lambda w: (F.size(w) - 1).between(least, most)
-    )
-    gated = F.when(F.col("plain").rlike(gate), segments(F.col("text"))).otherwise(F.array().cast("array<array<string>>"))
-    rows = _step(rows, words=words, segs=gated)
-    pairs = F.array(*map(F.lit, every))
 
-    def with_hits(w: Column, i: Column) -> Column:
-        after = F.get(F.get(F.col("segs"), i + 1), F.lit(0))
-        seen = F.array_intersect(pairs, bigrams(F.when(after.isNull(), w).otherwise(F.concat(w, F.array(after)))))
-        own = _bound(seen, lambda h: F.transform(table, lambda t: F.size(F.array_intersect(t["own"], h))))
-        return F.struct(w.alias("words"), own.alias("hits"))
+    def holds_gate(words: Column) -> Column:
+        return F.exists(words, lambda w: w.isin(gates))
 
-    rows = _step(rows, "words", segs=F.transform("segs", with_hits))
-    rows = _step(rows, "words", "segs", places=placed(F.col("segs"), len(known)))
-    rows = _step(rows, "words", "segs", spans=spans(F.col("places"), table, most, threshold))
+    def may_match(unit: Column) -> Column:
+        return _bound(F.split(unit, " "), lambda w: (F.size(w) - 1).between(least, most) & holds_gate(w))
 
-    def run(span: Column) -> Column:
-        own = F.transform(F.slice("segs", span["first"] + 1, span["last"] - span["first"] + 1), lambda g: g["words"])
-        return F.struct(span["first"].alias("first"), span["last"].alias("last"), F.flatten(own).alias("words"))
+    marked = F.transform(segments(F.col("text")), lambda w: F.struct(w.alias("words"), holds_gate(w).alias("gated")))
+    rows = _step(rows, units=F.filter(units(F.col("plain")), may_match), segs=marked)
+
+    def since(far: Column, seg: Column) -> Column:
+        return F.when(seg["gated"], 0).otherwise(F.least(far + F.size(seg["words"]), F.lit(most + 1)))
+
+    def add(done: Column, seg: Column) -> Column:
+        stop = done["stop"] + F.size(seg["words"])
+        return F.struct(stop.alias("stop"), since(done["since"], seg).alias("since"))
+
+    none = F.struct(F.lit(0).alias("stop"), F.lit(most + 1).alias("since"))
+    ahead = running(F.col("segs"), none, add, "struct<stop: int, since: int>")
+    rows = _step(rows, "units", "segs", turned=F.reverse("segs"), ahead=ahead)
+    rows = _step(rows, "units", "segs", "ahead", back=running(F.col("turned"), F.lit(most + 1), since, "int"))
+    rows = _step(rows, "units", "segs", near=near_gates(F.col("segs"), F.col("ahead"), F.col("back"), most))
+    no_hits = F.array_repeat(F.lit(0), len(known))
+
+    def with_hits(s: Column) -> Column:
+        words = F.when(s["after"].isNull(), s["words"]).otherwise(F.concat(s["words"], F.array(s["after"])))
+        own = _bound(
+            F.filter(bigrams(words), lambda p: p.isin(every)),
+            lambda seen: F.when(F.size(seen) == 0, no_hits).otherwise(
+                F.transform(table, lambda t: F.size(F.array_intersect(t["own"], seen)))
+            ),
+        )
+        return F.struct(s["at"].alias("at"), s["start"].alias("start"), s["stop"].alias("stop"), own.alias("own"))
 
-    rows = _step(rows, "words", runs=F.transform("spans", run))
-    made = _step(rows, "words", "runs", units=F.transform("words", bigrams))
+    rows = _step(rows, "units", "segs", hits=F.transform("near", with_hits))
+    upto = running(
+        F.col("hits"), no_hits, lambda done, h: F.zip_with(done, h["own"], lambda a, b: a + b), "array<int>"
+    )
+    rows = _step(rows, "units", "segs", "hits", upto=upto)
+    rows = _step(rows, "units", "segs", places=placed(F.col("hits"), F.col("upto")))
+    rows = _step(rows, "units", "segs", spans=spans(F.col("places"), table, most, threshold))
 
     def compared(unit: Column) -> Column:
         n = F.size(unit)
@@ -296,17 +396,30 @@ def scan(
             .otherwise(0),
         )
 
-    def best_of_run(r: Column) -> Column:
-        first = _bound(bigrams(r["words"]), lambda unit: F.get(best(compared(unit)), F.lit(0)))
-        return F.struct(r["first"].alias("first"), r["last"].alias("last"), r["words"].alias("words"), first.alias("best"))
-
-    matches = F.filter(F.transform("units", compared), lambda m: F.size(m) > 0)
-    runs = F.filter(F.transform("runs", best_of_run), lambda r: r["best"].isNotNull())
-    matched = _step(made, "words", matches=matches, runs=runs)
-    # Lines and blocks are among the runs, so as to better others, but are counted as units already.
-    others = F.filter(outstanding(F.col("runs")), lambda r: ~F.array_contains("words", r["words"]))
-    once = F.array_distinct(F.transform(others, lambda r: F.struct(r["words"].alias("words"), r["best"].alias("best"))))
-    matched = _step(matched, matches=F.concat("matches", F.transform(once, lambda r: F.array(r["best"]))))
+    def of_words(words: Column) -> Column:
+        return _bound(bigrams(words), compared)
+
+    def run(span: Column) -> Column:
+        own = F.transform(F.slice("segs", span["first"] + 1, span["last"] - span["first"] + 1), lambda g: g["words"])
+        return _bound(
+            F.flatten(own),
+            lambda words: F.struct(
+                span["first"].alias("first"),
+                span["last"].alias("last"),
+                F.array_join(words, " ").alias("unit"),
+                F.get(best(of_words(words)), F.lit(0)).alias("best"),
+            ),
+        )
+
+    def matching(found: Column) -> Column:
+        return F.filter(F.transform(found, run), lambda r: r["best"].isNotNull())
+
+    runs = F.filter(F.transform("spans", matching), lambda found: F.size(found) > 0)
+    rows = _step(rows, "units", runs=runs)
+    # Lines and blocks are among the runs, so as to better others; a unit counts once, whatever it was found as.
+    rows = _step(rows, units=F.array_union("units", F.transform(outstanding(F.col("runs")), lambda r: r["unit"])))
+    matches = F.transform("units", lambda u: of_words(F.split(u, " ")))
+    matched = _step(rows, matches=F.filter(matches, lambda m: F.size(m) > 0))
     better = best(F.flatten("matches"))
     found = F.struct(F.size("matches").cast("long").alias("n_units"), F.get(better, F.lit(0)).alias("best"))
     fields = ["licence", "dice", "shared", "unit_bigrams", "template_bigrams"]
@@ -314,35 +427,63 @@ def scan(
 
 
 def scan_sql(templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """The same scan of ``documents`` in DuckDB's SQL, with joins where the scan works within the row."""
-    rows = ", ".join(f"('{n}', {template_bigrams(t)!r}::varchar[])" for n, t in templates.items())
+    """The same scan of ``documents`` in DuckDB's SQL: all runs of the texts with a gate word, and joins within the text."""
+    known = {n: template_bigrams(t) for n, t in templates.items()}
+    rows = ", ".join(f"('{n}', {own!r}::varchar[])" for n, own in known.items())
+    bounds = [size_bounds(len(own), threshold) for own in known.values()]
+    least, most = min(a for a, _ in bounds), max(b for _, b in bounds)
+    gates = sorted(set().union(*[gate_words(own, threshold) for own in known.values()]))
     return f"""
 with template(licence, own) as (values {rows}),
 plain as (
   select doc_id, lower(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9\\n]+', ' ', 'g')) as t
   from documents),
-unit as (
+line as (
   select distinct doc_id, string_split(trim(regexp_replace(u, ' +', ' ', 'g'), ' '), ' ') as w
   from (select doc_id, unnest(list_concat(string_split(t, chr(10)),
           list_transform(string_split_regex(t, '\\n *\\n[ \\n]*'), lambda b: replace(b, chr(10), ' ')))) as u from plain)),
+cut as (
+  select doc_id, list_filter(list_transform(string_split(lower(regexp_replace(regexp_replace(coalesce(text, ''),
+    '[.!?:;]["'')\\]]*[\\x20\\x09-\\x0D]', chr(10), 'g'), '[^A-Za-z0-9\\n]+', ' ', 'g')), chr(10)),
+    lambda s: string_split(trim(s, ' '), ' ')), lambda w: w[1] <> '') as s
+  from documents),
+first as (
+  select doc_id, s, unnest(range(1, len(s) + 1)) as a from cut where list_has_any(flatten(s), {gates!r}::varchar[])),
+ends as (select doc_id, s, a, unnest(range(a, least(len(s), a + {most}) + 1)) as b from first),
+run as (
+  select doc_id, a, b, flatten(s[a:b]) as w from ends
+  where len(flatten(s[a:b])) - 1 between {least} and {most} and list_has_any(flatten(s[a:b]), {gates!r}::varchar[])),
+unit as (
+  select distinct doc_id, w from (select doc_id, w from line union all select doc_id, w from run)
+  where len(w) - 1 between {least} and {most}),
 pairs as (
-  select doc_id, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) as p from unit where len(w) > 1),
+  select doc_id, w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) as p from unit),
 made as (
-  select doc_id, list_transform(range(1, len(p) + 1),
+  select doc_id, w, list_transform(range(1, len(p) + 1),
     lambda i: p[i] || ' ' || len(list_filter(p[1:i], lambda q: q = p[i]))::varchar) as own
-  from pairs where len(p) <= {max(size_bounds(len(template_bigrams(t)), threshold)[1] for t in templates.values())}),
+  from pairs),
 matched as (
-  select doc_id, made.own as unit, licence, len(list_intersect(made.own, template.own)) as shared,
+  select doc_id, w, licence, len(list_intersect(made.own, template.own)) as shared,
     len(made.own) as unit_bigrams, len(template.own) as template_bigrams,
     2.0::double * shared / (unit_bigrams + template_bigrams) as dice
   from made, template
   where 2.0::double * least(unit_bigrams, template_bigrams) / (unit_bigrams + template_bigrams) >= {threshold}
     and 2.0::double * len(list_intersect(made.own, template.own)) / (len(made.own) + len(template.own)) >= {threshold}),
+run_dice as (
+  select r.doc_id, a, b, r.w, max(dice) as dice, len(r.w) as n
+  from run r join matched m on r.doc_id = m.doc_id and r.w = m.w group by r.doc_id, a, b, r.w),
+standing as (
+  select distinct doc_id, w from run_dice r where not exists (
+    select 1 from run_dice o where o.doc_id = r.doc_id and o.a <= r.b and r.a <= o.b
+      and (o.dice, -o.n, -o.a, -o.b) > (r.dice, -r.n, -r.a, -r.b))),
+counted as (
+  select m.* from matched m semi join (select doc_id, w from line union select doc_id, w from standing) k
+    on m.doc_id = k.doc_id and m.w = k.w),
 best as (
-  select doc_id, count(distinct unit) as n_units,
+  select doc_id, count(distinct w) as n_units,
     first(struct_pack(licence := licence, dice := dice, shared := shared, unit_bigrams := unit_bigrams,
       template_bigrams := template_bigrams) order by dice desc, licence, unit_bigrams) as b
-  from matched group by doc_id)
+  from counted group by doc_id)
 select d.doc_id, coalesce(n_units, 0) as n_units, b.licence as licence, b.dice as dice, b.shared::bigint as shared,
   b.unit_bigrams::bigint as unit_bigrams, b.template_bigrams::bigint as template_bigrams
 from documents d left join best using (doc_id)"""

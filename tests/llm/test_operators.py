@@ -3,9 +3,11 @@
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import brute
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -416,6 +418,35 @@ def test_licences_over_blocks_and_in_paragraphs(spark):
     assert found[200]["n_units"] == found[202]["n_units"] == 0
 
 
+def test_licences_equal_sql_over_runs(spark):
+    """Licences over lines, cut, mixed and edited at random, against all runs in SQL."""
+    prose, names = "The rivers of the north run cold in spring. Nobody counted the boats! ", list(licences.TEMPLATES)
+    data = [(i, f"{prose}\n\n{_wrapped(licences.TEMPLATES[n], 5)}\n\n{prose}") for i, n in enumerate(names)]
+    data += [(90, MIT_LAYOUT), (91, MIT_LAYOUT + "\n" + prose * 20 + "\n" + APACHE_LAYOUT), (92, None), (93, ""), (94, "Licensed under CC\nBY-NC 4.0 " * 12)]
+    data += [(95, "x_license_y \u00c9license\nReleased under the_MIT License."), (96, (prose + "\n") * 300 + "the license\n" + MIT_LAYOUT)]
+    rng = random.Random(4)
+    for i in range(40):
+        words = []
+        for name in rng.sample(names, 2):
+            words += prose.split()[: rng.randrange(15)] + [w for w in licences.TEMPLATES[name].split() if rng.random() > 0.07]
+        data.append((100 + i, "".join(w + rng.choice([" "] * 6 + ["\n", "\n\n", ". "]) for w in words)))
+    found = sorted(tuple(r) for r in licences.scan(spark.createDataFrame(data, "doc_id long, text string")).collect())
+    db = duckdb.connect()
+    db.register("documents", pa.table({"doc_id": [i for i, _ in data], "text": pa.array([t for _, t in data], pa.string())}))
+    assert found == sorted(db.execute(licences.scan_sql()).fetchall())
+    assert sum(r[2] is not None for r in found) > 40 and sum(r[1] > 1 for r in found) > 10
+
+
+def test_licences_in_very_many_lines(spark):
+    """Time grows with a document's lines, not with their square: 20 000 of them are a matter of seconds."""
+    lines = [f"line {i} software license of {i}" for i in range(20_000)]
+    data = [(1, "\n".join(lines)), (2, "boats in spring\n" * 20_000 + MIT_LAYOUT), (3, "Licensed under CC\nBY-NC 4.0 " * 10_000)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    start = time.monotonic()
+    found = {r.doc_id: r.licence for r in licences.scan(frame).collect()}
+    assert found == {1: None, 2: "mit", 3: "cc-by-nc-4.0-line"} and time.monotonic() - start < 60
+
+
 def test_licence_gate_loses_no_match():
     for text in licences.TEMPLATES.values():
         own = licences.template_bigrams(text)

@@ -31,7 +31,7 @@ _TOKEN = re.compile(
     re.S,
 )
 #: Elements whose text is never read, and those that only exist as a tag.
-_RAW = frozenset("script style noscript template title textarea iframe object svg math canvas select head".split())
+_RAW = frozenset("script style noscript template title textarea iframe svg annotation annotation-xml canvas select head".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr blockquote pre "
@@ -45,10 +45,17 @@ _ENDS = {
     "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr"}, {"table", "thead", "tbody", "tfoot"}),
 }
-_FORMS = frozenset("form button fieldset label dialog".split())
+#: What stands loose in one of these, beside other blocks, is a node of its own (``#text``).
+_HOLDERS = frozenset("#page html body".split())
+_FORMS = frozenset("form fieldset dialog".split())
+_FIELDS = frozenset("input select textarea button".split())
+#: Characters for each of its fields from which a form holds a page or a part of it, and does not merely ask for something.
+FIELD_CHARS = 150
 _WORD = re.compile(r"[a-z]+")
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop|data-main)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_HIDDEN = re.compile(r"\btype\s*=\s*[\"']?hidden", re.I)
 _CONTENT_WORDS = frozenset("article articlebody main content post entry story body text prose maintext".split())
+_OTHER_TAGS = frozenset("nav aside footer".split())
 _OTHER_WORDS = frozenset(
     "ad ads advert advertisement adverts banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs "
     "header masthead footer foot copyright sidebar side aside widget related recommended share sharing social comment comments "
@@ -64,22 +71,29 @@ class Page:
     def __init__(self, source: str):
         self.tags, self.parents, self.words, self.marks = ["#page"], [-1], [frozenset()], [None]
         self.own, self.linked = [0], [0]  # characters of a node's own text, and those inside links
+        self.fields = [0]  # fields of forms
         self.blocks: list[tuple[int, str]] = []
         self._parse(source)
 
     def _parse(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("#page", 0)]  # open elements with their block node
         run: list[str] = []
-        links = 0
+        links = in_links = 0  # open links, and the characters of the run inside links
+        marks = ""  # attributes of marked inline elements of the run
 
         def flush() -> None:
+            nonlocal in_links, marks
             if run:
                 text = " ".join(references.unescape("".join(run)).split())
                 run.clear()
                 if text:
-                    node = stack[-1][1]
+                    node = next(at for tag, at in reversed(stack) if tag in _BLOCKS or tag == "#page")
+                    if self.tags[node] in _HOLDERS:
+                        node = self._node("#text", node, marks)
                     self.blocks.append((node, text))
                     self.own[node] += len(text)
+                    self.linked[node] += in_links
+            in_links, marks = 0, ""
 
         def close(depth: int) -> None:
             nonlocal links
@@ -94,7 +108,7 @@ class Page:
                 text = source[at : token.start()]
                 run.append(text)
                 if links:
-                    self.linked[stack[-1][1]] += len(text.strip())
+                    in_links += len(text.strip())
             at = token.end()
             if (name := token.group(2)) is None:
                 continue
@@ -107,6 +121,8 @@ class Page:
             if name in _SPACES:
                 run.append(" ")
             attributes = token.group(3)
+            if name in _FIELDS and not _HIDDEN.search(attributes):
+                self.fields[stack[-1][1]] += 1
             if name in _VOID or attributes.endswith("/") and name not in _BLOCKS:
                 continue
             if name in _RAW:
@@ -126,6 +142,8 @@ class Page:
                 stack.append((name, self._node(name, stack[-1][1], attributes)))
             else:
                 links += name == "a"
+                if "data-main" in attributes:
+                    marks += attributes
                 stack.append((name, stack[-1][1]))
         run.append(source[at:])
         flush()
@@ -143,30 +161,46 @@ class Page:
             held.append(value)
         self.own.append(0)
         self.linked.append(0)
+        self.fields.append(0)
         return len(self.tags) - 1
 
     def features(self) -> list[tuple[str, ...]]:
         """Of each node what its names say, and how much text and how many links lie in it."""
-        total, linked = self.own[:], self.linked[:]
+        total, linked, fields = self.own[:], self.linked[:], self.fields[:]
         for node in range(len(total) - 1, 0, -1):
             total[self.parents[node]] += total[node]
             linked[self.parents[node]] += linked[node]
-        out = []
+            fields[self.parents[node]] += fields[node]
+        out: list[tuple[str, ...]] = []
+        forms, named, above = [], [], []
         for node in range(len(self.tags)):
             words = self.words[node]
-            named = ("c" if words & _CONTENT_WORDS else "") + ("o" if words & _OTHER_WORDS else "")
+            called = ("c" if words & _CONTENT_WORDS else "") + ("o" if words & _OTHER_WORDS or self.tags[node] in _OTHER_TAGS else "")
+            # What the nearest element above that says what it is says.
+            above.append((named[self.parents[node]] or above[self.parents[node]]) if node else "")
+            named.append(called)
+            # Of the nearest form around a node: whether it asks for something, or has a page or a part of one inside.
+            form = forms[self.parents[node]] if node else "none"
+            if self.tags[node] in _FORMS:
+                holds = total[node] >= FIELD_CHARS * fields[node] and total[node] >= 60 and self.tags[node] != "dialog"
+                form = "asks" if form == "asks" or not holds else "holds"
+            forms.append(form)
             density = linked[node] / total[node] if total[node] else 0.0
             out.append(
                 (
-                    "named:" + named,
+                    "named:" + called,
+                    "above:" + above[-1],
                     f"own:{min(2, self.own[node] // 40)}",
                     f"links:{0 if density == 0 else 1 if density < 0.3 else 2 if density < 0.7 else 3}",
+                    "form:" + form,
                 )
             )
         return out
 
     def kind(self, node: int) -> str:
-        return _CALLED.get(self.tags[node], self.tags[node])
+        """The element; one that stands directly in the page's body has nothing to take its label from, and is a kind of its own."""
+        tag = _CALLED.get(self.tags[node], self.tags[node])
+        return tag + "^" if node and self.tags[self.parents[node]] in _HOLDERS else tag
 
     def labels(self) -> list[int] | None:
         """Labels of a page that marks its article (or carries marks of its own), else none."""
@@ -179,7 +213,7 @@ class Page:
                 out[node] = out[self.parents[node]] if self.marks[node] is None else int(self.marks[node])
             elif self.tags[node] in ("article", "main"):
                 out[node] = 1
-            elif self.tags[node] not in ("nav", "aside", "footer", "form"):
+            elif self.tags[node] not in ("nav", "aside", "footer", *_FORMS):
                 out[node] = int(out[self.parents[node]] and not self.words[node] & _OTHER_WORDS)
         return out
 
@@ -244,7 +278,7 @@ class Model:
             above = up[parents[node]]
             above[0] += sent[node][0]
             above[1] += sent[node][1]
-        # The page itself is not content: it holds what lies outside all elements.
+        # The page itself is not content: what lies outside all elements has nodes of its own.
         belief = [[0.0, 0.0] for _ in range(n)]
         belief[0] = [up[0][0], -math.inf]
         out = [0.0] * n
@@ -257,15 +291,12 @@ class Model:
         return out
 
     def text(self, source: str) -> str:
-        """The main text: blocks whose element is content and that no form holds, in page order, one per line."""
+        """The main text: blocks whose element is content, in page order, one per line."""
         page = Page(source)
         if not page.blocks:
             return ""
         content = self.marginals(page)
-        in_form = [False] * len(content)
-        for node in range(1, len(content)):
-            in_form[node] = in_form[page.parents[node]] or page.tags[node] in _FORMS
-        return "\n".join(text for node, text in page.blocks if content[node] > 0.5 and not in_form[node])
+        return "\n".join(text for node, text in page.blocks if content[node] > 0.5)
 
 
 def _log_sum(a: float, b: float) -> float:
@@ -319,6 +350,7 @@ def extract(
 
 
 _P = "<p>Several sentences that tell the story, one after the other, at some length.</p>"
+_MARKED = _P.replace("<p>", "<p data-main='1'>")
 _LINKS = "<ul><li><a href='/a'>First entry</a></li><li><a href='/b'>Second entry</a></li></ul>"
 #: Labelled layouts: ``data-main`` says whether an element is content; the others are as their parent.
 LAYOUTS = (
@@ -337,4 +369,20 @@ LAYOUTS = (
     f"What the picture shows.</figcaption></figure>{_P}<aside data-main='0'><p>Read this as well, it is related.</p></aside>"
     f"<table><tr><td>Cell</td><td>Cell</td></tr></table>{_P}<div class='share' data-main='0'>{_LINKS}</div><footer data-main='0'><p>Filed "
     f"under news.</p></footer></article><div class='banner'><p>An advertisement.</p></div></body>",
+    # Everything inside one form, a small form among it.
+    f"<body data-main='0'><form id='aspnetform'><div id='header'>{_LINKS}<input name='q'></div><div id='content' data-main='1'><h1>Title</h1>"
+    f"{_P}{_P}{_P}{_P}{_P}<fieldset data-main='0'><p>Your name</p><input name='n'><input name='m'></fieldset>{_P}{_P}{_P}{_P}{_P}</div><div id='footer'><p>"
+    f"Contact and imprint.</p></div></form><form data-main='0'><p>Send us a letter</p><input name='a'><button>Go</button></form></body>",
+    # Text without elements of its own, between menus.
+    f"<body data-main='0'><div id='menu'>{_LINKS}</div><span data-main='1'>Several sentences that stand loose in the page.</span><hr><p "
+    f"data-main='1'>A paragraph between them, of some length, too.</p><span data-main='1'>More sentences that stand loose in the page.</span>"
+    f"<form><p>Search</p><input name='q'></form><span data-main='0'><a href='/a'>First</a> <a href='/b'>Second</a></span><div id='foot'>"
+    f"<p>All rights reserved.</p></div></body>",
+    "<span data-main='1'>Nothing but sentences, in a page without a single element, one after the other.</span>",
+    f"<body data-main='0'><form><p>Name</p><input name='n'></form><p data-main='1'>A page of paragraphs alone, at some length.</p>{_MARKED}"
+    f"{_MARKED}</body>",
+    # Plain containers within containers, of the text as of comments and side bars; asides and footers of an article.
+    f"<body data-main='0'><div class='wrapper'><div><article data-main='1'><header><h1>Title</h1></header>{_P}<aside data-main='0'><p>See this "
+    f"as well.</p></aside>{_P}<footer data-main='0'><p>Written by somebody.</p></footer></article></div></div><div id='comments'><h3>Two replies</h3>"
+    f"<div><div>{_P}</div></div><div><div>{_P}{_P}</div></div></div><div class='sidebar'><h3>Other stories</h3><div>{_P}</div><div>{_P}</div></div></body>",
 )

@@ -306,6 +306,25 @@ def test_main_text(spark):
     assert html.extract(pages.limit(0), html.fit(pages)).collect() == []
 
 
+def test_main_text_loses_nothing_by_rule():
+    """Loose text, a page inside a form, formulas and objects are read; what a form asks for is not."""
+    counts = collections.Counter()
+    for layout in html.LAYOUTS:
+        counts.update({k: n * html.LAYOUT_WEIGHT for k, n in html.Page(layout).counts().items()})
+    model = html.Model(counts)
+    first, second = "Several sentences of the text, long enough to be read.", "Another paragraph of the same text, with more words."
+    asked = "<form><p>Leave a reply, please.</p><label>Name</label><input><textarea></textarea><button>Post</button></form>"
+    pages = {
+        f"{first} {second}": f"{first} {second}",
+        f"<html><body>{first}<p>{second}</p>{first}</body></html>": f"{first}\n{second}\n{first}",
+        f"<body><form><div><h1>Title</h1><p>{first}</p><p>{second}</p></div><input type='hidden'></form></body>": f"Title\n{first}\n{second}",
+        f"<article><p>{first} If <math><mi>x</mi></math> is <object>here</object>, then.</p></article>": f"{first} If x is here, then.",
+        f"<body><article><h1>Title</h1><p>{first}</p>{asked}</article>{asked}</body>": f"Title\n{first}",
+        f"<body><div class='content'><p>{first}</p></div><div id='comments'><div><div><p>{second}</p></div></div></div></body>": first,
+    }
+    assert {page: model.text(page) for page in pages} == pages
+
+
 def test_layouts_are_held_out():
     import re
 

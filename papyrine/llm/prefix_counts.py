@@ -16,6 +16,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from papyrine.llm import bpe, common
 
@@ -204,24 +205,35 @@ def token_counts(
 
 
 def prefix_table(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, counts (array<int>): the stored counts at every byte, for later truncation and budget questions."""
+    """doc_id, text, counts (array<int>): element k is the token count of the first k characters. To be stored, for questions
+    about truncation and budgets. Null texts are empty, with the count 0 of the empty prefix; rows stay rows."""
+
+    def at_characters(text: str) -> np.ndarray:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        ends = np.append(np.flatnonzero(raw & 0xC0 != 0x80), len(raw))
+        return counter(path).prefix_counts(text)[ends].astype(np.int32)
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = counter(path)
-        counts = [own.prefix_counts(t).astype(np.int32) for t in batch["text"].to_pylist()]
-        return pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(counts, pa.list_(pa.int32()))], ["doc_id", "counts"])
+        counts = pa.array([at_characters(t) for t in batch["text"].to_pylist()], pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([batch["doc_id"], batch["text"], counts], ["doc_id", "text", "counts"])
 
-    return common.map_batches(common.texts(docs, id_col, text_col), step, "doc_id long, counts array<int>")
+    return common.map_batches(common.texts(docs, id_col, text_col), step, "doc_id long, text string, counts array<int>")
 
 
-def truncated(
-    docs: DataFrame, budget: int, path: str = BYTE_BPE, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """doc_id, text: the longest prefix of whole characters within ``budget`` tokens, read off the stored counts."""
+def truncated(stored: DataFrame, budget: int) -> DataFrame:
+    """doc_id, text, n_tokens: the longest prefix of whole characters within ``budget`` tokens, and its tokens.
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = counter(path)
-        cut = [own.truncate(t, budget) for t in batch["text"].to_pylist()]
-        return pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(cut, pa.string())], ["doc_id", "text"])
-
-    return common.map_batches(common.texts(docs, id_col, text_col), step, "doc_id long, text string")
+    Read off the counts of a stored ``prefix_table``; nothing is encoded again. Budgets below zero leave no row.
+    """
+    # Counts may fall again where a merge ends, so the last prefix within the budget is looked for.
+    last = F.expr(f"size(counts) - array_position(transform(reverse(counts), c -> c <= {int(budget)}), true)")
+    own = stored.filter(F.lit(budget >= 0)).select("doc_id", "text", "counts", last.cast("int").alias("last"))
+    return own.select(
+        "doc_id", F.expr("substring(text, 1, last)").alias("text"), F.expr("get(counts, last)").cast("long").alias("n_tokens")
+    )
+
+
+def prefix_tokens(stored: DataFrame, chars: int) -> DataFrame:
+    """doc_id, n_tokens: the tokens of the first ``chars`` characters of every text (of all of it, if it is shorter)."""
+    at = F.least(F.lit(max(0, chars)), F.size("counts") - 1)
+    return stored.select("doc_id", F.get("counts", at).cast("long").alias("n_tokens"))

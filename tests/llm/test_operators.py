@@ -290,6 +290,27 @@ def test_hilbert_curve_steps_to_neighbours():
     assert (np.abs(np.diff(along, axis=0)).sum(axis=1) == 1).all()
 
 
+def test_budgets_from_stored_counts(spark, tmp_path):
+    """Truncation and prefix counts of a stored table against the library on every prefix, without any encoding."""
+    library = prefix_counts.counter(prefix_counts.BYTE_BPE).encoder.library
+    data = [(1, "It's  a \u00e9t\u00e9 \U0001f642\U0001f642 of\n\n words, they've 1234!"), (2, None), (None, ""), (None, "<|endoftext|> x "), (1, "uncharacteristically")]
+    path = str(tmp_path / "counts")
+    prefix_counts.prefix_table(spark.createDataFrame(data, "doc_id long, text string")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    counts = [[len(library.encode(t[:k], add_special_tokens=False).ids) for k in range(len(t) + 1)] for t in (x or "" for _, x in data)]
+    for budget in (0, 1, 2, 5, 9, 1000):
+        wanted = []
+        for (i, text), own in zip(data, counts, strict=True):
+            k = max(k for k, n in enumerate(own) if n <= budget)
+            wanted.append((i, (text or "")[:k], own[k]))
+        found = prefix_counts.truncated(stored, budget)
+        assert sorted(map(key, wanted)) == sorted(key(r) for r in found.collect())
+        assert "Arrow" not in found._jdf.queryExecution().toString()
+        heads = [(i, own[min(budget, len(own) - 1)]) for (i, _), own in zip(data, counts, strict=True)]
+        assert sorted(map(key, heads)) == sorted(key(r) for r in prefix_counts.prefix_tokens(stored, budget).collect())
+    assert prefix_counts.truncated(stored, -1).collect() == []
+
+
 def test_main_text(spark):
     page = (
         "<html><head><title>T</title><script>var a = '<p>no</p>';</script></head><body><nav><ul><li><a href=/>Home</a></ul></nav>"

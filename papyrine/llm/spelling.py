@@ -2,8 +2,9 @@
 
 A trie is kept as a table of edges. States (word, position, node, edits) are joined with it level by level: a state without
 an edit goes on along its own word, and at every node where another branch leaves it also takes that branch with one edit
-spent (a letter replaced, inserted or left out); a state with one edit goes on only where the branch reads as the rest of its
-word. A one-edit state that reaches the end of a word has found a neighbour.
+spent (a letter replaced by a later one, or one inserted), if the letters after the edit are there; a state with one edit goes
+on only where the branch reads as the rest of its word. A one-edit state that reaches the end of a word has found a neighbour.
+Each pair is found by one of its words: by the one with the earlier letter, or by the shorter one.
 
 Two words one edit apart share half of the shorter one at their beginning or at their end. So one walk starts in the middle
 of each word of the trie, and one in the middle of each reversed word of the trie of reversed words; the crowded upper levels
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.llm import common
@@ -77,42 +78,55 @@ def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", damag
     return parts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT)
 
 
-def prefix_hashes(word: str) -> np.ndarray:
-    """A 64-bit hash of every prefix of ``word``, from the empty one to the whole word."""
-    letters = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    mixed = (letters + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-    mixed ^= mixed >> np.uint64(31)
-    base = np.cumprod(np.full(len(letters), 0x94D049BB133111EB, np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * base)])
-    sums = (sums ^ (sums >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.arange(len(sums), dtype=np.uint64)
-    return (sums ^ (sums >> np.uint64(32))).view(np.int64)
-
-
 def trie_paths(spelt: DataFrame) -> DataFrame:
-    """path (string), n, depth, node, next: the nodes of every word from one letter before its middle on, and the letter after."""
+    """key, depth, node, next: the nodes of every path from one letter before its middle on, and the letter after (-1: none).
+
+    A node is named by a 64-bit hash of its prefix; the two tries (keys below 0 are reversed words) share no names.
+    """
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        paths = batch["path"].to_pylist()
-        cuts = [(len(p) - 1) // 2 for p in paths]
-        sizes = np.array([len(p) + 1 - c for p, c in zip(paths, cuts, strict=True)])
-        nodes = np.concatenate([prefix_hashes(p)[c:] for p, c in zip(paths, cuts, strict=True)])
-        depths = np.concatenate([np.arange(c, len(p) + 1, dtype=np.int32) for p, c in zip(paths, cuts, strict=True)])
-        letters = [p[d : d + 1] for p, c in zip(paths, cuts, strict=True) for d in range(c, len(p) + 1)]
-        row = np.repeat(np.arange(len(paths), dtype=np.int64), sizes)
+        paths, keys = batch["path"].to_pylist(), np.asarray(batch["key"])
+        letters = np.frombuffer("".join(paths).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        lengths = np.array([len(p) for p in paths], np.int64)
+        begins = np.cumsum(lengths) - lengths
+        mixed = (letters.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(31)
+        powers = np.cumprod(np.full(lengths.max(), 0x94D049BB133111EB, np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * powers[np.arange(len(letters)) - np.repeat(begins, lengths)])])
+        # One row per node from one letter before the middle to the end.
+        cuts = (lengths - 1) // 2
+        sizes = lengths + 1 - cuts
+        row = np.repeat(np.arange(len(paths)), sizes)
+        depth = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + cuts[row]
+        at = begins[row] + depth
+        name = sums[at] - sums[begins[row]] + (keys[row] < 0).astype(np.uint64)
+        name = (name ^ (name >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + depth.astype(np.uint64)
+        node = (name ^ (name >> np.uint64(32))).view(np.int64)
+        after = np.where(depth < lengths[row], np.append(letters, -1)[at], -1)
         # The word itself stays behind: a long word would be sent once for each of its letters.
         return pa.RecordBatch.from_arrays(
-            [batch["key"].take(pa.array(row)), pa.array(depths), pa.array(nodes), pa.array(letters, pa.string())],
+            [pa.array(keys[row]), pa.array(depth.astype(np.int32)), pa.array(node), pa.array(after.astype(np.int32))],
             ["key", "depth", "node", "next"],
         )
 
-    return common.map_batches(spelt.select("key", "path"), step, "key long, depth int, node long, next string")
+    return common.map_batches(spelt.select("key", "path"), step, "key long, depth int, node long, next int")
+
+
+#: Letters that a branch must have after an edit for a state to take it. Results do not depend on it.
+AHEAD = 2
+
+
+def _slot(node: str, kind: str, letter: str) -> str:
+    """SQL of the key under which an edge is found: by its first letter (kind F) or by the ``AHEAD`` letters after it (kind A)."""
+    return f"xxhash64({node}, '{kind}', {letter})"
 
 
 def trie(spelt: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges (node, first, label, to, near, n) and starting states (word, pos, node) of the words ``key, path, n``.
+    """Edges (slot, label, to, near_key, near, near_n) and starting states (key, word, n, pos, node) of the words ``key, path, n``.
 
     ``near`` is the word that ends with an edge, and null for edges to a further node. Only nodes where the words part are
-    kept.
+    kept. An edge stands once under its first letter, and once under all letters that follow the first below it: a state
+    that spends its edit on the first letter looks up only branches that read on as its word does.
     """
     paths = store(trie_paths(spelt), "trie_paths")
     parted = paths.groupBy("node").agg(F.min("next").alias("a"), F.max("next").alias("b")).filter("a <> b").select("node")
@@ -122,68 +136,80 @@ def trie(spelt: DataFrame) -> tuple[DataFrame, DataFrame]:
         """transform(nodes, (x, i) -> named_struct(
              'node', x.node, 'depth', x.depth, 'to', get(nodes, i + 1).node, 'stop', get(nodes, i + 1).depth))"""
     )
-    edges = own.select("path", "n", F.explode(steps).alias("e")).select(
-        F.col("e.node").alias("node"),
-        F.expr("substring(path, e.depth + 1, 1)").alias("first"),
+    slots = f"""if(e.depth < length(path),
+          array({_slot('e.node', 'F', 'substring(path, e.depth + 1, 1)')}, {_slot('e.node', 'A', f'substring(path, e.depth + 2, {AHEAD})')}),
+          array({_slot('e.node', 'F', "''")}))"""
+    edges = own.select("key", "path", "n", F.explode(steps).alias("e")).select(
+        F.explode(F.expr(slots)).alias("slot"),
         F.expr("substring(path, e.depth + 1, coalesce(e.stop, length(path)) - e.depth)").alias("label"),
         F.col("e.to").alias("to"),
+        F.expr("if(e.to is null, key, null)").alias("near_key"),
         F.expr("if(e.to is null, path, null)").alias("near"),
-        F.expr("if(e.to is null, n, null)").alias("n"),
+        F.expr("if(e.to is null, n, null)").alias("near_n"),
     )
     first = F.expr("get(filter(nodes, x -> x.depth >= length(path) div 2), 0)")
-    starts = own.select(F.col("path").alias("word"), first.alias("s")).filter("s is not null").select(
-        "word", F.col("s.depth").alias("pos"), F.col("s.node").alias("node")
+    starts = own.select("key", F.col("path").alias("word"), "n", first.alias("s")).filter("s is not null")
+    return store(edges.distinct(), "edges"), starts.select(
+        "key", "word", "n", F.col("s.depth").alias("pos"), F.col("s.node").alias("node")
     )
-    return store(edges.dropDuplicates(["node", "first", "to", "near"]), "edges"), starts
+
+
+def _probe(kind: str, letter: str, skip_label: int, skip_rest: int, edits: int) -> str:
+    """SQL of one look-up of a state: an edge, and how many letters of its label and of the word the edit takes."""
+    return f"""named_struct('slot', {_slot('node', kind, letter)}, 'skip_label', {skip_label},
+                 'from', pos + {skip_rest}, 'edits', {edits})"""
+
+
+#: What a state looks up at its node: its own branch; another branch for the next letter; another branch before it.
+_NEXT = "substring(word, pos + 1, 1)"
+_PROBES = f"""if(edits = 1, array({_probe('F', _NEXT, 0, 0, 1)}), array_compact(array(
+    {_probe('F', _NEXT, 0, 0, 0)},
+    if({_NEXT} <> '', {_probe('A', f'substring(word, pos + 2, {AHEAD})', 1, 1, 1)}, null),
+    {_probe('A', f'substring(word, pos + 1, {AHEAD})', 1, 0, 1)})))"""
+_PAIR = ["key", "word", "n", "near_key", "near", "near_n"]
 
 
 def walk(edges: DataFrame, starts: DataFrame) -> DataFrame:
-    """word, near, n: pairs reached with one edit, by joining the states with the edges until no state is left."""
+    """key, word, n, near_key, near, near_n: pairs reached with one edit, by joining states with edges until no state is left."""
     found, states = [], store(starts.withColumn("edits", F.lit(0)), "states")
-    rest = F.expr("substring(word, pos + 1)")
+    label, rest, other = "substring(label, 1 + p.skip_label)", "substring(word, 1 + p.from)", "substring(label, 1, 1)"
     while not states.isEmpty():
-        # Without an edit: the own branch, or one edit at the first letter of another.
-        at_node = states.filter("edits = 0").join(edges, "node").withColumn("rest", rest)
-        own = F.col("first") == F.substring("rest", 1, 1)
-        ways = F.when(own, F.array(_way("label", "rest", 0, F.col("pos")))).otherwise(
-            F.array(
-                F.when((F.col("first") != "") & (F.col("rest") != ""), _way("substring(label, 2)", "substring(rest, 2)", 1, F.col("pos") + 1)),
-                F.when(F.col("first") != "", _way("substring(label, 2)", "rest", 1, F.col("pos"))),
-                F.when(F.col("rest") != "", _way("label", "substring(rest, 2)", 1, F.col("pos") + 1)),
-            )
+        probes = states.select("key", "word", "n", "pos", F.explode(F.expr(_PROBES)).alias("p")).withColumn("slot", F.col("p.slot"))
+        # An edit is spent at the first letter in which both words differ. Where a branch ends a word, both end.
+        reads_on = F.expr(
+            f"""(p.skip_label = 0 or if(p.from > pos, {other} > {_NEXT}, {other} <> {_NEXT}))
+                and if(to is null, p.edits = 1 and {label} = {rest}, startswith({rest}, {label}))"""
         )
-        first = at_node.select("word", "near", "n", "to", F.explode(F.filter(ways, lambda w: w.isNotNull() & _fits(w))).alias("w"))
-        # With one: only the branch that reads on.
-        spent = states.filter("edits = 1").withColumn("rest", rest).withColumn("first", F.substring("rest", 1, 1))
-        second = spent.join(edges, ["node", "first"]).select("word", "near", "n", "to", _way("label", "rest", 1, F.col("pos")).alias("w"))
-        reached = store(first.unionByName(second.filter(_fits(F.col("w")))), "reached")
-        found.append(reached.filter("to is null and w.edits = 1").select("word", "near", "n"))
-        states = reached.filter("to is not null").select(
-            "word", F.expr("w.pos + length(w.label)").alias("pos"), F.col("to").alias("node"), "w.edits"
+        reached = probes.join(edges, "slot").filter(reads_on).select(
+            *_PAIR, "to", F.expr("cast(p.from + length(label) - p.skip_label as int)").alias("pos"), F.col("p.edits").alias("edits")
         )
-    out = found[0] if found else starts.select("word", F.col("word").alias("near"), F.lit(0).cast("long").alias("n")).limit(0)
+        reached = store(reached, "reached")
+        found.append(reached.filter("to is null").select(_PAIR))
+        states = reached.filter("to is not null").select("key", "word", "n", "pos", F.col("to").alias("node"), "edits")
+    out = found[0] if found else starts.select("key", "word", "n", *[F.col(c).alias(f"near_{c}") for c in ("key", "word", "n")]).limit(0).toDF(*_PAIR)
     for more in found[1:]:
         out = out.unionByName(more)
     return out
 
 
-def _way(label: str, rest: str, edits: int, pos: Column) -> Column:
-    """What is left of the branch and of the word."""
-    return F.struct(F.expr(label).alias("label"), F.expr(rest).alias("rest"), F.lit(edits).alias("edits"), pos.cast("int").alias("pos"))
-
-
-def _fits(way: Column) -> Column:
-    """The word reads on as the branch does; where the branch ends a word, both end together."""
-    return F.when(F.col("to").isNull(), way["label"] == way["rest"]).otherwise(F.startswith(way["rest"], way["label"]))
-
+def neighbours(keyed: DataFrame) -> DataFrame:
+    """key, n, near, near_n: every ordered pair of words of ``keyed`` (key from 0, word, n) that one edit parts, once.
 
-def neighbours(vocabulary: DataFrame) -> DataFrame:
-    """word, near, n (of ``near``): every ordered pair of words of ``vocabulary`` (word, n) that one edit parts."""
-    keyed = store(vocabulary.select(F.monotonically_increasing_id().alias("key"), "word", "n"), "vocabulary")
-    forward = walk(*trie(keyed.select("key", F.col("word").alias("path"), "n")))
-    backward = walk(*trie(keyed.select("key", F.reverse("word").alias("path"), "n")))
-    both = forward.unionByName(backward.select(F.reverse("word").alias("word"), F.reverse("near").alias("near"), "n"))
-    return both.distinct().filter(F.levenshtein("word", "near", 1) == 1)
+    Words and reversed words (keys below 0) walk their two tries in the same joins. A pair that differs behind the middle of
+    the word that finds it is found forwards; backwards it is left out.
+    """
+    both = keyed.select("key", F.col("word").alias("path"), "n").unionByName(
+        keyed.select((-1 - F.col("key")).alias("key"), F.reverse("word").alias("path"), "n")
+    )
+    pairs = walk(*trie(both)).filter(
+        """levenshtein(word, near, 1) = 1 and (key >= 0 or
+           substring(reverse(word), 1, length(word) div 2) <> substring(reverse(near), 1, length(word) div 2))"""
+    )
+    own = "if(key < 0, -1 - key, key) as key", "if(key < 0, -1 - near_key, near_key) as near_key"
+    spelt = "if(key < 0, reverse(word), word) as word", "if(key < 0, reverse(near), near) as near"
+    pairs = pairs.selectExpr(*own, *spelt, "n", "near_n")
+    ways = "struct(key, n, near, near_n)", "struct(near_key as key, near_n as n, word as near, n as near_n)"
+    return pairs.selectExpr(f"inline(array({', '.join(ways)}))")
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -199,20 +225,19 @@ def roots(forms: DataFrame) -> DataFrame:
 
 def variants(vocabulary: DataFrame) -> DataFrame:
     """word, form, root, n, n_near, form_n for every row of ``vocabulary`` (word, n; words distinct)."""
-    vocabulary = store(vocabulary.select("word", "n"), "words")
-    best = neighbours(vocabulary).groupBy("word").agg(
-        F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("n")).alias("less"), "near")).alias("best")
+    keyed = store(vocabulary.select(F.monotonically_increasing_id().alias("key"), "word", "n"), "vocabulary")
+    pairs = store(neighbours(keyed), "pairs")
+    # Numbers first; only the near words of the wanted count are compared as strings.
+    counted = pairs.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n_near"), F.max(F.expr("if(near_n >= 2 * n, near_n, null)")).alias("form_n")
     )
-    joined = vocabulary.join(best, "word", "left")
-    is_form = F.col("best.less") * -1 >= 2 * F.col("n")
+    counted = store(counted, "counted")
+    best = counted.filter("form_n is not null").select("key", F.col("form_n").alias("near_n"))
+    forms = pairs.join(best, ["key", "near_n"]).groupBy("key").agg(F.min("near").alias("form"))
     named = store(
-        joined.select(
-            "word",
-            "n",
-            F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-            F.when(is_form, F.col("best.near")).alias("form"),
-            F.when(is_form, -F.col("best.less")).alias("form_n"),
-        ),
+        keyed.join(counted, "key", "left")
+        .join(forms, "key", "left")
+        .select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form", "form_n"),
         "forms",
     )
     ends = roots(named.filter("form is not null"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from papyrine.functions.text import tokens, without
 from papyrine.operators.barrier import computed_once
-from papyrine.operators.sizing import broadcast_if_small
+from papyrine.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small
 from papyrine.session import stage, store
 
 
@@ -87,18 +87,44 @@ def chunk_candidates(text: Column, stop_words: list[str], max_words: int | None
 
 
 def keyphrases(df: DataFrame, id_col: str, candidates: Column, n: int = 5) -> DataFrame:
-    """The ``n`` candidates of each document with the highest tf-idf: ``id, phrase, score, rank``."""
-    found = computed_once(df, _candidates=candidates).select(id_col, "_candidates", F.size("_candidates").alias("_all"))
-    phrases = found.select(id_col, "_all", F.explode("_candidates").alias("phrase"))
-    counts = phrases.groupBy(id_col, "_all", "phrase").agg(F.count(F.lit(1)).alias("n"))
+    """The ``n`` candidates of each document with the highest tf-idf: ``id, phrase, score, rank``.
+
+    Rows move once, by id, and a document's candidates are counted where it is. Counts of the phrases that very many
+    documents have, which are most of the rows, meet a broadcast; only those of the others are shuffled by phrase.
+    """
+    found = computed_once(df.repartition(id_col), _candidates=candidates)
+    phrases = found.select(id_col, F.size("_candidates").alias("_all"), F.explode("_candidates").alias("phrase"))
+    counts = store(phrases.groupBy(id_col, "_all", "phrase").agg(F.count(F.lit(1)).alias("n")), "phrases")
     documents = df.agg(F.count(F.lit(1))).scalar()
-    # One per document and phrase; written with n so that both sides read the same shuffled counts.
-    spread = counts.groupBy(F.col("phrase").alias("_phrase")).agg(F.sum(F.least("n", F.lit(1))).alias("_documents"))
-    scored = counts.join(spread, F.col("phrase") == F.col("_phrase")).withColumn(
-        "score", F.col("n") / F.col("_all") * F.log(documents / F.col("_documents"))
-    )
+    spread = store(counts.groupBy("phrase").agg(F.count(F.lit(1)).alias("_documents")), "spread")
     order = [F.round("score", 12).desc(), F.asc("phrase")]  # equal up to rounding noise is a tie
-    return top_per_group(scored, id_col, order, n).select(id_col, "phrase", "score", "rank")
+
+    def best(some: DataFrame) -> DataFrame:
+        scored = some.withColumn("score", F.col("n") / F.col("_all") * F.log(documents / F.col("_documents")))
+        return top_per_group(scored, id_col, order, n).select(id_col, "phrase", "score")
+
+    often = _often(spread)
+    common = F.broadcast(spread.filter(F.col("_documents") >= often))
+    rare = spread.filter(F.col("_documents") < often)
+    both = best(counts.join(common, "phrase")).unionByName(
+        best(counts.join(common.select("phrase"), "phrase", "left_anti").join(rare, "phrase"))
+    )
+    return top_per_group(both, id_col, order, n).select(id_col, "phrase", "score", "rank")
+
+
+def _often(spread: DataFrame) -> int:
+    """The smallest power of two such that the phrases of that many documents can be broadcast together."""
+    power = F.floor(F.log2("_documents")).alias("power")
+    size = F.sum(F.octet_length("phrase") + 24).alias("bytes")
+    powers = spread.groupBy(power).agg(F.count(F.lit(1)).alias("rows"), size).orderBy(F.desc("power")).collect()
+    rows = held = 0
+    often = 1 << 62
+    for p in powers:
+        rows, held = rows + p["rows"], held + p["bytes"]
+        if rows > BROADCAST_ROWS or held > BROADCAST_BYTES:
+            break
+        often = 1 << p["power"]
+    return often
 
 
 def _trigrams(phrase: str) -> set[str]:

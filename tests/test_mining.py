@@ -45,6 +45,23 @@ def test_keyphrases_share_one_count(spark, tmp_path):
     assert phrases.filter("id = 7").first().phrase == "cd7"
 
 
+def test_keyphrases_of_frequent_words_meet_a_broadcast(spark, tmp_path, monkeypatch):
+    rows = [(None if i % 9 == 0 else i % 40, " ".join(["common", "word"] * (i % 4) + [f"rare{i}", f"some{i % 5}"])) for i in range(60)]
+    spark.createDataFrame(rows, "id int, t string").write.parquet(str(tmp_path / "d"))
+    frame = spark.read.parquet(str(tmp_path / "d"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        words = mining.word_candidates(F.col("t"), [])
+        whole = mining.keyphrases(frame, "id", words, 3)
+        assert "BroadcastHashJoin" in whole._jdf.queryExecution().executedPlan().toString()
+        found = sorted(map(str, whole.collect()))
+        for bound in (0, 1, 4):  # none, or only the most frequent, are broadcast
+            monkeypatch.setattr(mining, "BROADCAST_ROWS", bound)
+            assert sorted(map(str, mining.keyphrases(frame, "id", words, 3).collect())) == found
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_least_similar_tries_all(spark):
     rng = random.Random(5)
     words = ["".join(rng.choice("abc") for _ in range(rng.randint(2, 6))) for _ in range(9)]

@@ -133,11 +133,28 @@ def _trigrams(phrase: str) -> set[str]:
 
 
 @functools.cache
-def _choices(candidates: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """All choices of ``n`` places, and for each the flat places of its pairs in a square matrix."""
-    choices = np.array(list(itertools.combinations(range(candidates), n)))
-    pairs = [choices[:, i] * candidates + choices[:, j] for i, j in itertools.combinations(range(n), 2)]
-    return choices, np.stack(pairs, axis=1) if pairs else np.zeros((len(choices), 0), dtype=int)
+def _choices(candidates: int, n: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """All choices of ``n`` places in order, and how to cost them step by step: for each size from two to ``n`` the choice
+    that every choice of that size extends, and the flat places of its further pairs in a square matrix (one row each)."""
+    at = {(i,): i for i in range(candidates)}
+    steps = []
+    for size in range(2, n + 1):
+        found = list(itertools.combinations(range(candidates), size))
+        shorter = np.array([at[c[:-1]] for c in found], dtype=int)
+        steps.append((shorter, np.array([[i * candidates + c[-1] for i in c[:-1]] for c in found], dtype=int).T.copy()))
+        at = {c: k for k, c in enumerate(found)}
+    return np.array(list(itertools.combinations(range(candidates), n))), steps
+
+
+def _similarities(phrases: list[str]) -> np.ndarray:
+    """Shared letter trigrams over all of both, for each two phrases."""
+    grams = [_trigrams(p) for p in phrases]
+    numbers = {g: i for i, g in enumerate(set().union(*grams))}
+    held = np.zeros((len(grams), len(numbers)))
+    for row, own in zip(held, grams, strict=True):
+        row[[numbers[g] for g in own]] = 1
+    both, sizes = held @ held.T, held.sum(axis=1)
+    return both / (sizes[:, None] + sizes - both)
 
 
 def least_similar(phrases: list[str], n: int) -> list[int]:
@@ -145,10 +162,13 @@ def least_similar(phrases: list[str], n: int) -> list[int]:
     letter trigrams); the first such choice in rank order."""
     if len(phrases) <= n:
         return list(range(len(phrases)))
-    grams = [_trigrams(p) for p in phrases]
-    similarity = np.array([[len(a & b) / len(a | b) for b in grams] for a in grams])
-    choices, pairs = _choices(len(phrases), n)
-    cost = similarity.ravel()[pairs].sum(axis=1)
+    similarity = _similarities(phrases).ravel()
+    choices, steps = _choices(len(phrases), n)
+    cost = np.zeros(len(phrases) if steps else len(choices))
+    for shorter, pairs in steps:
+        cost = cost[shorter]
+        for pair in pairs:
+            cost += similarity[pair]
     return [int(i) for i in choices[int(np.argmin(np.round(cost, 12)))]]
 
 

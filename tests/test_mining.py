@@ -75,6 +75,15 @@ def test_least_similar_tries_all(spark):
     assert mining.least_similar(words, 9) == list(range(9)) and len(mining.least_similar(words, 1)) == 1
 
 
+def test_similarities_of_all_pairs_at_once(spark):
+    words = ["deep net", "deep nets", "abc", "abc", "x", ""]
+    grams = [mining._trigrams(w) for w in words]
+    assert mining._similarities(words).tolist() == [[len(a & b) / len(a | b) for b in grams] for a in grams]
+    choices, steps = mining._choices(20, 5)
+    # A choice adds its last place to a shorter one: four pairs each at the last step, not ten.
+    assert len(choices) == 15504 and [len(pairs) for _, pairs in steps] == [1, 2, 3, 4]
+
+
 def test_diversify_returns_all_when_asked(spark):
     rows = spark.createDataFrame([(1, f"w{i}", 1.0 - i / 10, i + 1) for i in range(4)], "d int, phrase string, score double, rank int")
     assert mining.diversify(rows, "d", 5, 20).count() == 4

@@ -145,6 +145,16 @@ def test_suffix_tree(docs, rows, settings):
     assert min(gain) > 10
 
 
+def test_suffix_tree_tries_every_frequent_context(spark):
+    """``a b`` is no likelier than ``b`` alone, but decides what follows."""
+    rows = [(i, "a b x" if i % 2 else "c b y") for i in range(80)]
+    wanted, states = plain_scores(rows, suffix_tree.Settings())
+    assert ("a", "b") in states and ("c", "b") in states
+    found = suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string"), buckets=3).collect()
+    for a, b in zip(sorted(map(tuple, found)), sorted(wanted), strict=True):
+        assert math.isclose(a[6], b[6], rel_tol=1e-7)
+
+
 def plain_ranking(rows, items):
     term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
     docs = [(i, collections.Counter(term.findall(lowered(t)))) for i, t in rows]

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from papyrine.functions.text import preview
 from papyrine.operators.labels import attach_labels
 from papyrine.operators.sampling import head_percent
-from papyrine.operators.sizing import broadcast_if_small
-from papyrine.session import stage
+from papyrine.operators.sizing import frequent_from
+from papyrine.session import stage, store
 
 
 def argmax(scores: Column) -> Column:
@@ -106,7 +106,7 @@ def fit_counts(train: DataFrame, id_col: str, terms: Column, label: str) -> tupl
     """A multinomial naive Bayes classifier as two tables: its classes and its terms.
 
     classes: label, base (log share of the rows), norm (log of the class's terms plus the vocabulary). terms: term, with one
-    (label, log of one more than its count) for each class that has it. So a term c times in a class with n terms weighs
+    (label, log of one more than its count) for each class that has it, and its count in all. So a term c times in a class with n terms weighs
     log((c + 1) / (n + v)), v the distinct terms of all classes. Rows without a term count for their class.
     """
     counts = stage(train.select(label, F.explode(terms).alias("term")).groupBy("term", label).agg(F.count(F.lit(1)).alias("c")))
@@ -117,20 +117,32 @@ def fit_counts(train: DataFrame, id_col: str, terms: Column, label: str) -> tupl
     norm = F.log(F.coalesce("n", F.lit(0)) + F.lit(float(max(vocabulary, 1))))
     classes = rows.join(sizes, label, "left").select(label, F.log(F.col("rows") / F.lit(all_rows)).alias("base"), norm.alias("norm"))
     of_class = F.struct(F.col(label).alias("label"), F.log(F.col("c") + 1.0).alias("w"))
-    return stage(classes), stage(counts.groupBy("term").agg(F.collect_list(of_class).alias("weights")))
+    return stage(classes), stage(counts.groupBy("term").agg(F.collect_list(of_class).alias("weights"), F.sum("c").alias("c")))
 
 
 def predict_counts(df: DataFrame, id_col: str, terms: Column, label: str, model: tuple[DataFrame, DataFrame]) -> DataFrame:
     """``id, label, pred`` for every row with a unique id: the most likely class, of equally likely ones the smallest.
 
     Terms that training did not have say nothing. Scores are compared rounded to nine digits. A row without a known term gets
-    the most frequent class. Sums are formed per (row, class) before they move; the classes are one value.
+    the most frequent class. The classes are one value. Rows move once, by id, and their terms are counted where they are.
+    The weights of frequent terms, which are most of a text, are broadcast; of the others only the terms are shuffled.
     """
     classes, weights = model
-    known = term_counts(df, id_col, terms, []).join(broadcast_if_small(weights), "term")
-    sized = known.groupBy(id_col).agg(F.sum("tf").alias("n"))
-    summed = known.select(id_col, "tf", F.inline("weights")).groupBy(id_col, "label").agg(F.sum(F.col("tf") * F.col("w")).alias("s"))
-    own = summed.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("label", "s"))).alias("sums")).join(sized, id_col)
+    found = store(term_counts(df.repartition(id_col), id_col, terms, []), "terms")
+    often = frequent_from(weights, "c", "term", 24 * F.size("weights"))
+    common = F.broadcast(weights.filter(F.col("c") >= often).drop("c"))
+    rare = found.join(common.select("term"), "term", "left_anti").join(weights.filter(F.col("c") < often).drop("c"), "term")
+    # No label: the known terms of the row themselves.
+    every = F.array(F.struct(F.lit(None).alias("label"), F.lit(1.0).alias("w")))
+    summed = None
+    for known in (found.join(common, "term"), rare):
+        some = known.select(id_col, "tf", F.inline(F.concat("weights", every)))
+        some = some.groupBy(id_col, "label").agg(F.sum(F.col("tf") * F.col("w")).alias("s"))
+        summed = some if summed is None else summed.unionByName(some)
+    summed = summed.groupBy(id_col, "label").agg(F.sum("s").alias("s"))
+    labelled = F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "s")))
+    tokens = F.max(F.when(F.col("label").isNull(), F.col("s"))).cast("bigint")
+    own = summed.groupBy(id_col).agg(F.map_from_entries(labelled).alias("sums"), tokens.alias("n"))
     all_classes = classes.agg(F.collect_list(F.struct(F.col(label).alias("label"), "base", "norm")).alias("classes"))
     joined = df.select(id_col, label).join(own, id_col, "left").withColumn("classes", all_classes.scalar())
     scores = F.transform(
@@ -146,7 +158,7 @@ def predict_counts(df: DataFrame, id_col: str, terms: Column, label: str, model:
 def evaluate_counts(split: DataFrame, id_col: str, terms: Column, label: str, percent: float = 100) -> DataFrame:
     """Fit on ``train``, predict ``test`` (the first ``percent`` % of each), and measure."""
     rows = split.filter(F.col(label).isNotNull())
-    parts = {s: stage(head_percent(rows.filter(F.col("subset") == s), id_col, percent)) for s in ("train", "test")}
+    parts = {s: head_percent(rows.filter(F.col("subset") == s), id_col, percent) for s in ("train", "test")}
     model = fit_counts(parts["train"], id_col, terms, label)
     return classification_metrics(predict_counts(parts["test"], id_col, terms, label, model), label, "pred")
 

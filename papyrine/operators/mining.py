@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from papyrine.functions.text import tokens, without
 from papyrine.operators.barrier import computed_once
-from papyrine.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small
+from papyrine.operators.sizing import broadcast_if_small, frequent_from
 from papyrine.session import stage, store
 
 
@@ -103,7 +103,7 @@ def keyphrases(df: DataFrame, id_col: str, candidates: Column, n: int = 5) -> Da
         scored = some.withColumn("score", F.col("n") / F.col("_all") * F.log(documents / F.col("_documents")))
         return top_per_group(scored, id_col, order, n).select(id_col, "phrase", "score")
 
-    often = _often(spread)
+    often = frequent_from(spread, "_documents", "phrase")
     common = F.broadcast(spread.filter(F.col("_documents") >= often))
     rare = spread.filter(F.col("_documents") < often)
     both = best(counts.join(common, "phrase")).unionByName(
@@ -112,21 +112,6 @@ def keyphrases(df: DataFrame, id_col: str, candidates: Column, n: int = 5) -> Da
     return top_per_group(both, id_col, order, n).select(id_col, "phrase", "score", "rank")
 
 
-def _often(spread: DataFrame) -> int:
-    """The smallest power of two such that the phrases of that many documents can be broadcast together."""
-    power = F.floor(F.log2("_documents")).alias("power")
-    size = F.sum(F.octet_length("phrase") + 24).alias("bytes")
-    powers = spread.groupBy(power).agg(F.count(F.lit(1)).alias("rows"), size).orderBy(F.desc("power")).collect()
-    rows = held = 0
-    often = 1 << 62
-    for p in powers:
-        rows, held = rows + p["rows"], held + p["bytes"]
-        if rows > BROADCAST_ROWS or held > BROADCAST_BYTES:
-            break
-        often = 1 << p["power"]
-    return often
-
-
 def _trigrams(phrase: str) -> set[str]:
     padded = f"  {phrase} "
     return {padded[i : i + 3] for i in range(len(padded) - 2)}

@@ -9,7 +9,7 @@ from papyrine.operators.labels import attach_labels
 from papyrine.plans.classes import reindex
 from papyrine.plans.registry import query, table
 from papyrine.plans.texts import STOP_SQL, STOP_WORDS, TOKENS_SQL
-from papyrine.session import stage
+from papyrine.session import stage, store
 
 
 def _measures_sql(predictions: str) -> str:
@@ -107,7 +107,7 @@ def text_classifier(spark, sf_dir):
     report, splits = None, {}
     for name, label, percent in GRID:
         if label not in splits:
-            splits[label] = stage(sampling.stratified_split(documents.filter(F.col(label).isNotNull()), label, "doc_id"))
+            splits[label] = store(sampling.stratified_split(documents.filter(F.col(label).isNotNull()), label, "doc_id"), "split")
         terms = mining.word_candidates(inputs[name], STOP_WORDS)
         row = _rounded(evaluation.evaluate_counts(splits[label], "doc_id", terms, label, percent))
         row = row.select(F.lit(name).alias("input"), F.lit(label).alias("label"), F.lit(percent).alias("sample_percent"), "*")

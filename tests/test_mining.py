@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from papyrine.operators import clustering, evaluation, mining
+from papyrine.operators import clustering, evaluation, mining, sizing
 
 
 def test_ctfidf_by_hand(spark):
@@ -56,7 +56,7 @@ def test_keyphrases_of_frequent_words_meet_a_broadcast(spark, tmp_path, monkeypa
         assert "BroadcastHashJoin" in whole._jdf.queryExecution().executedPlan().toString()
         found = sorted(map(str, whole.collect()))
         for bound in (0, 1, 4):  # none, or only the most frequent, are broadcast
-            monkeypatch.setattr(mining, "BROADCAST_ROWS", bound)
+            monkeypatch.setattr(sizing, "BROADCAST_ROWS", bound)
             assert sorted(map(str, mining.keyphrases(frame, "id", words, 3).collect())) == found
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -227,3 +227,24 @@ def test_counted_bayes(spark):
             score[k] = round(base + sum(math.log((own.count(t) + 1) / (len(own) + len(vocabulary))) for t in terms or [] if t in vocabulary), 9)
         wanted[i] = min(score, key=lambda k: (-score[k], k))
     assert found == wanted
+
+
+def test_counted_bayes_meets_frequent_terms_in_place(spark, monkeypatch):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, rng.choices(words, [40 - j for j in range(30)], k=rng.randrange(0, 12)), "ab"[i % 2]) for i in range(80)]
+    frame = spark.createDataFrame(rows, "id int, terms array<string>, k string")
+    train, test = frame.filter("id < 50"), frame.filter("id >= 50")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        model = evaluation.fit_counts(train, "id", F.col("terms"), "k")
+        whole = evaluation.predict_counts(test, "id", F.col("terms"), "k", model)
+        found = sorted(map(tuple, whole.collect()))
+        for bound in (0, 5):  # none, or only the most frequent, are broadcast
+            monkeypatch.setattr(sizing, "BROADCAST_ROWS", bound)
+            some = evaluation.predict_counts(test, "id", F.col("terms"), "k", model)
+            assert sorted(map(tuple, some.collect())) == found
+        # With more terms than may be broadcast in all, the most frequent still are.
+        assert "BroadcastHashJoin" in some._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

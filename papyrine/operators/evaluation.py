@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
@@ -80,14 +80,15 @@ def train_text_classifier(
     }
     if algorithm not in estimators:
         raise ValueError(f"unknown algorithm {algorithm!r}")
-    stages = [
+    counting = [
         RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"(?U)\w{2,}", gaps=False),
         StopWordsRemover(inputCol="_words", outputCol="_terms"),
         HashingTF(inputCol="_terms", outputCol="_counts", numFeatures=features),
-        IDF(inputCol="_counts", outputCol="_features"),
-        estimators[algorithm],
     ]
-    return Pipeline(stages=stages).fit(train)
+    # Both fits read the stored counts, so that texts are cut into words once.
+    counts = stage(PipelineModel(counting).transform(train).select(label, "_counts"))
+    idf = IDF(inputCol="_counts", outputCol="_features").fit(counts)
+    return PipelineModel([*counting, idf, estimators[algorithm].fit(idf.transform(counts))])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -120,7 +120,7 @@ def text_classifier_library(spark, sf_dir):
     """Language of a document from its text, on all training rows and on a tenth of them."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     indexed = attach_labels(documents, reindex(documents, "lang"), {"lang": "lang"}, {"lang_index": "lang_index"})
-    split = sampling.stratified_split(indexed, "lang", "doc_id")
+    split = store(sampling.stratified_split(indexed, "lang", "doc_id"), "split")
     report = None
     for percent in (10, 100):
         row = evaluation.evaluate_classifier(split, "doc_id", "text", "lang_index", percent)

@@ -248,3 +248,12 @@ def test_counted_bayes_meets_frequent_terms_in_place(spark, monkeypatch):
         assert "BroadcastHashJoin" in some._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_both_fits_read_the_same_stored_counts(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(evaluation, "stage", lambda df, own=evaluation.stage: stored.append(df.columns) or own(df))
+    rows = spark.createDataFrame([("alpha beta", 1.0), ("gamma delta", 0.0)] * 4, "t string, k double")
+    model = evaluation.train_text_classifier(rows, "t", "k")
+    assert stored == [["k", "_counts"]]
+    assert [r.pred for r in evaluation.predict(model, rows.limit(2)).collect()] == [1, 0]

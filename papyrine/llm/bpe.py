@@ -11,6 +11,7 @@ words at once: one tree per row of a matrix, all roots read and all paths update
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 
 import numpy as np
@@ -24,7 +25,7 @@ from papyrine.llm import common
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Words that a worker keeps encoded; then it starts afresh.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 1_200_000
 #: Symbols of a word up to which words are merged together.
 BATCH_SYMBOLS = 64
 #: Symbols held in one matrix of trees.
@@ -244,8 +245,8 @@ class WordCache:
         """Afterwards every word of ``texts_words`` is a key."""
         if len(self.table) > self.limit:
             self.table.clear()
-        # A plain dict: the difference looks words up in it instead of running through it.
-        missing = list(set().union(*texts_words).difference(self.table))
+        # Nearly all words are known: only the others go through a set.
+        missing = list(set(itertools.filterfalse(self.table.__contains__, itertools.chain.from_iterable(texts_words))))
         self.table.update(zip(missing, map(self.make, self.encoder.encode_words(missing)), strict=True))
 
 

@@ -42,9 +42,12 @@ def directions(size: int, dimensions: int = DIMENSIONS) -> np.ndarray:
     return (x.astype(np.float64) / 2.0**63 - 1).astype(np.float32).reshape(size, dimensions)
 
 
-def coordinates(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Whole-number coordinates of one document."""
-    mean = table[ids].mean(axis=0, dtype=np.float64) if len(ids) else np.zeros(table.shape[1])
+def coordinates(ids: list[np.ndarray], table: np.ndarray) -> np.ndarray:
+    """Whole-number coordinates of each document (rows)."""
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    together, doc = np.concatenate([np.empty(0, np.int64), *ids]).astype(np.int64), np.repeat(np.arange(len(ids)), lengths)
+    sums = [np.bincount(doc, column[together], len(ids)) for column in table.T.astype(np.float64)]
+    mean = np.stack(sums, axis=1) / np.maximum(lengths, 1)[:, None]
     cells = 1 << DIMENSION_BITS
     return np.clip((mean / REACH + 1) / 2 * cells, 0, cells - 1).astype(np.int64)
 
@@ -85,7 +88,7 @@ def curve_places(docs: DataFrame, path: str, id_col: str, text_col: str) -> Data
         size = bpe.encoder(path).size
         table, kind = directions(size), id_type(size)
         ids = [np.frombuffer(raw, "<u4") for raw in bpe.encode_texts(batch["text"].to_pylist(), path)]
-        points = np.array([coordinates(i, table) for i in ids]).reshape(-1, DIMENSIONS)
+        points = coordinates(ids, table)
         raw = pa.array([i.astype(kind).tobytes() for i in ids], pa.binary())
         return pa.RecordBatch.from_arrays(
             [batch["doc_id"], pa.array(hilbert_keys(points)), raw], ["doc_id", "place", "ids"]

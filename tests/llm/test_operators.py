@@ -516,3 +516,27 @@ def test_licence_gate_loses_no_match():
 )
 def test_empty_table(no_docs, run):
     assert run(no_docs).collect() == []
+
+
+def test_coordinates_of_many_documents_at_once():
+    table = packing.directions(50)
+    docs = [np.array(ids, "<u4") for ids in ([], [7], [1, 2, 3, 2, 49], list(range(50)) * 9)]
+    cells = 1 << packing.DIMENSION_BITS
+    for ids, found in zip(docs, packing.coordinates(docs, table).tolist(), strict=True):
+        mean = table[ids].mean(axis=0, dtype=np.float64) if len(ids) else np.zeros(packing.DIMENSIONS)
+        assert found == np.clip((mean / packing.REACH + 1) / 2 * cells, 0, cells - 1).astype(np.int64).tolist()
+    assert packing.coordinates([], table).shape == (0, packing.DIMENSIONS)
+
+
+def test_only_missing_words_are_encoded():
+    asked = []
+
+    class Known:
+        def encode_words(self, words):
+            asked.append(sorted(words))
+            return words
+
+    cache = bpe.WordCache(Known(), bytes.upper)
+    cache.fill([[b"a", b"b", b"a"], [b"c"]])
+    cache.fill([[b"c", b"d"], []])
+    assert asked == [[b"a", b"b", b"c"], [b"d"]] and cache.table[b"d"] == b"D"

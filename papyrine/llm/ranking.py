@@ -256,6 +256,19 @@ def _best(scored: DataFrame, top: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= top).select("place", "rank", "doc_id", "score")
 
 
+def _item_blocks(numbered: DataFrame, items_at_once: int) -> list[tuple[int, int]]:
+    """First and last ``row`` of each block of ``items_at_once`` items, in the order of ``row`` (by ``monotonically_increasing_id``).
+
+    Blocks are counted, not partitions of a range: each block is a search of its own, and Spark may make many partitions.
+    """
+    parts = numbered.groupBy(F.shiftrightunsigned("row", 33).alias("part")).agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts, before = [], 0
+    for part in parts.orderBy("part").collect():
+        firsts += [part["first"] + i for i in range(-before % items_at_once, part["n"], items_at_once)]
+        before += part["n"]
+    return [(first, after - 1) for first, after in zip(firsts, [*firsts[1:], 1 << 62], strict=False)]
+
+
 def search(
     docs: DataFrame,
     items: DataFrame,
@@ -273,9 +286,8 @@ def search(
     """
     spark = docs.sparkSession
     own = common.texts(docs, id_col, text_col).withColumn("hash", F.xxhash64("text"))
-    asked = store(items.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), F.coalesce(F.col("`text`"), F.lit("")).alias("text")), "items")
-    numbered = asked.withColumn("row", F.monotonically_increasing_id())
-    numbered = store(numbered.repartitionByRange(max(1, -(-asked.count() // items_at_once)), "row").withColumn("block", F.spark_partition_id()), "items")
+    asked = items.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), F.coalesce(F.col("`text`"), F.lit("")).alias("text"))
+    numbered = store(asked.withColumn("row", F.monotonically_increasing_id()), "items")
 
     def term_hashes(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = {h for t in batch["text"].to_pylist() for h in hashed(list(set(terms(t)))).tolist()}
@@ -291,8 +303,8 @@ def search(
     counts = blocks.select(F.explode(F.arrays_zip("df_terms", "df")).alias("x")).groupBy(F.col("x.df_terms").alias("term"))
     counts = store(counts.agg(F.sum("x.df").alias("df")).join(asked_terms, "term", "left_semi"), "df")
     out = None
-    for block in [r[0] for r in numbered.select("block").distinct().orderBy("block").collect()] if n_docs else []:
-        rows = numbered.filter(F.col("block") == block)
+    for first_row, last_row in _item_blocks(numbered, items_at_once) if n_docs else []:
+        rows = numbered.filter(F.col("row").between(first_row, last_row))
         own_terms = common.map_batches(rows.select("text"), term_hashes, "term long").distinct()
         df = dict(counts.join(own_terms, "term", "left_semi").select("term", "df").collect())
         texts = rows.orderBy("row").select("item_id", "text").collect()

@@ -9,6 +9,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from papyrine.llm import ranking, spelling, suffix_tree
 
@@ -185,6 +186,31 @@ def test_search(spark, docs, rows, at_once):
     assert found == plain_ranking([r[:2] for r in rows], items)
 
 
+def test_items_are_searched_in_full_blocks(spark):
+    """However many partitions hold the items: a block of one item each took a search of its own."""
+    sizes = [3, 0, 1, 5, 0, 0, 4, 1]
+    items = spark.sparkContext.parallelize([[p] * n for p, n in enumerate(sizes)], len(sizes)).flatMap(lambda rows: [(p,) for p in rows])
+    numbered = ranking.store(spark.createDataFrame(items, "part long").withColumn("row", F.monotonically_increasing_id()), "items")
+    every = sorted(r.row for r in numbered.collect())
+    assert len(every) == 14 and len({r >> 33 for r in every}) == 5
+    for at_once, wanted in ((1, 14), (4, 4), (7, 2), (14, 1), (2000, 1)):
+        blocks = ranking._item_blocks(numbered, at_once)
+        held = [[r for r in every if low <= r <= high] for low, high in blocks]
+        assert len(blocks) == wanted and sum(held, []) == every
+        assert all(len(h) == at_once for h in held[:-1])
+    assert ranking._item_blocks(numbered.limit(0), 4) == []
+
+
+def test_one_block_whatever_the_partitions(spark, docs, monkeypatch):
+    """A range of one partition may become many; the items stay one block."""
+    plain, seen = type(docs).repartitionByRange, []
+    monkeypatch.setattr(type(docs), "repartitionByRange", lambda self, n, *c: plain(self, max(n, 7) if isinstance(n, int) else n, *c))
+    monkeypatch.setattr(ranking, "Items", lambda items, *a, f=ranking.Items: seen.append(len(items)) or f(items, *a))
+    items = spark.createDataFrame([(i, "the rain") for i in range(9)], "item_id long, text string").repartition(5)
+    ranking.search(docs, items)
+    assert seen == [9]
+
+
 def test_bounds_are_never_low():
     rng = random.Random(3)
     texts = [" ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(rng.choice([1, 5, 60, 900]))) for _ in range(60)]

@@ -51,16 +51,20 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
     raise RuntimeError(f"components not settled after {max_rounds} rounds")
 
 
-def _gap(lo, hi, other_lo, other_hi) -> Column:
+def _apart(axes: int, lo, hi, other_lo, other_hi) -> list[Column]:
+    # One expression per axis: functions of whole arrays would not be compiled.
+    return [F.greatest(lo[i] - other_hi[i], other_lo[i] - hi[i]) for i in range(axes)]
+
+
+def _gap(axes: int, lo, hi, other_lo, other_hi) -> Column:
     """Squared distance of two boxes at their nearest."""
-    apart = F.zip_with(F.zip_with(lo, other_hi, lambda a, b: a - b), F.zip_with(other_lo, hi, lambda a, b: a - b), lambda a, b: F.greatest(a, b))
-    return F.aggregate(apart, F.lit(0.0), lambda total, x: total + F.greatest(x, F.lit(0.0)) * F.greatest(x, F.lit(0.0)))
+    sides = [F.greatest(x, F.lit(0.0)) for x in _apart(axes, lo, hi, other_lo, other_hi)]
+    return sum((x * x for x in sides), F.lit(0.0))
 
 
-def _reach(lo, hi, other_lo, other_hi) -> Column:
+def _reach(axes: int, lo, hi, other_lo, other_hi) -> Column:
     """Squared distance of two boxes at their farthest."""
-    apart = F.zip_with(F.zip_with(hi, other_lo, lambda a, b: a - b), F.zip_with(other_hi, lo, lambda a, b: a - b), lambda a, b: F.greatest(a, b))
-    return F.aggregate(apart, F.lit(0.0), lambda total, x: total + x * x)
+    return sum((x * x for x in _apart(axes, hi, lo, other_hi, other_lo)), F.lit(0.0))
 
 
 class _Boxes:
@@ -70,8 +74,8 @@ class _Boxes:
     point, so that halving always ends.
     """
 
-    def __init__(self, points: DataFrame, side: float) -> None:
-        self.points, self.side, self.levels = points, side, {}
+    def __init__(self, points: DataFrame, side: float, axes: int) -> None:
+        self.points, self.side, self.axes, self.levels = points, side, axes, {}
 
     @staticmethod
     def cell(x: Column, side: float) -> Column:
@@ -81,10 +85,9 @@ class _Boxes:
         """up (cell of the level before), cell, lo, hi, n."""
         if k not in self.levels:
             up, own = (self.cell(F.col("x"), self.side / 2**i).alias(n) for i, n in ((max(k - 1, 0), "up"), (k, "cell")))
-            box = self.points.select(up, own, F.posexplode("x").alias("axis", "v"), "n").groupBy("up", "cell", "axis")
-            sides = box.agg(F.min("v").alias("a"), F.max("v").alias("b"), F.sum("n").alias("n")).groupBy("up", "cell")
-            made = sides.agg(F.sort_array(F.collect_list(F.struct("axis", "a", "b"))).alias("s"), F.max("n").alias("n"))
-            self.levels[k] = stage(made.select("up", "cell", F.col("s.a").alias("lo"), F.col("s.b").alias("hi"), "n"))
+            lo, hi = (F.array(*[f(F.col("x")[i]) for i in range(self.axes)]) for f in (F.min, F.max))
+            made = self.points.select(up, own, "x", "n").groupBy("up", "cell")
+            self.levels[k] = stage(made.agg(lo.alias("lo"), hi.alias("hi"), F.sum("n").alias("n")))
         return self.levels[k]
 
 
@@ -96,21 +99,40 @@ def _around(cell: Column, axes: int) -> Column:
     return F.transform(steps, lambda i: F.transform(cell, lambda v, j: v + digit(i, j) - 1))
 
 
-def _near_boxes(queries: DataFrame, boxes: _Boxes, eps: float, axes: int) -> DataFrame:
+def _blocks(cells: DataFrame, axes: int, *more: Column) -> DataFrame:
+    """block, lo, hi: the box around the ``cells`` of each block, and ``more``."""
+    lo, hi = (F.array(*[f(F.col(c)[i]) for i in range(axes)]) for f, c in ((F.min, "lo"), (F.max, "hi")))
+    return broadcast_if_small(stage(cells.groupBy("block").agg(lo.alias("lo"), hi.alias("hi"), *more)))
+
+
+def _surely_cores(lone: DataFrame, boxes: _Boxes, min_points: int) -> DataFrame:
+    """x of the points whose half of a cell holds ``min_points`` rows, together with the halves that touch it.
+
+    Along no axis are two points of these farther apart than the side of a cell. It tells most cores without the search.
+    """
+    half = _Boxes.cell(F.col("x"), boxes.side / 2)
+    halves = stage(boxes.level(1).groupBy("cell").agg(F.sum("n").alias("n")))
+    asked = lone.select(half.alias("own")).distinct().select("own", F.explode(_around(F.col("own"), boxes.axes)).alias("cell"))
+    held = asked.join(broadcast_if_small(halves), "cell").groupBy("own").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_points)
+    return lone.select("x", half.alias("own")).join(held, "own", "left_semi").select("x")
+
+
+def _near_boxes(queries: DataFrame, boxes: _Boxes, eps: float) -> DataFrame:
     """x, cell, k, n: the cells of level k that lie wholly within ``eps`` of each point x, every point of them in one cell.
 
     A cell that is cut by the sphere around x is replaced by its halves until all are inside or outside. Nothing is paired
-    but points with cells.
+    but points with cells, and of these only those in blocks within reach.
     """
-    far = eps * eps
+    far, axes = eps * eps, boxes.axes
     # A cell is looked for by its lowest corner, which is up to a side below its points.
     block = eps + boxes.side
+    own, box = [F.col("x"), F.col("x")], [F.col("lo"), F.col("hi")]
     wide = boxes.level(0).withColumn("block", _Boxes.cell(F.col("lo"), block))
     asked = queries.select("x", F.explode(_around(_Boxes.cell(F.col("x"), block), axes)).alias("block"))
+    asked = asked.join(_blocks(wide, axes), "block").filter(_gap(axes, *own, *box) <= far).select("x", "block")
     open_, inside, k = asked.join(wide, "block").select("x", "cell", "lo", "hi", "n"), None, 0
     while True:
-        own = F.col("x")
-        found = stage(open_.filter(_gap(own, own, F.col("lo"), F.col("hi")) <= far).withColumn("within", _reach(own, own, F.col("lo"), F.col("hi")) <= far))
+        found = stage(open_.filter(_gap(axes, *own, *box) <= far).withColumn("within", _reach(axes, *own, *box) <= far))
         done = found.filter("within").select("x", "cell", F.lit(k).alias("k"), "n")
         inside = done if inside is None else inside.unionByName(done)
         rest = found.filter("not within").select("x", F.col("cell").alias("up"))
@@ -120,18 +142,44 @@ def _near_boxes(queries: DataFrame, boxes: _Boxes, eps: float, axes: int) -> Dat
         open_ = rest.join(boxes.level(k), "up").select("x", "cell", "lo", "hi", "n")
 
 
-def _linked_cells(boxes: _Boxes, eps: float, axes: int) -> DataFrame:
-    """a, b: pairs of first-level cells that hold two points within ``eps`` of each other, a < b."""
-    far = eps * eps
-    first = boxes.level(0).select("cell", "lo", "hi", _Boxes.cell(F.col("lo"), eps + boxes.side).alias("block"))
-    left = first.select(*[F.col(c).alias(f"{c}_a") for c in ("cell", "lo", "hi")], F.explode(_around(F.col("block"), axes)).alias("block"))
-    right = first.select(*[F.col(c).alias(f"{c}_b") for c in ("cell", "lo", "hi")], "block")
-    named = [F.col("cell_a").alias("a"), F.col("cell_b").alias("b"), *[f"{c}_{s}" for s in "ab" for c in ("cell", "lo", "hi")]]
-    open_, links, k = left.join(right, "block").filter("cell_a < cell_b").select(*named), None, 0
+def _touching_cells(boxes: _Boxes) -> DataFrame:
+    """src, dst, both ways: first-level cells of which halves touch, so that their points are within ``eps``.
+
+    Halves that touch share a cell of the grid, or of the grid moved by half a side along some axes. The cells that share
+    one are linked to the first of them.
+    """
+    digit = lambda i, j: F.floor(i / F.pow(F.lit(2.0), j)) % 2
+    shifts = F.sequence(F.lit(0), F.lit(2**boxes.axes - 1))
+    shared = F.transform(shifts, lambda i: F.struct(i.alias("i"), F.transform(F.col("half"), lambda v, j: F.floor((v + digit(i, j)) / 2)).alias("at")))
+    held = boxes.points.select(_Boxes.cell(F.col("x"), boxes.side).alias("cell"), _Boxes.cell(F.col("x"), boxes.side / 2).alias("half")).distinct()
+    held = stage(held.select("cell", F.explode(shared).alias("shared")).distinct())
+    first = held.groupBy("shared").agg(F.min("cell").alias("first"))
+    pairs = held.join(first, "shared").filter(F.col("cell") != F.col("first")).select(F.col("cell").alias("src"), F.col("first").alias("dst")).distinct()
+    pairs = stage(pairs)
+    return stage(pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
+
+
+def _linked_labels(boxes: _Boxes, labels: DataFrame, eps: float) -> DataFrame:
+    """a, b: pairs of labels of first-level cells of which two points are within ``eps`` of each other, a < b.
+
+    Cells of one label are never paired, nor looked at where a whole block has that label.
+    """
+    far, axes = eps * eps, boxes.axes
+    wide = boxes.level(0).select("cell", "lo", "hi", _Boxes.cell(F.col("lo"), eps + boxes.side).alias("block"))
+    wide = stage(wide.join(labels.withColumnRenamed("node", "cell"), "cell"))
+    names = ("cell", "lo", "hi", "label")
+    left = wide.select(*[F.col(c).alias(f"{c}_a") for c in names], F.explode(_around(F.col("block"), axes)).alias("block"))
+    whole = _blocks(wide, axes, F.min("label").alias("least"), F.max("label").alias("most"))
+    other = (F.col("least") != F.col("label_a")) | (F.col("most") != F.col("label_a"))
+    near = left.join(whole, "block").filter(other).filter(_gap(axes, F.col("lo_a"), F.col("hi_a"), F.col("lo"), F.col("hi")) <= far)
+    right = wide.select(*[F.col(c).alias(f"{c}_b") for c in names], "block")
+    pair = [F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")]
+    paired = near.drop("lo", "hi", "least", "most").join(right, "block").filter("cell_a < cell_b and label_a != label_b")
+    open_, links, k = paired.select(*pair, *[f"{c}_{s}" for s in "ab" for c in ("cell", "lo", "hi")]), None, 0
     while True:
         box = [F.col(c) for c in ("lo_a", "hi_a", "lo_b", "hi_b")]
-        found = stage(open_.filter(_gap(*box) <= far).withColumn("within", _reach(*box) <= far))
-        done = found.filter("within").select("a", "b").distinct()
+        found = stage(open_.filter(_gap(axes, *box) <= far).withColumn("within", _reach(axes, *box) <= far))
+        done = stage(found.filter("within").select("a", "b").distinct())
         links = done if links is None else links.unionByName(done)
         rest = found.filter("not within").join(done, ["a", "b"], "left_anti")
         if rest.isEmpty():
@@ -156,8 +204,9 @@ def density_clusters(
     coordinate.
 
     Equal points are one point with a count. Cells are so small that all their points are within ``eps``: the points of a cell
-    with ``min_points`` rows are cores without a look at others, and cores of one cell are in one cluster. All else is decided
-    between points and cells, or cells and cells, by the boxes around their points; cells that boxes cannot decide are halved.
+    with ``min_points`` rows are cores without a look at others, and cores of one cell are in one cluster. Halves of cells that
+    touch are within ``eps`` too: they tell most other cores, and link most cells. All else is decided between points and
+    cells, or cells of clusters not linked yet, by the boxes around their points; cells that boxes cannot decide are halved.
     So a cell may hold any share of the rows.
     """
     axes = len(coordinates)
@@ -166,29 +215,34 @@ def density_clusters(
     placed = placed.withColumn("x", F.when(~F.exists("x", lambda v: v.isNull()), F.col("x")))
     points = placed.filter("x is not null").groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("low"))
     # A little below eps / sqrt(axes): rounding must not part two points of a cell.
-    boxes = _Boxes(stage(points), eps / math.sqrt(axes) * (1 - 1e-9))
+    boxes = _Boxes(stage(points), eps / math.sqrt(axes) * (1 - 1e-9), axes)
     cell = _Boxes.cell(F.col("x"), boxes.side)
     crowded = boxes.level(0).select("cell", (F.col("n") >= min_points).alias("crowded"))
     known = stage(boxes.points.withColumn("cell", cell).join(crowded, "cell"))
     lone = known.filter("not crowded")
-    counted = _near_boxes(lone, boxes, eps, axes).groupBy("x").agg(F.sum("n").alias("around")).filter(F.col("around") >= min_points)
+    sure = stage(_surely_cores(lone, boxes, min_points))
+    asked = _near_boxes(lone.join(sure, "x", "left_anti"), boxes, eps).groupBy("x").agg(F.sum("n").alias("around"))
+    counted = stage(sure.unionByName(asked.filter(F.col("around") >= min_points).select("x")))
     cores = stage(known.filter("crowded").select("x", "n", "low", "cell").unionByName(
-        lone.join(counted.select("x"), "x", "left_semi").select("x", "n", "low", "cell")
+        lone.join(counted, "x", "left_semi").select("x", "n", "low", "cell")
     ))
-    core_boxes = _Boxes(cores.select("x", "n", "low"), boxes.side)
-    pairs = _linked_cells(core_boxes, eps, axes).select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    both = stage(pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
-    labels = connected_components(core_boxes.level(0).select(F.col("cell").alias("node")), both)
+    core_boxes = _Boxes(cores.select("x", "n", "low"), boxes.side, axes)
+    near_labels = connected_components(core_boxes.level(0).select(F.col("cell").alias("node")), _touching_cells(core_boxes))
+    pairs = _linked_labels(core_boxes, near_labels, eps).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    both = stage(pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
+    joined = connected_components(near_labels.select(F.col("label").alias("node")).distinct(), both)
+    of_label = joined.select(F.col("node").alias("of"), F.col("label").alias("_label"))
+    labels = near_labels.join(of_label, F.col("label") == F.col("of")).select("node", F.col("_label").alias("label"))
     labelled = stage(cores.join(labels.withColumnRenamed("node", "cell"), "cell").select("x", "low", "label"))
     # A point that is no core has fewer than min_points rows within eps: that many cores at most.
-    edge = stage(lone.join(counted.select("x"), "x", "left_anti").select("x"))
-    near, core = _near_boxes(edge, core_boxes, eps, axes), labelled.withColumnRenamed("x", "y")
+    edge = stage(lone.join(counted, "x", "left_anti").select("x"))
+    near, core = _near_boxes(edge, core_boxes, eps), labelled.withColumnRenamed("x", "y")
     reached = None
     for k in core_boxes.levels:
         of_level = core.withColumn("cell", _Boxes.cell(F.col("y"), boxes.side / 2**k))
         some = near.filter(F.col("k") == k).join(of_level, "cell")
         reached = some if reached is None else reached.unionByName(some)
-    apart = _gap(F.col("x"), F.col("x"), F.col("y"), F.col("y"))
+    apart = _gap(axes, F.col("x"), F.col("x"), F.col("y"), F.col("y"))
     nearest = reached.groupBy("x").agg(F.min(F.struct(apart.alias("d"), "low", "label")).alias("best"))
     member = stage(labelled.select("x", "label", "low").unionByName(nearest.select("x", "best.label", F.lit(None).cast(labelled.schema["low"].dataType).alias("low"))))
     sized = member.join(boxes.points.select("x", "n"), "x").groupBy("label").agg(F.sum("n").alias("size"), F.min("low").alias("low"))

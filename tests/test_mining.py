@@ -157,6 +157,18 @@ def test_clusters_against_brute_force(spark, dimensions):
     assert sizes == sorted(sizes, reverse=True)
 
 
+def test_dense_neighbourhoods_are_not_paired(spark, monkeypatch):
+    """Where cells of few points lie side by side, no step holds more than a few rows a point."""
+    rng = random.Random(8)
+    side = 1 / math.sqrt(3)
+    frame = spark.createDataFrame([(i, *[rng.uniform(0, 6 * side) for _ in range(3)]) for i in range(760)], "id int, x double, y double, z double")
+    held, stage = [], clustering.stage
+    monkeypatch.setattr(clustering, "stage", lambda df: (out := stage(df), held.append(out.count()))[0])
+    found = clustering.density_clusters(frame, "id", ["x", "y", "z"], 1.0, 15, 5).collect()
+    assert {r.cluster for r in found} == {0}
+    assert max(held) <= 10 * 760
+
+
 def test_components(spark):
     nodes = spark.createDataFrame([(f"{i:02}",) for i in range(20)], "node string")
     chain = [(f"{i:02}", f"{i + 1:02}") for i in range(14)] + [("17", "18")]

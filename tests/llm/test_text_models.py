@@ -156,6 +156,26 @@ def test_suffix_tree_tries_every_frequent_context(spark):
         assert math.isclose(a[6], b[6], rel_tol=1e-7)
 
 
+def test_suffix_tree_moves_little(spark):
+    """Messages hold a few bytes a pair, the last answers nothing of contexts that are not retained, and an answer moves once."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{min(int(rng.paretovariate(0.7)), 5000)}" for _ in range(300))) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    settings = suffix_tree.Settings(depth=1)
+    [(_, data)] = suffix_tree.chunks(frame, 10**6).collect()
+    state = suffix_tree.Chunk(bytes(data), 1, settings)
+    [(_, _, message)] = state.word_messages(0)
+    said, total, distinct = suffix_tree.count_words([(0, message)])
+    state.learn_words([(0, said[0])], total, distinct)
+    entries = state.entries()
+    messages = [d for *_, d in state.pair_messages(entries, 0)]
+    assert len(messages[0]) < 3.5 * len(entries.symbol) and len(entries.symbol) > 5_000
+    [last], [other] = (suffix_tree.answer([(0, messages[0])], 1, settings._replace(depth=d)) for d in (1, 2))
+    assert len(last) < 0.8 * len(other)
+    plan = suffix_tree.score(frame, settings=suffix_tree.Settings(depth=2), buckets=5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(chunk") == 1
+
+
 def plain_ranking(rows, items):
     term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
     docs = [(i, collections.Counter(term.findall(lowered(t)))) for i, t in rows]

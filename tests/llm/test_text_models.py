@@ -2,6 +2,7 @@
 
 import collections
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -12,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from papyrine.llm import ranking, spelling, suffix_tree
+from papyrine.session import shared_folder
 
 
 def lowered(text):
@@ -176,6 +178,48 @@ def test_suffix_tree_moves_little(spark):
     assert plan.count("Exchange hashpartitioning(chunk") == 1
 
 
+def shuffle_blocks(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    return {b for b in blocks.split() if b.startswith("shuffle_")}
+
+
+def test_suffix_tree_keeps_little_on_disk(spark):
+    """Of what was stored and shuffled only the counted chunks and the answers that are read again are left."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{min(int(rng.paretovariate(0.7)), 5000)}" for _ in range(300))) for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    folder = pathlib.Path(shared_folder(spark).removeprefix("file:"))
+    stored, shuffled, setting = set(folder.glob("chunks-*")), shuffle_blocks(spark), spark.conf.get(suffix_tree._CLEANUP)
+    scores = suffix_tree.score(frame, settings=suffix_tree.Settings(depth=2), buckets=5)
+    assert shuffle_blocks(spark) <= shuffled and spark.conf.get(suffix_tree._CLEANUP) == setting
+    [(_, plain)] = suffix_tree.chunks(frame, 10**6).collect()
+    kept = [spark.read.parquet(str(p)) for p in set(folder.glob("chunks-*")) - stored]
+    [(_, data)] = next(k for k in kept if k.columns == ["chunk", "data"]).collect()
+    assert len(kept) == 2 and len(data) < 0.75 * len(plain)
+    # The frame that is left can be read more than once.
+    assert scores.count() == len(scores.collect()) == len(rows)
+
+
+def test_counted_chunks_know_the_same(spark, docs):
+    [(_, data)] = suffix_tree.chunks(docs.coalesce(1), 10**6).collect()
+    plain = suffix_tree.Chunk(bytes(data), 3, suffix_tree.Settings())
+    messages = {b: m for _, b, m in plain.word_messages(0)}
+    answers = {b: suffix_tree.count_words([(0, m)]) for b, m in messages.items()}
+    said = [(b, a[0][0]) for b, a in answers.items()]
+    counted = suffix_tree.Chunk(plain.with_counts(said), 3, suffix_tree.Settings(), counted=True)
+    plain.learn_words(said, 1000, 100)
+    counted.learn_words([], 1000, 100)
+    assert counted.ids == plain.ids
+    for name in ("sizes", "counts", "base", "common", "symbol", "context_counts", "context_hash"):
+        assert np.array_equal(getattr(counted, name), getattr(plain, name))
+
+
+@pytest.mark.parametrize("values", [[], [0], [1, 2, 3], [3, 4, 0, 1, 1], [1] * 99 + [2**40, 700, 3]])
+def test_small_numbers_are_packed_whole(values):
+    values = np.array(values, np.int64)
+    assert suffix_tree._unpacked_small(suffix_tree._packed_small(values)).tolist() == values.tolist()
+
+
 def plain_ranking(rows, items):
     term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
     docs = [(i, collections.Counter(term.findall(lowered(t)))) for i, t in rows]

@@ -169,6 +169,59 @@ def test_dense_neighbourhoods_are_not_paired(spark, monkeypatch):
     assert max(held) <= 10 * 760
 
 
+def clustered(spark, points, eps, min_size, min_points):
+    """Sets of ids by cluster number."""
+    axes = [f"x{i}" for i in range(len(next(iter(points.values()))))]
+    frame = spark.createDataFrame([(i, *p) for i, p in points.items()], ", ".join(["id int", *[f"{a} double" for a in axes]]))
+    groups = {}
+    for r in clustering.density_clusters(frame, "id", axes, eps, min_size, min_points).collect():
+        groups.setdefault(r.cluster, set()).add(r.id)
+    groups.pop(-1, None)
+    return groups
+
+
+@pytest.mark.parametrize("dimensions", [2, 5])
+def test_crowded_cells_are_cut(spark, monkeypatch, dimensions):
+    """Cells of many points that boxes do not decide: beside stray points, and in clusters a little nearer or farther than eps."""
+    monkeypatch.setattr(clustering, "LOOK", 3)
+    rng = random.Random(dimensions)
+    rest = dimensions - 1
+    points, ids = {}, itertools.count()
+    # Walls of points; the second is 0.99, the third 1.01 from the one before.
+    for at in (0.0, 1.19, 2.4):
+        points |= {next(ids): (at + rng.choice((0, 0.2, rng.uniform(0, 0.2))), *[rng.uniform(0, 0.5) for _ in range(rest)]) for _ in range(60)}
+        points |= {next(ids): (at + x, *[0.25] * rest) for x in (0, 0.2)}
+    points |= {next(ids): (rng.uniform(3.2, 3.8), *[rng.uniform(-0.5, 1) for _ in range(rest)]) for _ in range(12)}
+    points |= {next(ids): (rng.uniform(-1.2, -0.7), *[rng.uniform(-0.5, 1) for _ in range(rest)]) for _ in range(12)}
+    expected = brute_force(points, 1.0, 6, 12)
+    assert len(expected) == 2
+    assert {frozenset(g) for g in clustered(spark, points, 1.0, 12, 6).values()} == expected
+
+
+def test_clusters_take_few_jobs(spark):
+    """Points at all distances, down to a millionth of a side: levels and rounds of them took over 200 jobs on a few hundred rows."""
+    rng = random.Random(4)
+    points = {i: (rng.gauss(0, 0.12), rng.gauss(0, 0.12)) for i in range(500)}
+    points |= {500 + i: (points[i][0] + 0.02 + rng.uniform(-1e-6, 1e-6), points[i][1]) for i in range(100)}
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+    before = jobs()
+    groups = clustered(spark, points, 0.02, 15, 5)
+    assert jobs() - before < 150
+    assert {frozenset(g) for g in groups.values()} == brute_force(points, 0.02, 5, 15)
+
+
+def test_components_in_rounds(spark, monkeypatch):
+    """The same whether the edges fit the driver or not."""
+    rng = random.Random(6)
+    nodes = spark.createDataFrame([(i,) for i in range(60)], "node long")
+    pairs = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)]
+    edges = spark.createDataFrame(pairs + [(b, a) for a, b in pairs], "src long, dst long")
+    once = sorted(clustering.connected_components(nodes, edges).collect())
+    monkeypatch.setattr(clustering, "DRIVER_EDGES", 0)
+    assert sorted(clustering.connected_components(nodes, edges).collect()) == once
+    assert len({r.label for r in once}) > 3 and all(r.label <= r.node for r in once)
+
+
 def test_components(spark):
     nodes = spark.createDataFrame([(f"{i:02}",) for i in range(20)], "node string")
     chain = [(f"{i:02}", f"{i + 1:02}") for i in range(14)] + [("17", "18")]
